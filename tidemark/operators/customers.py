@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import day_diff
 from tidemark.functions.numbers import mean, ratio, total
-from tidemark.operators.orders import delivered
+from tidemark.operators.orders import delivered, with_order_details
 from tidemark.operators.quantiles import Score, with_ntiles
 
 OBSERVATION_DAYS = 90
@@ -20,16 +20,27 @@ RFM_SCORES = (
 
 
 def customer_order_summary(
-    customers: DataFrame, enriched: DataFrame, exact: bool = False
+    customers: DataFrame,
+    orders: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+    exact: bool = False,
 ) -> DataFrame:
     """One row per person with a delivered order.
 
     Averages are taken over orders: ``avg_review_score`` is a mean of order means, and
     ``avg_order_value`` leaves out orders without a payment. City and state are the first in
     text order, each on its own.
+
+    Persons are attached to the narrow order rows before the details: the rows then arrive
+    partitioned by ``order_id``, which the distinct count of orders needs anyway, and only its
+    per-person partial results are shuffled once more.
     """
+    persons = customers.select("customer_id", "customer_unique_id", "city", "state")
+    bought = delivered(orders).join(persons, "customer_id")
     return (
-        customers.join(enriched, "customer_id")
+        with_order_details(bought, items, payments, reviews, exact)
         .groupBy("customer_unique_id")
         .agg(
             F.min("city").alias("city"),
@@ -151,17 +162,14 @@ def product_features(
 
 def payment_ratios(payments: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Payment methods per person and the shares paid by card and by boleto.
-
-    Payments are counted per order and method before the join, and per person and method after
-    it, so neither a busy order nor a busy person reaches the last step as more than one row per
-    method.
+    Payments are counted per person and method first, so a busy person reaches the last step as
+    one row per method.
     """
     uses = (
-        payments.groupBy("order_id", "payment_type")
-        .agg(F.count("*").alias("uses"))
+        payments.select("order_id", "payment_type")
         .join(order_buyers(orders, customers), "order_id")
         .groupBy("customer_unique_id", "payment_type")
-        .agg(F.sum("uses").alias("uses"))
+        .agg(F.count("*").alias("uses"))
     )
 
     def share(method: str) -> Column:

@@ -38,44 +38,59 @@ def order_reviews_agg(reviews: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
-def order_enriched(
+def with_order_details(
     orders: DataFrame,
     items: DataFrame,
     payments: DataFrame,
     reviews: DataFrame,
     exact: bool = False,
 ) -> DataFrame:
-    """One row per delivered order with its item, payment and review aggregates.
+    """Add day differences and the item, payment and review aggregates to order rows.
 
     Each detail table is reduced to its order first, so no join multiplies rows and all three
     joins use the hash partitioning by ``order_id`` that the aggregates already have.
     A negative ``delivery_delta_days`` means late.
     """
     return (
-        delivered(orders)
-        .join(order_items_agg(items, exact), "order_id", "left")
-        .join(order_payments_agg(payments, exact), "order_id", "left")
-        .join(order_reviews_agg(reviews, exact), "order_id", "left")
-        .select(
-            "order_id",
-            "customer_id",
-            "purchased_at",
-            "approved_at",
-            "shipped_at",
-            "delivered_at",
-            "estimated_delivery_at",
+        orders.select(
+            "*",
             day_diff("purchased_at", "delivered_at").alias("delivery_days"),
             day_diff("purchased_at", "estimated_delivery_at").alias("estimated_delivery_days"),
             day_diff("delivered_at", "estimated_delivery_at").alias("delivery_delta_days"),
-            "item_count",
-            "unique_products",
-            "unique_sellers",
-            "total_price",
-            "total_freight",
-            "payment_type_count",
-            "max_installments",
-            "total_payment",
-            "avg_review_score",
-            "min_review_score",
         )
+        .join(order_items_agg(items, exact), "order_id", "left")
+        .join(order_payments_agg(payments, exact), "order_id", "left")
+        .join(order_reviews_agg(reviews, exact), "order_id", "left")
+    )
+
+
+def order_enriched(
+    orders: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+    exact: bool = False,
+) -> DataFrame:
+    """One row per delivered order with its lifecycle, day differences and detail aggregates."""
+    return with_order_details(delivered(orders), items, payments, reviews, exact).select(
+        "order_id",
+        "customer_id",
+        "purchased_at",
+        "approved_at",
+        "shipped_at",
+        "delivered_at",
+        "estimated_delivery_at",
+        "delivery_days",
+        "estimated_delivery_days",
+        "delivery_delta_days",
+        "item_count",
+        "unique_products",
+        "unique_sellers",
+        "total_price",
+        "total_freight",
+        "payment_type_count",
+        "max_installments",
+        "total_payment",
+        "avg_review_score",
+        "min_review_score",
     )

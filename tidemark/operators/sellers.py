@@ -43,7 +43,17 @@ def seller_performance(
             (F.col("delivered_at") > F.col("estimated_delivery_at")).alias("late"),
         )
         .join(order_reviews, "order_id", "left")
-        .withColumn("pairs", F.coalesce("pairs", F.lit(1)))
+        # A computed key hides the partitioning, so the facts are shuffled again for the join
+        # with the items. Both inputs are then plain shuffles, which AQE needs to split the
+        # items of a hot order over tasks.
+        .select(
+            F.concat("order_id", F.lit("")).alias("order_id"),
+            "days",
+            "late",
+            F.coalesce("pairs", F.lit(1)).alias("pairs"),
+            "score_sum",
+            "score_count",
+        )
     )
 
     def weighted(value: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import mean, whole_number
+from tidemark.functions.numbers import ratio, total, whole_number
 
 
 def _timestamp(name: str, alias: str) -> Column:
@@ -108,14 +108,26 @@ def stg_products(raw: DataFrame, category_names: DataFrame) -> DataFrame:
 
 
 def stg_geolocation(raw: DataFrame, exact: bool = False) -> DataFrame:
-    """One row per zip code: mean position, last city and state in binary text order."""
+    """One row per zip code: mean position, last city and state in binary text order.
+
+    Points are first summed per place name: text maxima need a sort-based aggregate, which then
+    sees a few rows per zip code instead of every point.
+    """
     latitude = F.col("geolocation_lat").cast("double")
     longitude = F.col("geolocation_lng").cast("double")
-    return raw.groupBy(
-        F.col("geolocation_zip_code_prefix").cast("string").alias("zip_code")
+    named = raw.groupBy(
+        F.col("geolocation_zip_code_prefix").cast("string").alias("zip_code"),
+        "geolocation_city",
+        "geolocation_state",
     ).agg(
-        mean(latitude, exact).alias("latitude"),
-        mean(longitude, exact).alias("longitude"),
+        total(latitude, exact).alias("latitudes"),
+        F.count(latitude).alias("latitude_count"),
+        total(longitude, exact).alias("longitudes"),
+        F.count(longitude).alias("longitude_count"),
+    )
+    return named.groupBy("zip_code").agg(
+        ratio(total(F.col("latitudes"), exact), F.sum("latitude_count")).alias("latitude"),
+        ratio(total(F.col("longitudes"), exact), F.sum("longitude_count")).alias("longitude"),
         F.max("geolocation_city").alias("city"),
         F.max("geolocation_state").alias("state"),
     )

@@ -80,7 +80,12 @@ class Analytics:
     def customer_order_summary(self) -> DataFrame:
         """Stored: scores, labels and the wide table all rank or compare these rows."""
         summary = customers.customer_order_summary(
-            self.stg_customers, self.order_enriched, self.exact
+            self.stg_customers,
+            self.stg_orders,
+            self.stg_order_items,
+            self.stg_order_payments,
+            self.stg_order_reviews,
+            self.exact,
         )
         return stage(summary, "customer_order_summary")
 

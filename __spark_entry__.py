@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,17 +25,17 @@ from tidemark.sources.tpch_shape import raw_tables_from_tpch
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-_open: dict[tuple[str, str], Analytics] = {}
+_open: dict[tuple[str, str, bool], Analytics] = {}
 
 
-def analytics(spark: SparkSession, sf_dir: str) -> Analytics:
+def analytics(spark: SparkSession, sf_dir: str, exact: bool = True) -> Analytics:
     """The models over one directory, shared by the queries of a session.
 
-    Sums are exact here, so that values can be compared with another engine bit for bit.
+    With exact sums, values can be compared with another engine bit for bit.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, exact)
     if key not in _open:
-        _open[key] = Analytics(spark, raw_tables_from_tpch(spark, sf_dir), exact=True)
+        _open[key] = Analytics(spark, raw_tables_from_tpch(spark, sf_dir), exact)
     return _open[key]
 
 
@@ -89,13 +90,19 @@ def _write_csv_files(models: Analytics, folder: str) -> None:
         ).csv(f"{folder}/{file_name}")
 
 
-def _loaded_csv(spark: SparkSession, sf_dir: str) -> dict[str, csv_load.LoadResult]:
-    models = analytics(spark, sf_dir)
+def csv_folder(models: Analytics) -> str:
+    """A folder with the raw tables as CSV files, written once per set of models."""
+    if not hasattr(models, "csv_folder"):
+        app = models.spark.sparkContext.applicationId
+        models.csv_folder = f"{shared_dir(models.spark)}/tidemark/{app}/csv-{uuid.uuid4().hex}"
+        _write_csv_files(models, models.csv_folder)
+    return models.csv_folder
+
+
+def _loaded_csv(models: Analytics) -> dict[str, csv_load.LoadResult]:
     if not hasattr(models, "loaded_csv"):
-        app = spark.sparkContext.applicationId
-        folder = f"{shared_dir(spark)}/tidemark/{app}/csv-{os.path.basename(sf_dir)}"
-        _write_csv_files(models, folder)
-        models.loaded_csv = csv_load.load_directory(spark, folder, f"{folder}-loaded")
+        folder = csv_folder(models)
+        models.loaded_csv = csv_load.load_directory(models.spark, folder, f"{folder}-loaded")
     return models.loaded_csv
 
 
@@ -114,9 +121,11 @@ def _check_summary(models: Analytics) -> DataFrame:
     )
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All queries; ``exact=False`` gives the operators' own double sums."""
+
     def on_models(build: Callable[[Analytics], DataFrame]):
-        return lambda spark, sf_dir: build(analytics(spark, sf_dir))
+        return lambda spark, sf_dir: build(analytics(spark, sf_dir, exact))
 
     def on_rule(build: Callable[[DataFrame], DataFrame]):
         return on_models(lambda m: build(rule_scored(m.customer_360)))
@@ -131,12 +140,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     named |= {
         "geolocation_by_zip": on_models(lambda m: m.stg_geolocation),
-        "order_items_agg": on_models(lambda m: orders.order_items_agg(m.stg_order_items, True)),
+        "order_items_agg": on_models(lambda m: orders.order_items_agg(m.stg_order_items, exact)),
         "order_payments_agg": on_models(
-            lambda m: orders.order_payments_agg(m.stg_order_payments, True)
+            lambda m: orders.order_payments_agg(m.stg_order_payments, exact)
         ),
         "order_reviews_agg": on_models(
-            lambda m: orders.order_reviews_agg(m.stg_order_reviews, True)
+            lambda m: orders.order_reviews_agg(m.stg_order_reviews, exact)
         ),
         "dataset_boundary": on_models(
             lambda m: customers.dataset_boundary(m.customer_order_summary)
@@ -173,8 +182,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named |= {
         "churn_prediction": on_fit(lambda df: df.drop("churn_probability")),
         "churn_scores": on_fit(lambda df: df),
-        "kpi_row": on_fit(lambda df: segments.kpi_row(df, True)),
-        "kpi_labels": on_fit(lambda df: segments.kpi_labels(segments.kpi_row(df, True))),
+        "kpi_row": on_fit(lambda df: segments.kpi_row(df, exact)),
+        "kpi_labels": on_fit(lambda df: segments.kpi_labels(segments.kpi_row(df, exact))),
         "tier_distribution": on_fit(segments.tier_distribution),
         "state_churn_top10": on_fit(segments.state_churn),
         "at_risk_customers": on_fit(
@@ -192,9 +201,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # The same summaries on scores that SQL can compute too.
     named |= {
         "churn_segment_summary_rule": on_rule(
-            lambda df: segments.churn_segment_summary(df, True)
+            lambda df: segments.churn_segment_summary(df, exact)
         ),
-        "kpi_row_rule": on_rule(lambda df: segments.kpi_row(df, True)),
+        "kpi_row_rule": on_rule(lambda df: segments.kpi_row(df, exact)),
         "tier_distribution_rule": on_rule(segments.tier_distribution),
         "state_churn_top10_rule": on_rule(segments.state_churn),
         "at_risk_customers_rule": on_rule(segments.at_risk_customers),
@@ -223,18 +232,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for model in dict.fromkeys(metric.model for metric in metrics.METRICS):
         if model == "churn_prediction":
             build = on_rule(
-                lambda df: metrics.metric_query("churn_prediction", df, exact=True)
+                lambda df: metrics.metric_query("churn_prediction", df, exact=exact)
             )
         elif model == "churn_segment_summary":
             build = on_rule(
                 lambda df: metrics.metric_query(
-                    "churn_segment_summary", segments.churn_segment_summary(df, True), exact=True
+                    "churn_segment_summary", segments.churn_segment_summary(df, exact), exact=exact
                 )
             )
         else:
             build = on_models(
                 lambda m, model=model: metrics.metric_query(
-                    model, getattr(m, model), exact=True
+                    model, getattr(m, model), exact=exact
                 )
             )
         named[f"metrics_{model}"] = build
@@ -242,12 +251,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metric_churn_rate_by_state": on_models(
             lambda m: metrics.metric_query(
                 "customer_360", m.customer_360, ("churned_count", "churn_rate"), ("state",),
-                exact=True,
+                exact=exact,
             )
         ),
         "metric_seller_by_state": on_models(
             lambda m: metrics.metric_query(
-                "seller_performance", m.seller_performance, None, ("seller_state",), exact=True
+                "seller_performance", m.seller_performance, None, ("seller_state",), exact=exact
             )
         ),
         "metric_late_orders_by_delay": on_models(
@@ -257,14 +266,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 None,
                 ("delivery_days",),
                 F.col("delivery_delta_days") < 0,
-                exact=True,
+                exact=exact,
             )
         ),
         "row_counts": on_models(lambda m: row_counts(m.raw)),
-        "csv_load_status": lambda spark, sf_dir: csv_load.load_status(_loaded_csv(spark, sf_dir)),
-        "csv_loaded_payments": lambda spark, sf_dir: _loaded_csv(spark, sf_dir)[
-            "order_payments"
-        ].rows,
+        "csv_load_status": on_models(lambda m: csv_load.load_status(_loaded_csv(m))),
+        "csv_loaded_payments": on_models(lambda m: _loaded_csv(m)["order_payments"].rows),
     }
     return named
 

@@ -1,34 +1,38 @@
 """Rows at given ranks of a distributed total order.
 
 A window without partitions would sort everything in one task. Here the rows are range
-partitioned and stored once, the stretches are counted, and only the few stretches that hold a
-wanted rank are numbered. Consumers then compare each row with the found rows, which needs
-neither a shuffle nor a join.
+partitioned and stored once, each stretch is counted, and only the few stretches that hold a
+wanted rank are numbered. The driver sees one count per range partition (as it does when Spark
+numbers rows with ``zipWithIndex``) and the rows found, never the data. Consumers then compare
+each row with the found rows, which needs neither a shuffle nor a join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Hashable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
+Place = tuple[Hashable, int]  # a group and the slot of a wanted row in it
+
 
 def rows_at_ranks(
     rows: DataFrame,
     group: str,
     order: Sequence[str],
-    ranks: Callable[[DataFrame], DataFrame],
+    wanted: Callable[[dict], dict[Place, int]],
     label: str,
     copies: str | None = None,
-) -> DataFrame:
-    """Find the row at each wanted rank of every group.
+) -> dict[Place, tuple]:
+    """The ``order`` values of the row at each wanted rank.
 
     ``order`` must identify a row within its group, so equal keys spread over partitions too.
-    ``ranks`` maps (group, total) to (group, slot, rank), ranks starting at 1. ``copies`` names
-    a column telling how many equal rows each row stands for. Returns (group, slot, *order).
+    ``wanted`` maps the group sizes to ranks by (group, slot), ranks starting at 1; it asks for
+    a fixed number of rows. ``copies`` names a column telling how many equal rows each row
+    stands for.
     """
     weight = F.col(copies) if copies else F.lit(1)
     # Range bounds come from a sample: without the stored copy a second pass could draw others.
@@ -38,33 +42,60 @@ def rows_at_ranks(
         .withColumn("_stretch", F.spark_partition_id()),
         label,
     )
-    # From here to `wanted` there is one row per range partition and group.
-    stretches = placed.groupBy(group, "_stretch").agg(F.sum("_n").alias("_size"))
-    so_far = Window.partitionBy(group).orderBy("_stretch")
-    ends = stretches.withColumn("_end", F.sum("_size").over(so_far))
-    totals = stretches.groupBy(group).agg(F.sum("_size").alias("total"))
-    wanted = (
-        ranks(totals)
-        .join(ends, group)
-        .filter((F.col("rank") <= F.col("_end")) & (F.col("rank") > F.col("_end") - F.col("_size")))
-        .select(
-            group,
-            "slot",
-            "_stretch",
-            (F.col("rank") - F.col("_end") + F.col("_size")).alias("_place"),
-        )
+    counted = placed.groupBy(group, "_stretch").agg(F.sum("_n").alias("_size")).collect()
+    stretches: dict[Hashable, list[tuple[int, int]]] = {}
+    for row in sorted(counted, key=lambda row: row["_stretch"]):
+        stretches.setdefault(row[group], []).append((row["_stretch"], row["_size"]))
+    totals = {key: sum(size for _, size in parts) for key, parts in stretches.items()}
+
+    targets = {}
+    for (key, slot), rank in wanted(totals).items():
+        before = 0
+        for stretch, size in stretches[key]:
+            if before < rank <= before + size:
+                targets[key, slot] = (stretch, rank - before)
+                break
+            before += size
+    if not targets:
+        return {}
+
+    # Literal conditions, so that the scan skips the files of all other stretches.
+    holding = _any_of(
+        (F.col(group) == key) & (F.col("_stretch") == stretch)
+        for key, stretch in {(key, stretch) for (key, _), (stretch, _) in targets.items()}
     )
-    # `wanted` has one row per group and slot, a number fixed by the caller.
-    holding = F.broadcast(wanted.select(group, "_stretch").distinct())
     within = Window.partitionBy(group, "_stretch").orderBy(*order)
-    numbered = placed.join(holding, [group, "_stretch"], "left_semi").withColumn(
-        "_upto", F.sum("_n").over(within)
-    )
-    return (
-        numbered.join(F.broadcast(wanted), [group, "_stretch"])
-        .filter(
-            (F.col("_upto") >= F.col("_place"))
-            & (F.col("_upto") - F.col("_n") < F.col("_place"))
+    numbered = placed.filter(holding).withColumn("_upto", F.sum("_n").over(within))
+
+    def reaches(rank: int) -> Column:
+        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
+
+    found = numbered.filter(
+        _any_of(
+            (F.col(group) == key) & (F.col("_stretch") == stretch) & reaches(rank)
+            for (key, _), (stretch, rank) in targets.items()
         )
-        .select(group, "slot", *order)
+    ).collect()
+    return {
+        (key, slot): tuple(row[name] for name in order)
+        for (key, slot), (stretch, rank) in targets.items()
+        for row in found
+        if row[group] == key
+        and row["_stretch"] == stretch
+        and row["_upto"] - row["_n"] < rank <= row["_upto"]
+    }
+
+
+def beyond(order: Sequence[Column], row: tuple, df: DataFrame) -> Column:
+    """Whether a row of ``df`` stands after the found ``row`` in the order of these columns."""
+    kinds = [field.dataType for field in df.select(*order).schema]
+    return F.struct(*order) > F.struct(
+        *[F.lit(value).cast(kind) for value, kind in zip(row, kinds)]
     )
+
+
+def _any_of(conditions) -> Column:
+    result = F.lit(False)
+    for condition in conditions:
+        result = result | condition
+    return result

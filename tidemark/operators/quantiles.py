@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.order_statistics import rows_at_ranks
-from tidemark.session import stage
+from tidemark.operators.order_statistics import beyond, rows_at_ranks
 
 
 @dataclass(frozen=True)
@@ -20,17 +19,17 @@ class Score:
     source: str
     descending: bool = False
 
-    def _key(self, tie_break: str) -> Column:
+    def key(self, tie_break: str) -> list[Column]:
         """Ascending sort key: where nulls stand, the value, and the row's own id."""
         value = F.col(self.source).cast("double")
         if self.descending:
             value = -value
         missing = F.col(self.source).isNull()
-        return F.struct(
+        return [
             F.when(missing, -1 if self.descending else 1).otherwise(0).alias("side"),
             F.coalesce(value, F.lit(0.0)).alias("key"),
             F.col(tie_break).alias("id"),
-        )
+        ]
 
 
 def with_ntiles(
@@ -40,50 +39,35 @@ def with_ntiles(
 
     ``tie_break`` must be unique. ``df`` should be stored data: it is read once to find the last
     row of each bucket and once more to be scored, and both reads must agree. Scoring compares
-    a row with ``buckets - 1`` stored rows, so it keeps partitioning and needs no shuffle.
+    a row with ``buckets - 1`` constants, so it keeps partitioning and needs no shuffle.
     """
     keyed = df.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(score.name).alias("score"), score._key(tie_break).alias("k"))
+                    F.struct(F.lit(score.name).alias("score"), *score.key(tie_break))
                     for score in scores
                 ]
             )
         )
-    ).select("score", "k.side", "k.key", "k.id")
+    )
 
-    def bucket_ends(totals: DataFrame) -> DataFrame:
+    def bucket_ends(totals: dict[str, int]) -> dict[tuple[str, int], int]:
         # The first (total mod buckets) buckets hold one row more than the others.
-        size = F.floor(F.col("total") / F.lit(buckets))
-        spare = F.col("total") % F.lit(buckets)
-        return totals.select(
-            "score", "total", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1))).alias("slot")
-        ).select("score", "slot", (F.col("slot") * size + F.least("slot", spare)).alias("rank"))
+        return {
+            (name, slot): slot * (total // buckets) + min(slot, total % buckets)
+            for name, total in totals.items()
+            for slot in range(1, buckets)
+        }
 
     last_rows = rows_at_ranks(keyed, "score", ["side", "key", "id"], bucket_ends, "ntile-keys")
-    ends = stage(
-        last_rows.groupBy().agg(
-            *[
-                F.max(
-                    F.when(
-                        (F.col("score") == score.name) & (F.col("slot") == slot),
-                        F.struct("side", "key", "id"),
-                    )
-                ).alias(f"{score.name}_{slot}")
-                for score in scores
-                for slot in range(1, buckets)
-            ]
-        ),
-        "ntile-ends",
-    )
-    ends = ends.select(F.struct(*ends.columns).alias("ends")).scalar()
 
     def bucket(score: Score) -> Column:
         number = F.lit(1)
         for slot in range(1, buckets):
-            beyond = score._key(tie_break) > ends.getField(f"{score.name}_{slot}")
-            number = number + F.coalesce(beyond.cast("int"), F.lit(0))
+            if (score.name, slot) in last_rows:
+                after = beyond(score.key(tie_break), last_rows[score.name, slot], df)
+                number = number + after.cast("int")
         return number.alias(score.name)
 
     return df.select("*", *[bucket(score) for score in scores])
@@ -112,18 +96,18 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
         .agg(F.count("*").alias("copies"))
     )
 
-    def middle(totals: DataFrame) -> DataFrame:
-        return totals.select(
-            "column",
-            F.posexplode(
-                F.array(F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1)
-            ).alias("slot", "rank"),
-        )
+    def middle(totals: dict[str, int]) -> dict[tuple[str, int], int]:
+        ranks = {}
+        for name, total in totals.items():
+            ranks[name, 0] = (total + 1) // 2
+            ranks[name, 1] = total // 2 + 1
+        return ranks
 
     found = rows_at_ranks(values, "column", ["value"], middle, "median-values", copies="copies")
     medians = {
-        row["column"]: row["median"]
-        for row in found.groupBy("column").agg(F.avg("value").alias("median")).collect()
+        name: (found[name, 0][0] + found[name, 1][0]) / 2
+        for name in columns
+        if (name, 0) in found
     }
     empty = [name for name in columns if name not in medians]
     if empty:

@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio
-from tidemark.operators.order_statistics import rows_at_ranks
+from tidemark.operators.order_statistics import beyond, rows_at_ranks
 from tidemark.operators.quantiles import exact_medians
-from tidemark.session import stage
 
 SPLIT_SEED = 42
 
@@ -58,37 +57,22 @@ def stratified_split(
     ``label`` has a few values and ``row_id`` is unique. The last held-out row of each class is
     found without collecting a class in one task; membership is then a comparison per row.
     """
-    place = F.xxhash64(F.col(row_id), F.lit(seed))
-    sizes = {row[label]: row["count"] for row in df.groupBy(label).count().collect()}
-    wanted = {key: size for key, size in held_out_sizes(sizes, test_share).items() if size}
-    if not wanted:
-        return df.withColumn("held_out", F.lit(False))
-
-    def last_held_out(totals: DataFrame) -> DataFrame:
-        rank = F.lit(None).cast("long")
-        for key, size in wanted.items():
-            rank = F.when(F.col(label) == key, size).otherwise(rank)
-        return totals.select(label, F.lit(0).alias("slot"), rank.alias("rank"))
-
-    keyed = df.select(label, place.alias("place"), F.col(row_id).alias("id"))
-    last = stage(
-        rows_at_ranks(keyed, label, ["place", "id"], last_held_out, "split-keys")
-        .groupBy()
-        .agg(
-            *[
-                F.max(F.when(F.col(label) == key, F.struct("place", "id"))).alias(f"class_{key}")
-                for key in wanted
-            ]
-        ),
-        "split-ends",
-    )
-    last = last.select(F.struct(*last.columns).alias("ends")).scalar()
+    place = [
+        F.xxhash64(F.col(row_id), F.lit(seed)).alias("place"),
+        F.col(row_id).alias("id"),
+    ]
+
+    def sizes(class_sizes: dict) -> dict:
+        return {
+            (key, 0): size
+            for key, size in held_out_sizes(class_sizes, test_share).items()
+            if size
+        }
+
+    last = rows_at_ranks(df.select(label, *place), label, ["place", "id"], sizes, "split-keys")
     held_out = F.lit(False)
-    for key in wanted:
-        here = F.struct(place.alias("place"), F.col(row_id).alias("id"))
-        held_out = F.when(
-            F.col(label) == key, here <= last.getField(f"class_{key}")
-        ).otherwise(held_out)
+    for (key, _), row in last.items():
+        held_out = F.when(F.col(label) == key, ~beyond(place, row, df)).otherwise(held_out)
     return df.withColumn("held_out", held_out)
 
 

@@ -121,8 +121,9 @@ def fit_churn_model(
 
     The label is derived from ``total_orders``, which is itself a feature (as is its copy
     ``frequency``), so hold-out figures say little about the model; ``exclude_features`` leaves
-    such columns out. The training rows are stored before the fit, as a lost executor must not
-    change the sample a boosting round draws from them.
+    such columns out. The training rows are stored before the fit, in even partitions: each of the
+    many passes waits for its largest one, and a lost executor must not change the sample a
+    round draws.
     """
     spark = customer_360.sparkSession
     features = tuple(name for name in FEATURES if name not in set(exclude_features))
@@ -135,7 +136,7 @@ def fit_churn_model(
             split.filter(~F.col("held_out"))
             .transform(fill_medians, medians)
             .withColumn("_label", F.col(TARGET).cast("double"))
-        ).select("_features", "_label"),
+        ).select("_features", "_label").hint("rebalance"),
         "training-rows",
     )
     boosting = GBTClassifier(
@@ -147,7 +148,6 @@ def fit_churn_model(
         stepSize=LEARNING_RATE,
         subsamplingRate=ROW_SAMPLE,
         seed=SEED,
-        cacheNodeIds=True,
         checkpointInterval=10,
     )
     boosting.setProbabilityCol("_probability").setRawPredictionCol("_raw")

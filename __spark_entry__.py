@@ -136,7 +136,7 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
     named = {
         name: on_models(lambda m, name=name: getattr(m, name))
         for name in MODELS
-        if name not in ("stg_geolocation", "churn_prediction")
+        if name not in ("stg_geolocation", "churn_prediction", "churn_segment_summary")
     }
     named |= {
         "geolocation_by_zip": on_models(lambda m: m.stg_geolocation),
@@ -182,6 +182,10 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
     named |= {
         "churn_prediction": on_fit(lambda df: df.drop("churn_probability")),
         "churn_scores": on_fit(lambda df: df),
+        "churn_segment_summary": on_models(
+            lambda m: m.churn_segment_summary.drop("avg_churn_probability")
+        ),
+        "churn_segment_scores": on_models(lambda m: m.churn_segment_summary),
         "kpi_row": on_fit(lambda df: segments.kpi_row(df, exact)),
         "kpi_labels": on_fit(lambda df: segments.kpi_labels(segments.kpi_row(df, exact))),
         "tier_distribution": on_fit(segments.tier_distribution),
@@ -192,6 +196,12 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
             )
         ),
         "risk_sample": on_fit(segments.risk_sample),
+        "risk_sample_size": on_fit(
+            lambda df: segments.risk_sample(df).agg(
+                F.count("*").alias("rows_drawn"),
+                F.countDistinct("customer_unique_id").alias("customers_drawn"),
+            )
+        ),
         "holdout_report": on_models(lambda m: m.churn_model.report()),
         "feature_importance_top10": on_models(lambda m: m.churn_model.importances()),
         "dq_churn_prediction": on_models(

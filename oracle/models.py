@@ -6,7 +6,8 @@ import re
 
 
 def dec(x: str) -> str:
-    return f"cast({x} as decimal(18,6))"
+    # Spark rounds the shortest decimal text of a double; so does a cast by way of text.
+    return f"cast(cast({x} as varchar) as decimal(18,6))"
 
 
 def tot(x: str) -> str:

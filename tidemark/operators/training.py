@@ -70,9 +70,10 @@ def stratified_split(
         }
 
     last = rows_at_ranks(df.select(label, *place), label, ["place", "id"], sizes, "split-keys")
+    types = ["long", df.schema[row_id].dataType]
     held_out = F.lit(False)
     for (key, _), row in last.items():
-        held_out = F.when(F.col(label) == key, ~beyond(place, row, df)).otherwise(held_out)
+        held_out = F.when(F.col(label) == key, ~beyond(place, row, types)).otherwise(held_out)
     return df.withColumn("held_out", held_out)
 
 

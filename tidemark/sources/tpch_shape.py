@@ -46,8 +46,7 @@ def raw_tables_from_tpch(spark: SparkSession, directory: str) -> dict[str, DataF
         return spark.read.parquet(f"{directory}/{name}.parquet")
 
     orders, lineitem, customer = table("orders"), table("lineitem"), table("customer")
-    # Nations and regions are fixed lists (25 and 5 rows).
-    nation, region = F.broadcast(table("nation")), F.broadcast(table("region"))
+    nation, region = table("nation"), table("region")
 
     key = F.col("o_orderkey")
     purchase = _after(F.col("o_orderdate"), _hours(key % 24))

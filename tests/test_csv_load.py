@@ -5,7 +5,7 @@ import gzip
 import pytest
 
 from tidemark.sources import csv_load
-from tidemark.sources.marts import read_mart, write_mart
+from tidemark.sources.marts import read_mart, save_as_table, write_mart
 from tidemark.sources.raw_tables import load_raw, raw_schema, row_counts
 
 REVIEWS = '''"review_id","order_id","review_score","review_comment_title","review_comment_message","review_creation_date","review_answer_timestamp"
@@ -106,3 +106,9 @@ def test_marts_are_rebuilt(spark, tmp_path):
         stored = write_mart(spark.range(n), str(tmp_path), "numbers")
         assert stored.count() == n
     assert read_mart(spark, str(tmp_path), "numbers").count() == 3
+
+
+def test_catalog_tables_are_rebuilt(spark):
+    for n in (4, 2):
+        assert save_as_table(spark.range(n), "numbers_table").count() == n
+    assert spark.table("numbers_table").count() == 2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import datetime
 
 from tidemark.operators import staging
@@ -91,3 +92,31 @@ class Shop:
 def by(df, key: str) -> dict:
     """Rows of a small frame by their key."""
     return {row[key]: row for row in df.collect()}
+
+
+# A cluster's skew handling at the size of a test: no broadcast, and "large" means kilobytes.
+SMALL_PARTITIONS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@contextmanager
+def settings(spark, values: dict[str, str]):
+    """SQL settings for the length of a block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

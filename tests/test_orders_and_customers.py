@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tests.shop import Shop, by, item, order, payment, person, review
+from tests.shop import SMALL_PARTITIONS, Shop, by, item, order, payment, person, review, settings
 from tidemark.operators import customers
 from tidemark.operators.orders import order_enriched
 from tidemark.session import stage
@@ -186,7 +186,7 @@ def test_wide_table_equals_the_joined_definition(spark):
     behaviour = customers.customer_behavioral_features(
         shop.items, shop.orders, shop.customers, shop.products, shop.payments
     )
-    wide = customers.customer_360(summary, behaviour)
+    wide = customers.customer_360(customers.with_rfm(summary), behaviour)
     key = "customer_unique_id"
     joined = (
         summary.join(customers.customer_rfm(summary).drop("total_orders"), key)
@@ -200,3 +200,48 @@ def test_wide_table_equals_the_joined_definition(spark):
     assert wide.exceptAll(joined).count() == 0
     labelled = customers.customer_churn_labels(summary).filter(F.col(key).isNotNull())
     assert wide.count() == labelled.count()
+
+
+def test_hot_keys_are_split_and_counted_right(spark):
+    """One order and one product hold a third of all items, one person a third of all orders."""
+    n = 30_000
+    shop = Shop(spark)
+    ids = spark.range(n)
+
+    def often(column, other, third):
+        hot = F.when(F.col("id") % 3 == third, "hot")
+        return hot.otherwise(F.concat(F.lit(other), "id")).alias(column)
+
+    shop.items = ids.select(often("order_id", "o", 0), often("product_id", "p", 1))
+    shop.payments = ids.select(
+        often("order_id", "o", 0),
+        F.when(F.col("id") % 2 == 0, "boleto").otherwise("voucher").alias("payment_type"),
+    )
+    shop.products = ids.select(
+        often("product_id", "p", 1), F.concat(F.lit("c"), F.col("id") % 7).alias("product_category")
+    ).dropDuplicates(["product_id"])
+    shop.orders = shop.items.select("order_id").distinct().select(
+        "order_id", F.col("order_id").alias("customer_id"), F.lit("delivered").alias("order_status")
+    )
+    shop.customers = shop.orders.select(
+        "customer_id",
+        F.when(F.col("customer_id").endswith("1"), "hot").otherwise(F.col("customer_id")).alias(
+            "customer_unique_id"
+        ),
+    )
+    for name in ("items", "orders", "customers", "products", "payments"):
+        setattr(shop, name, stage(getattr(shop, name), f"hot-{name}"))
+    with settings(spark, SMALL_PARTITIONS):
+        df = customers.customer_behavioral_features(
+            shop.items, shop.orders, shop.customers, shop.products, shop.payments
+        )
+        rows = by(df, "customer_unique_id")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("skew=true") >= 2  # items by order and by product
+    endings = [i for i in range(n) if i % 3 and i % 10 == 1]
+    hot = rows["hot"]
+    assert hot.unique_products_purchased == n // 3 + 1 + sum(i % 3 == 2 for i in endings)
+    assert hot.unique_categories_purchased == 7
+    evens = sum(1 for i in range(0, n, 3) if i % 2 == 0)
+    assert hot.boleto_usage_ratio == evens / (n // 3 + len(endings))
+    assert len(rows) == 1 + sum(1 for i in range(n) if i % 3 and i % 10 != 1)

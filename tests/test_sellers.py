@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tests.shop import Shop, by, item, order, review
+from tests.shop import SMALL_PARTITIONS, Shop, by, item, order, review, settings
 from tidemark.operators.sellers import seller_performance
 
 
@@ -96,25 +96,10 @@ def test_a_hot_order_is_split_over_tasks(spark):
         F.expr(stamps).alias("purchased_at"), F.expr(stamps).alias("delivered_at"),
         F.expr(stamps).alias("estimated_delivery_at"),
     )
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "16",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
+    with settings(spark, SMALL_PARTITIONS):
         df = scorecard(shop)
         rows = by(df, "seller_id")
         plan = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
     assert "skew=true" in plan
     assert len(rows) == 5
     assert sum(row.total_revenue for row in rows.values()) == pytest.approx(4.5 * n)

@@ -18,6 +18,17 @@ RFM_SCORES = (
     Score("monetary_score", "monetary"),
 )
 
+RFM_COLUMNS = (
+    "customer_unique_id",
+    "recency_days",
+    "frequency",
+    "monetary",
+    "recency_score",
+    "frequency_score",
+    "monetary_score",
+    "rfm_combined_score",
+)
+
 
 def customer_order_summary(
     customers: DataFrame,
@@ -66,8 +77,8 @@ def dataset_boundary(summary: DataFrame) -> DataFrame:
     return summary.agg(F.max("last_order_at").alias("max_order_date"))
 
 
-def _boundary(summary: DataFrame) -> Column:
-    return dataset_boundary(summary).scalar()
+def _boundary(rows: DataFrame) -> Column:
+    return dataset_boundary(rows).scalar()
 
 
 def with_rfm(summary: DataFrame) -> DataFrame:
@@ -75,7 +86,8 @@ def with_rfm(summary: DataFrame) -> DataFrame:
 
     Quintiles rank all persons, so this comes before any filter on labels. 5 is best: most
     recent, most orders, most revenue. Persons without any payment have no revenue; they rank
-    as the largest. Equal values are ordered by ``customer_unique_id``.
+    as the largest. Equal values are ordered by ``customer_unique_id``. ``summary`` should be
+    stored data (see ``with_ntiles``).
     """
     measured = summary.select(
         "*",
@@ -90,29 +102,18 @@ def with_rfm(summary: DataFrame) -> DataFrame:
 
 
 def customer_rfm(summary: DataFrame) -> DataFrame:
-    return with_rfm(summary).select(
-        "customer_unique_id",
-        "recency_days",
-        "frequency",
-        "monetary",
-        "recency_score",
-        "frequency_score",
-        "monetary_score",
-        "rfm_combined_score",
-    )
+    return with_rfm(summary).select(*RFM_COLUMNS)
 
 
-def with_churn_label(
-    df: DataFrame, summary: DataFrame, window_days: int = OBSERVATION_DAYS
-) -> DataFrame:
+def with_churn_label(rows: DataFrame, window_days: int = OBSERVATION_DAYS) -> DataFrame:
     """Add the label columns and keep persons observed for at least ``window_days``.
 
-    ``df`` has the summary's rows; ``summary`` supplies the boundary. A person with a single
-    order counts as churned.
+    ``rows`` holds all persons, as their latest order is the end of observation. A person with a
+    single order counts as churned.
     """
     observed = day_diff("last_order_at", "max_order_date")
     return (
-        df.withColumn("max_order_date", _boundary(summary))
+        rows.withColumn("max_order_date", _boundary(rows))
         .withColumn("days_since_last_order", observed)
         .withColumn("has_sufficient_window", F.coalesce(observed >= window_days, F.lit(False)))
         .withColumn("churned", F.when(F.col("total_orders") == 1, 1).otherwise(0))
@@ -123,7 +124,7 @@ def with_churn_label(
 def customer_churn_labels(
     summary: DataFrame, window_days: int = OBSERVATION_DAYS
 ) -> DataFrame:
-    return with_churn_label(summary, summary, window_days).select(
+    return with_churn_label(summary, window_days).select(
         "customer_unique_id",
         "total_orders",
         "last_order_at",
@@ -206,15 +207,15 @@ def customer_behavioral_features(
 
 
 def customer_360(
-    summary: DataFrame, behavioral: DataFrame, window_days: int = OBSERVATION_DAYS
+    scored: DataFrame, behavioral: DataFrame, window_days: int = OBSERVATION_DAYS
 ) -> DataFrame:
     """The wide customer table: summary, scores, behaviour and label of each labelled person.
 
-    Scores and labels are functions of a summary row and a few scalars, so they are added in
-    place rather than joined back; the behavioural features are the only join. ``summary``
-    should be stored data (see ``with_ntiles``).
+    ``scored`` is the summary with its scores (``with_rfm``). Scores and labels are functions of
+    a summary row and a few constants, so they are added in place rather than joined back; the
+    behavioural features are the only join.
     """
-    labelled = with_churn_label(with_rfm(summary), summary, window_days)
+    labelled = with_churn_label(scored, window_days)
     return (
         labelled.filter(F.col("customer_unique_id").isNotNull())
         .join(behavioral, "customer_unique_id", "left")

@@ -89,9 +89,14 @@ class Analytics:
         )
         return stage(summary, "customer_order_summary")
 
+    @cached_property
+    def scored_summary(self) -> DataFrame:
+        """The summary with its scores; ranks are found once for all readers."""
+        return customers.with_rfm(self.customer_order_summary)
+
     @cached_property
     def customer_rfm(self) -> DataFrame:
-        return customers.customer_rfm(self.customer_order_summary)
+        return self.scored_summary.select(*customers.RFM_COLUMNS)
 
     @cached_property
     def customer_churn_labels(self) -> DataFrame:
@@ -108,9 +113,7 @@ class Analytics:
         )
 
     def customer_360_rows(self) -> DataFrame:
-        return customers.customer_360(
-            self.customer_order_summary, self.customer_behavioral_features
-        )
+        return customers.customer_360(self.scored_summary, self.customer_behavioral_features)
 
     @cached_property
     def customer_360(self) -> DataFrame:
@@ -160,5 +163,5 @@ class Analytics:
 
 MODELS = tuple(
     name for name, member in vars(Analytics).items()
-    if isinstance(member, cached_property) and name != "churn_model"
+    if isinstance(member, cached_property) and name not in ("scored_summary", "churn_model")
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 import uuid
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from oracle.queries import texts
 from tidemark.functions.risk import risk_tier
-from tidemark.operators import customers, orders, segments, training
+from tidemark.operators import customers, orders, segments, staging, training
 from tidemark.plans import metrics, quality
 from tidemark.plans.analytics import MODELS, Analytics
 from tidemark.plans.churn_model import FEATURES, SCORED_COLUMNS
@@ -106,6 +107,16 @@ def _loaded_csv(models: Analytics) -> dict[str, csv_load.LoadResult]:
     return models.loaded_csv
 
 
+def _rejected_rows(models: Analytics) -> DataFrame:
+    """Rows set aside by the load of the tables keyed by order, with the reason."""
+    parts = [
+        result.rejects.select(F.lit(table).alias("table_name"), "order_id", "reason")
+        for table, result in _loaded_csv(models).items()
+        if table in ("orders", "order_payments", "order_reviews")
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def _check_summary(models: Analytics) -> DataFrame:
     """All checks but those of the fitted model, over derived models stored first."""
     ready = {}
@@ -282,6 +293,26 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
         "row_counts": on_models(lambda m: row_counts(m.raw)),
         "csv_load_status": on_models(lambda m: csv_load.load_status(_loaded_csv(m))),
         "csv_loaded_payments": on_models(lambda m: _loaded_csv(m)["order_payments"].rows),
+        "csv_rejects": on_models(_rejected_rows),
+        "csv_text_load": on_models(
+            lambda m: staging.stg_order_items(
+                csv_load.load_csv_as_text(
+                    m.spark, f"{csv_folder(m)}/{csv_load.CSV_FILES['order_items']}"
+                )
+            )
+        ),
+        "metric_revenue_label_by_tier": on_rule(
+            lambda df: metrics.with_text_formats(
+                "churn_prediction",
+                metrics.metric_query(
+                    "churn_prediction",
+                    df,
+                    ("total_lifetime_revenue",),
+                    ("churn_risk_tier",),
+                    exact=exact,
+                ),
+            )
+        ),
     }
     return named
 

@@ -293,4 +293,18 @@ def texts() -> dict[str, str]:
     )
     sql["csv_loaded_payments"] = f"""
         select * from stg_order_payments where not ({bad['order_payments']})"""
+    reasons = {
+        "orders": "order_status: too long",
+        "order_payments": "payment_value: not double",
+        "order_reviews": "review_score: not int",
+    }
+    sql["csv_rejects"] = " union all ".join(
+        f"select '{table}' table_name, order_id, '{reason}' reason from {raw[table]} where {bad[table]}"
+        for table, reason in reasons.items()
+    )
+    sql["csv_text_load"] = "select * from stg_order_items"
+    sql["metric_revenue_label_by_tier"] = f"""
+        select churn_risk_tier, 'R$' || format('{{:,}}', cast(round_even(total, 0) as bigint))
+               total_lifetime_revenue
+        from (select churn_risk_tier, {tot('lifetime_revenue')} total from rule_scored group by all)"""
     return {name: using(text) for name, text in sql.items()}

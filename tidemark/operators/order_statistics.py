@@ -9,6 +9,7 @@ each row with the found rows, which needs neither a shuffle nor a join.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Hashable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -61,22 +62,23 @@ def rows_at_ranks(
         return {}
 
     # Literal conditions, so that the scan skips the files of all other stretches.
-    holding = _any_of(
-        (F.col(group) == key) & (F.col("_stretch") == stretch)
-        for key, stretch in {(key, stretch) for (key, _), (stretch, _) in targets.items()}
-    )
+    in_group, in_stretch, upto, size = F.col(group), F.col("_stretch"), F.col("_upto"), F.col("_n")
+    places = {
+        (key, stretch): (in_group == key) & (in_stretch == stretch)
+        for (key, _), (stretch, _) in targets.items()
+    }
     within = Window.partitionBy(group, "_stretch").orderBy(*order)
-    numbered = placed.filter(holding).withColumn("_upto", F.sum("_n").over(within))
-
-    def reaches(rank: int) -> Column:
-        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
-
-    found = numbered.filter(
-        _any_of(
-            (F.col(group) == key) & (F.col("_stretch") == stretch) & reaches(rank)
-            for (key, _), (stretch, rank) in targets.items()
+    found = (
+        placed.filter(_any_of(places.values()))
+        .withColumn("_upto", F.sum(size).over(within))
+        .filter(
+            _any_of(
+                places[key, stretch] & (upto >= rank) & (upto - size < rank)
+                for (key, _), (stretch, rank) in targets.items()
+            )
         )
-    ).collect()
+        .collect()
+    )
     return {
         (key, slot): tuple(row[name] for name in order)
         for (key, slot), (stretch, rank) in targets.items()
@@ -87,14 +89,10 @@ def rows_at_ranks(
     }
 
 
-def beyond(order: Sequence[Column], row: tuple, types: Sequence[T.DataType | str]) -> Column:
-    """Whether a row stands after the found ``row`` in the order of these columns."""
-    constants = [F.lit(value).cast(kind) for value, kind in zip(row, types)]
-    return F.struct(*order) > F.struct(*constants)
+def beyond(here: Column, row: tuple, types: Sequence[T.DataType | str]) -> Column:
+    """Whether a row, its order columns packed in ``here``, stands after the found ``row``."""
+    return here > F.struct(*[F.lit(value).cast(kind) for value, kind in zip(row, types)])
 
 
 def _any_of(conditions) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+    return functools.reduce(Column.__or__, conditions)

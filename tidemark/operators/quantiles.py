@@ -65,11 +65,11 @@ def with_ntiles(
     types = ["int", "double", df.schema[tie_break].dataType]
 
     def bucket(score: Score) -> Column:
+        here = F.struct(*score.key(tie_break))
         number = F.lit(1)
         for slot in range(1, buckets):
             if (score.name, slot) in last_rows:
-                after = beyond(score.key(tie_break), last_rows[score.name, slot], types)
-                number = number + after.cast("int")
+                number = number + beyond(here, last_rows[score.name, slot], types).cast("int")
         return number.alias(score.name)
 
     return df.select("*", *[bucket(score) for score in scores])

@@ -73,7 +73,7 @@ def stratified_split(
     types = ["long", df.schema[row_id].dataType]
     held_out = F.lit(False)
     for (key, _), row in last.items():
-        held_out = F.when(F.col(label) == key, ~beyond(place, row, types)).otherwise(held_out)
+        held_out = F.when(F.col(label) == key, ~beyond(F.struct(*place), row, types)).otherwise(held_out)
     return df.withColumn("held_out", held_out)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import importlib
 import os
 import sys
 import uuid
@@ -24,6 +25,21 @@ from tidemark.sources import csv_load
 from tidemark.sources.raw_tables import row_counts
 from tidemark.sources.tpch_shape import raw_tables_from_tpch
 
+
+
+def _optional(name: str):
+    """A module of the corpus operators, or None where that part of the repository is absent."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name and (name == missing.name or name.startswith(f"{missing.name}.")):
+            return None
+        raise
+
+
+corpus_queries = _optional("tidemark.llm.queries")
+corpus_pipeline = _optional("corpus_pipeline")
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 _open: dict[tuple[str, str, bool], Analytics] = {}
@@ -314,8 +330,17 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
             )
         ),
     }
+    if corpus_queries:
+        named |= corpus_queries.QUERIES
+    if corpus_pipeline:
+        named["pipeline"] = corpus_pipeline.run
     return named
 
 
 def oracle_sql() -> dict[str, str]:
-    return texts()
+    known = texts()
+    if corpus_queries:
+        known |= corpus_queries.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        known["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return known

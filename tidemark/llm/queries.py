@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, packing, token_files
+from tidemark.llm import exact_dedup, packing, quality, simhash, token_files
 from tidemark.llm.common import new_folder, table
 
 
@@ -14,6 +14,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents")).drop("row", "kept")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
@@ -26,6 +35,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_simhash": op3_simhash,
+    "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
     "op8_exact_dedup": op8_exact_dedup,
 }

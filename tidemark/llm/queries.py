@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, packing, quality, simhash, token_files
+from tidemark.llm import exact_dedup, packing, quality, simhash, token_files, url_rules
 from tidemark.llm.common import new_folder, table
 
 
@@ -18,6 +18,21 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).drop("row", "kept")
 
 
+# The rules of the contract: fixed values.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -36,12 +51,39 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_simhash": op3_simhash,
+    "op5_url_rules": op5_url_rules,
     "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_url_rules": r"""
+        WITH rest AS (
+            SELECT page_id, CASE WHEN contains(url, '://')
+                       THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ), parsed AS (
+            SELECT page_id,
+                   translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM rest
+        ), rules(rule_host, rule_path, rule_verdict) AS (
+            VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+                   ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'),
+                   ('com', '/de/', 'block')
+        ), best AS (
+            SELECT p.page_id, p.host, p.path,
+                   arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+                   arg_max(rule_verdict, length(rule_host || rule_path)) AS rule_verdict
+            FROM parsed p LEFT JOIN rules
+              ON (p.host = rule_host OR ends_with(p.host, '.' || rule_host))
+             AND starts_with(p.path, rule_path)
+            GROUP BY ALL
+        )
+        SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM best
+    """,
     "op8_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS text,

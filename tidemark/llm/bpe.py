@@ -30,7 +30,7 @@ IRREGULAR = (
 WHOLE = re.compile("[\x1c-\x1f᠎]")
 UNITS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-MOST_UNITS = 400_000
+MOST_UNITS = 250_000
 SLICE_BYTES = 8 << 20
 
 
@@ -65,22 +65,25 @@ class UnitEncoder:
         return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
 
     def unit(self, text: str) -> bytes:
-        """The ids of one part; two generations of remembered parts bound the memory."""
+        """The ids of one part; a word with marks behind it is two parts, remembered apart."""
         found = self.units.get(text)
         if found is not None:
             return found
-        found = self.older_units.get(text)
+        word = WORD.fullmatch(text)
+        if word and word[2]:
+            return self._remembered(word[1], True) + self._remembered(word[2], True)
+        return self._remembered(text, bool(word))
+
+    def _remembered(self, text: str, plain: bool) -> bytes:
+        """Two generations of remembered parts bound the memory."""
+        found = self.units.get(text)
         if found is None:
-            word = WORD.fullmatch(text)
-            if not word:
-                found = self.whole(text)
-            elif word[2]:
-                found = self.unit(word[1]) + self._model_ids(word[2])
-            else:
-                found = self._model_ids(text)
-        if len(self.units) >= MOST_UNITS:
-            self.older_units, self.units = self.units, {}
-        self.units[text] = found
+            found = self.older_units.get(text)
+            if found is None:
+                found = self._model_ids(text) if plain else self.whole(text)
+            if len(self.units) >= MOST_UNITS:
+                self.older_units, self.units = self.units, {}
+            self.units[text] = found
         return found
 
     def _irregular(self, text: str) -> bytes:
@@ -96,8 +99,8 @@ class UnitEncoder:
         cut = pc.replace_substring(cut, "\n", f"{CUT}\n{CUT}")
         parts = pc.split_pattern(cut, CUT)
         coded = parts.flatten().dictionary_encode()
-        blobs = pa.array(map(self.unit, coded.dictionary.to_pylist()), pa.large_binary())
-        placed = blobs.take(coded.indices)
+        units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        placed = _binary_array(list(map(self.unit, units))).take(coded.indices)
         ends = np.frombuffer(placed.buffers()[1], "<i8")[placed.offset :] if len(placed) else [0]
         data = memoryview(placed.buffers()[2] or b"") if len(placed) else b""
         bounds = np.asarray(ends)[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
@@ -125,6 +128,13 @@ def by_bytes(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa
         yield start, texts.slice(start, end - start)
 
 
+def _binary_array(blobs: list[bytes]) -> pa.Array:
+    ends = np.zeros(len(blobs) + 1, dtype="<i8")
+    np.cumsum(np.fromiter(map(len, blobs), dtype="<i8", count=len(blobs)), out=ends[1:])
+    buffers = [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(b"".join(blobs))]
+    return pa.Array.from_buffers(pa.large_binary(), len(blobs), buffers)
+
+
 _encoders: dict[str, UnitEncoder] = {}
 
 

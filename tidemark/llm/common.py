@@ -49,6 +49,13 @@ def partitions_for(df: DataFrame, target_bytes: int = 64 << 20) -> int:
     return max(configured, min(-(-size // target_bytes), 1_000_000))
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Smaller Arrow batches for columns of whole texts, unless the session's owner chose a number."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(rows))
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

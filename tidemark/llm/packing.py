@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe
-from tidemark.llm.common import stored, text_of
+from tidemark.llm.common import bounded_batches, stored, text_of
 
 SEQUENCE_TOKENS = 2048
 WINDOW_TOKENS = 32 * SEQUENCE_TOKENS
@@ -82,6 +82,7 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
     ``queue_start`` counts the tokens of the same queue earlier in the partition.
     """
+    bounded_batches(docs.sparkSession)
     queue = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), queue.alias("queue"), text_of().alias("text")

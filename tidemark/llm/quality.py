@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import bounded_batches, text_of
 
 PIECE_BYTES = 1024
 DICTIONARY_BYTES = 500_000
@@ -200,6 +200,7 @@ def _scored(model: QualityModel):
 
 def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("text")
     )
@@ -213,6 +214,7 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) ->
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` whose score reaches the threshold, all columns unchanged, without a shuffle."""
+    bounded_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
     column = docs.columns.index("text")
 

@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, packing, quality, simhash, token_files, url_rules
+from tidemark.llm import (
+    cap_filters,
+    exact_dedup,
+    kd_shards,
+    packing,
+    quality,
+    simhash,
+    token_files,
+    url_rules,
+)
 from tidemark.llm.common import new_folder, table
 
 
@@ -18,6 +27,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).drop("row", "kept")
 
 
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(table(spark, sf_dir, "documents"))
+
+
 # The rules of the contract: fixed values.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -44,6 +57,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(spark, path)
 
 
+def op9_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("row")
 
@@ -51,10 +68,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_simhash": op3_simhash,
+    "op4_kd_shards": op4_kd_shards,
     "op5_url_rules": op5_url_rules,
     "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_cap_filters": op9_cap_filters,
 }
 
 ORACLE_SQL: dict[str, str] = {

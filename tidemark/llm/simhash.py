@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_UPPER, partitions_for, row_id, stored, text_of
+from tidemark.llm.common import ASCII_UPPER, bounded_batches, partitions_for, row_id, stored, text_of
 from tidemark.llm.components import components, local_roots
 
 BITS = 64
@@ -79,6 +79,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def with_fingerprints(docs: DataFrame) -> DataFrame:
     """row, doc_id and the fingerprint as a signed long."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         row_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe
-from tidemark.llm.common import partitions_for, text_of
+from tidemark.llm.common import bounded_batches, partitions_for, text_of
 
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 PAGE_BYTES = 64 << 10
@@ -91,6 +91,7 @@ def write_token_files(
     Texts are dealt out by ranges of ``doc_id`` first and encoded where they are written: ids pass no
     shuffle, and the sampling for the ranges does not encode anything.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange(partitions_for(rows), "doc_id", "tie")

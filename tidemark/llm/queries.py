@@ -13,6 +13,7 @@ from tidemark.llm import (
     kd_shards,
     packing,
     quality,
+    sentence_pieces,
     simhash,
     token_files,
     url_rules,
@@ -24,6 +25,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).drop("row", "kept")
 
@@ -81,6 +86,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_sentence_pieces": op2_sentence_pieces,
     "op3_simhash": op3_simhash,
     "op4_kd_shards": op4_kd_shards,
     "op5_url_rules": op5_url_rules,

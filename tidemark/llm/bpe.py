@@ -30,8 +30,8 @@ IRREGULAR = (
 WHOLE = re.compile("[\x1c-\x1f᠎]")
 UNITS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-MOST_UNITS = 250_000
-SLICE_BYTES = 8 << 20
+MOST_UNITS = 150_000
+SLICE_BYTES = 3 << 20
 
 
 def _byte_characters() -> dict[int, str]:
@@ -51,6 +51,7 @@ class UnitEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.names = _byte_characters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.units: dict[str, bytes] = {}

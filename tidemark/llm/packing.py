@@ -53,21 +53,26 @@ def _tokenize(vocabulary: str, end_id: int):
 
         part, place, ends = TaskContext.get().partitionId(), 0, Counter()
         encoder, end = bpe.encoder(vocabulary), np.uint32(end_id).tobytes()
+        # stored and shuffled in two bytes where all ids fit
+        short = max(encoder.size - 1, end_id) < 1 << 16
         for batch in batches:
             for first, texts in bpe.by_bytes(batch.column("text")):
                 ids = [blob + end for blob in encoder.encode(texts)]
+                counts = [len(blob) // 4 for blob in ids]
+                if short:
+                    ids = [np.frombuffer(blob, "<u4").astype("<u2").tobytes() for blob in ids]
                 queues = batch.column("queue").slice(first, len(texts))
                 starts = []
-                for queue, blob in zip(queues.to_pylist(), ids, strict=True):
+                for queue, count in zip(queues.to_pylist(), counts, strict=True):
                     starts.append(ends[queue])
-                    ends[queue] += len(blob) // 4
+                    ends[queue] += count
                 columns = [
                     pa.array(np.full(len(ids), part, dtype="<i4")),
                     pa.array(np.arange(place, place + len(ids))),
                     batch.column("doc_id").slice(first, len(texts)),
                     queues,
                     pa.array(starts, pa.int64()),
-                    pa.array([len(blob) // 4 for blob in ids], pa.int64()),
+                    pa.array(counts, pa.int64()),
                     pa.array(ids, pa.binary()),
                 ]
                 names = [f.split()[0] for f in TOKEN_SCHEMA.split(", ")]
@@ -247,9 +252,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.arange(len(pieces)), np.diff(pieces.offsets.to_numpy()))
         flat = pieces.flatten()
         starts, lengths = flat.field("start").to_numpy(), flat.field("length").to_numpy()
-        views = [memoryview(blob.as_buffer()) for blob in batch.column("ids")]
+        counts = batch.column("doc_tokens").to_pylist()
+        views = [
+            np.frombuffer(blob.as_buffer(), "<u2" if len(blob.as_buffer()) == 2 * n else "<u4")
+            for blob, n in zip(batch.column("ids"), counts, strict=True)
+        ]
         ids = [
-            bytes(views[k][4 * a : 4 * (a + n)])
+            views[k][a : a + n].astype("<u4").tobytes()
             for k, a, n in zip(owner, starts, lengths, strict=True)
         ]
         take = pa.array(owner)

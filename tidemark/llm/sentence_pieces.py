@@ -17,7 +17,8 @@ Other texts are segmented whole, word by word: a piece holds the space mark only
 independent, and each distinct word is segmented once per worker.
 
 The model file is one of BPE type; its pieces and scores are used under the unigram rule, as the
-library does when the file's type field says so. Of equal totals the longer last piece wins.
+library does when the file's type field says so. Of equal totals the longer last piece wins; across
+the border of two chunks any of the best paths may be taken.
 
 Defined cases: a null or empty text has no pieces and decodes to the empty text; the space mark U+2581
 in a text is read as a space, as in the library; repeated rows and null doc_ids are rows like others; an

@@ -138,18 +138,16 @@ def _cuts(tree: DataFrame, nodes: list[Node], dimension: dict[int, str], fine: f
     cuts: dict[int, int] = {}
     left = PLACE_BITS
     while open_nodes:
-        left = max(0, left - DIGIT_BITS)
-        inside = F.lit(False)
+        span = min(left, DIGIT_BITS)
+        left -= span
+        start_of = F.lit(None).cast("long")
         for number in open_nodes:
-            span = 1 << min(PLACE_BITS, left + DIGIT_BITS)
-            here = (F.col("node") == number) & F.col("place").between(
-                low[number], low[number] + span - 1
-            )
-            inside = inside | here
-        digit = F.shiftright("place", left).bitwiseAND((1 << DIGIT_BITS) - 1)
+            start_of = F.when(F.col("node") == number, F.lit(low[number])).otherwise(start_of)
+        behind = F.col("place") - start_of
         sums = (
-            placed.filter(inside)
-            .groupBy("node", digit.alias("digit"))
+            placed.withColumn("digit", F.shiftright(behind, left))
+            .filter(F.col("digit").between(0, (1 << span) - 1))
+            .groupBy("node", "digit")
             .agg(F.sum("weight").alias("weight"), F.count("*").alias("n"))
             .collect()
         )
@@ -199,7 +197,8 @@ def tree_of(placed: DataFrame, n_shards: int) -> DataFrame:
                     F.lit(node.first + half)
                 )
             node_of = F.when(F.col("node") == node.number, number).otherwise(node_of)
-        tree = tree.withColumn("node", node_of.cast("int"))
+        # stored, as an expression over all levels would grow with their product
+        tree = stored(tree.withColumn("node", node_of.cast("int")), "shard-nodes")
         nodes = following
     return tree.withColumnRenamed("node", "shard")
 

@@ -78,6 +78,7 @@ def _tokenize(vocabulary: str, end_id: int):
                 names = [f.split()[0] for f in TOKEN_SCHEMA.split(", ")]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 place += len(ids)
+        encoder.rest()
 
     return run
 

@@ -16,8 +16,10 @@ for every state.
 Other texts are segmented whole, word by word: a piece holds the space mark only in front, so words are
 independent, and each distinct word is segmented once per worker.
 
-The model file is one of BPE type; its pieces and scores are used under the unigram rule, as the
-library does when the file's type field says so. Of equal totals the longer last piece wins; across
+The model file is one of BPE type, whose scores are ranks and whose merges are no path of greatest score.
+Its pieces are used under the unigram rule instead, which is what this scan computes, with the log
+probabilities that Zipf's law gives to their ranks. The result is what the library finds for a file of
+unigram type with these scores (its n-best search; tests compare). Of equal totals the longer last piece wins; across
 the border of two chunks any of the best paths may be taken.
 
 Defined cases: a null or empty text has no pieces and decodes to the empty text; the space mark U+2581
@@ -27,6 +29,7 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from array import array
@@ -50,6 +53,14 @@ UNKNOWN_PENALTY = 10.0
 NEVER = -np.inf
 
 
+def piece_score(file_score: float) -> float:
+    """Ten thousand times the log probability, up to a constant, of a piece of rank -file_score.
+
+    Whole numbers, so that sums are exact and equal in any order.
+    """
+    return -float(round(10_000 * math.log1p(-file_score)))
+
+
 class PieceModel:
     """Pieces, scores and the best-path search of one model file."""
 
@@ -68,7 +79,7 @@ class PieceModel:
             elif library.is_control(k) or library.is_unknown(k):
                 self.shown[k] = b""
             elif not library.is_unused(k):
-                self.pieces[library.id_to_piece(k)] = (library.get_score(k), k)
+                self.pieces[library.id_to_piece(k)] = (piece_score(library.get_score(k)), k)
         self.unknown = min(score for score, _ in self.pieces.values()) - UNKNOWN_PENALTY
         self.reach = max(map(len, self.pieces))
         # words are independent if the mark stands only in front of pieces

@@ -73,6 +73,7 @@ def _encode_partition(vocabulary: str, end_id: int):
                     names=["doc_id", "part", "part_start", "n_tokens", "ids"],
                 )
                 before += int(offsets[-1])
+        encoder.rest()
 
     return run
 

@@ -48,7 +48,7 @@ MARK = "▁"
 GIANT_CHARS = 32_768
 CHUNK_CHARS = 8_192
 CHUNKS_PER_BLOCK = 64
-MOST_WORDS = 200_000
+MOST_WORDS = 400_000
 UNKNOWN_PENALTY = 10.0
 NEVER = -np.inf
 
@@ -61,6 +61,18 @@ def piece_score(file_score: float) -> float:
     return -float(round(10_000 * math.log1p(-file_score)))
 
 
+class WordIds(dict):
+    """Ids of the words met so far."""
+
+    def __init__(self, traced):
+        super().__init__()
+        self.traced = traced
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.traced(word)[1]
+        return ids
+
+
 class PieceModel:
     """Pieces, scores and the best-path search of one model file."""
 
@@ -84,8 +96,9 @@ class PieceModel:
         self.reach = max(map(len, self.pieces))
         # words are independent if the mark stands only in front of pieces
         self.marks_lead = all(MARK not in piece.lstrip(MARK) for piece in self.pieces)
-        self.words: dict[str, tuple[float, bytes]] = {}
-        self.older_words: dict[str, tuple[float, bytes]] = {}
+        # what pieces of more than one character start with, and no piece is longer than
+        self.starts = {piece[:k] for piece in self.pieces for k in range(1, len(piece))}
+        self.word_ids = WordIds(self.traced)
 
     def forward(self, text: str, start: int, stop: int) -> tuple[np.ndarray, list]:
         """Best scores of cuts from ``start``, with pieces that begin before ``stop``."""
@@ -105,35 +118,49 @@ class PieceModel:
                     score[end], last[end] = so_far + piece[0], (at, piece[1])
         return np.array(score), last
 
-    def _traced(self, text: str) -> tuple[float, bytes]:
-        score, last = self.forward(text, 0, len(text))
+    def traced(self, text: str) -> tuple[float, bytes]:
+        """Score and ids of the best path over a word: ``forward``, with dead ends left early."""
+        n, known, starts, unknown = len(text), self.pieces.get, self.starts, self.unknown
+        score, last = [NEVER] * (n + 1), [None] * (n + 1)
+        score[0] = 0.0
+        for at in range(n):
+            so_far = score[at]
+            end = at + 1
+            part = text[at]
+            piece = known(part)
+            total = so_far + (piece[0] if piece else unknown)
+            if total > score[end]:
+                score[end], last[end] = total, (at, piece[1] if piece else -1)
+            while part in starts and end < n:
+                end += 1
+                part = text[at:end]
+                piece = known(part)
+                if piece is not None and so_far + piece[0] > score[end]:
+                    score[end], last[end] = so_far + piece[0], (at, piece[1])
         ids: list[int] = []
-        end = len(text)
+        end = n
         while end:
-            start, piece = last[end]
-            if piece >= 0:
-                ids.append(piece)
+            start, number = last[end]
+            if number >= 0:
+                ids.append(number)
             else:
                 ids += [self.byte_ids[b] for b in reversed(text[start:end].encode())]
             end = start
-        return float(score[-1]), array("I", reversed(ids)).tobytes()
-
-    def word(self, text: str) -> tuple[float, bytes]:
-        """Score and ids of one word; two generations of remembered words bound the memory."""
-        found = self.words.get(text)
-        if found is None:
-            found = self.older_words.get(text) or self._traced(text)
-            if len(self.words) >= MOST_WORDS:
-                self.older_words, self.words = self.words, {}
-            self.words[text] = found
-        return found
+        ids.reverse()
+        return score[n], array("I", ids).tobytes()
 
     def words_of(self, text: str) -> list[str]:
         return WORDS.findall(text) if self.marks_lead else [text] if text else []
 
     def ids(self, marked: str) -> bytes:
         """The ids of a text whose spaces are marks, as unsigned 32-bit bytes."""
-        return b"".join([self.word(w)[1] for w in self.words_of(marked)])
+        if len(self.word_ids) > MOST_WORDS:
+            self.word_ids.clear()
+        return b"".join(map(self.word_ids.__getitem__, self.words_of(marked)))
+
+    def score(self, marked: str) -> float:
+        """The score of the best path over whole words."""
+        return sum(self.traced(word)[0] for word in self.words_of(marked))
 
     def word_starts(self, text: str) -> list[int]:
         """Positions that every path must cut: the starts of words."""
@@ -163,7 +190,7 @@ class PieceModel:
                         out[i, j] = score[end]
             return out
         column = np.array([self.forward(text[:head], i, head)[0][head] for i in range(reach)])
-        middle = sum(self.word(w)[0] for w in self.words_of(text[head:tail]))
+        middle = self.score(text[head:tail])
         score, _ = self.forward(text[tail:], 0, size - tail)
         row = np.full(reach, NEVER)
         for j, end in enumerate(ends):

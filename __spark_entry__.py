@@ -22,6 +22,7 @@ from tidemark.plans.analytics import MODELS, Analytics
 from tidemark.plans.churn_model import FEATURES, SCORED_COLUMNS
 from tidemark.session import shared_dir, stage
 from tidemark.sources import csv_load
+from tidemark.sources.marts import read_mart, write_mart
 from tidemark.sources.raw_tables import row_counts
 from tidemark.sources.tpch_shape import raw_tables_from_tpch
 
@@ -116,6 +117,47 @@ def csv_folder(models: Analytics) -> str:
     return models.csv_folder
 
 
+def _loaded_table(models: Analytics, table: str) -> csv_load.LoadResult:
+    """One table loaded from its CSV files."""
+    path = f"{csv_folder(models)}/{csv_load.CSV_FILES[table]}"
+    target = f"{csv_folder(models)}-{table}-{uuid.uuid4().hex}"
+    return csv_load.load_csv(models.spark, table, path, target)
+
+
+def _text_load(models: Analytics) -> csv_load.LoadResult:
+    """Order items as text; lines of some orders have a field too many or one too few."""
+    folder = f"{csv_folder(models)}-text-{uuid.uuid4().hex}"
+    items, key = models.raw["order_items"], F.col("order_id").cast("long")
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in items.columns]
+    line = F.concat_ws(
+        ",",
+        F.when(key % 71 == 0, F.concat_ws(",", *fields, F.lit("more")))
+        .when(key % 73 == 0, F.concat_ws(",", *fields[:-1]))
+        .otherwise(F.concat_ws(",", *fields)),
+    )
+    # one partition a file, each with its own header
+    header = ",".join(items.columns)
+    items.select(line.alias(header)).write.option("header", True).option("quote", "").csv(folder)
+    return csv_load.load_csv_as_text(models.spark, folder, f"{folder}-loaded")
+
+
+def _reloaded(models: Analytics) -> DataFrame:
+    """Payments loaded twice into one place; the second load replaces the first."""
+    path = f"{csv_folder(models)}/{csv_load.CSV_FILES['order_payments']}"
+    target = f"{csv_folder(models)}-again-{uuid.uuid4().hex}"
+    for _ in range(2):
+        loaded = csv_load.load_csv(models.spark, "order_payments", path, target)
+    return loaded.rows
+
+
+def _mart_roundtrip(models: Analytics) -> DataFrame:
+    """The wide customer table written as a mart, rebuilt, and read again."""
+    folder = f"{csv_folder(models)}-marts-{uuid.uuid4().hex}"
+    for _ in range(2):
+        write_mart(models.customer_360, folder, "customer_360")
+    return read_mart(models.spark, folder, "customer_360")
+
+
 def _loaded_csv(models: Analytics) -> dict[str, csv_load.LoadResult]:
     if not hasattr(models, "loaded_csv"):
         folder = csv_folder(models)
@@ -126,9 +168,10 @@ def _loaded_csv(models: Analytics) -> dict[str, csv_load.LoadResult]:
 def _rejected_rows(models: Analytics) -> DataFrame:
     """Rows set aside by the load of the tables keyed by order, with the reason."""
     parts = [
-        result.rejects.select(F.lit(table).alias("table_name"), "order_id", "reason")
-        for table, result in _loaded_csv(models).items()
-        if table in ("orders", "order_payments", "order_reviews")
+        _loaded_table(models, table).rejects.select(
+            F.lit(table).alias("table_name"), "order_id", "reason"
+        )
+        for table in ("orders", "order_payments", "order_reviews")
     ]
     return functools.reduce(DataFrame.unionByName, parts)
 
@@ -197,6 +240,11 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
             .groupBy("churned", "held_out")
             .agg(F.count("*").alias("n"))
         ),
+        "stratified_split_rows": on_models(
+            lambda m: training.stratified_split(
+                m.customer_360, "churned", "customer_unique_id"
+            ).select("customer_unique_id", "churned", "held_out")
+        ),
         "classification_report": on_rule(training.classification_report),
         "risk_tier_edges": on_models(
             lambda m: m.stg_orders.select(
@@ -222,7 +270,7 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
                 "customer_unique_id", "state", "lifetime_revenue", "churn_risk_tier"
             )
         ),
-        "risk_sample": on_fit(segments.risk_sample),
+        "risk_sample": on_fit(lambda df: segments.risk_sample(df).drop("churn_probability")),
         "risk_sample_size": on_fit(
             lambda df: segments.risk_sample(df).agg(
                 F.count("*").alias("rows_drawn"),
@@ -308,14 +356,16 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
         ),
         "row_counts": on_models(lambda m: row_counts(m.raw)),
         "csv_load_status": on_models(lambda m: csv_load.load_status(_loaded_csv(m))),
-        "csv_loaded_payments": on_models(lambda m: _loaded_csv(m)["order_payments"].rows),
+        "csv_loaded_payments": on_models(lambda m: _loaded_table(m, "order_payments").rows),
         "csv_rejects": on_models(_rejected_rows),
+        "csv_loaded_reviews": on_models(lambda m: _loaded_table(m, "order_reviews").rows),
+        "csv_reload": on_models(_reloaded),
+        "csv_text_rejects": on_models(
+            lambda m: _text_load(m).rejects.select("reason", "order_id", "order_item_id")
+        ),
+        "mart_roundtrip": on_models(_mart_roundtrip),
         "csv_text_load": on_models(
-            lambda m: staging.stg_order_items(
-                csv_load.load_csv_as_text(
-                    m.spark, f"{csv_folder(m)}/{csv_load.CSV_FILES['order_items']}"
-                )
-            )
+            lambda m: staging.stg_order_items(_text_load(m).rows)
         ),
         "metric_revenue_label_by_tier": on_rule(
             lambda df: metrics.with_text_formats(

@@ -58,12 +58,15 @@ CTES = {
                l_extendedprice * (1 - l_discount) payment_value
         from lineitem""",
     "stg_order_reviews": """
-        select concat_ws('-', l_orderkey, l_partkey, l_suppkey) review_id,
-               cast(l_orderkey as varchar) order_id, cast(l_quantity as int) % 5 + 1 review_score,
-               cast(null as varchar) review_comment_title,
-               cast(null as varchar) review_comment_message,
+        select concat_ws('-', l_orderkey, l_linenumber) review_id,
+               cast(l_orderkey as varchar) order_id,
+               case when l_orderkey % 4 <> 0 then cast(l_quantity as int) % 5 + 1 end review_score,
+               l_returnflag || l_linestatus review_comment_title,
+               case when l_linenumber % 3 <> 0
+                    then 'said "' || l_linestatus || '", part ' || l_partkey
+               end review_comment_message,
                l_shipdate review_created_at, l_shipdate + to_days(1) review_answered_at
-        from lineitem where l_linenumber = 1""",
+        from lineitem""",
     "stg_products": """
         select cast(p_partkey as varchar) product_id,
                case when p_partkey % 50 <> 0 then

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from oracle.models import avg, big, days, dec, tot, using
+from tidemark.operators.segments import SAMPLE_ROWS, SAMPLE_SEED
+from tidemark.operators.training import SPLIT_SEED
 from tidemark.plans.churn_model import FEATURES
 from tidemark.plans.metrics import METRICS
 from tidemark.plans.quality import CHECKS
@@ -198,6 +200,18 @@ def texts() -> dict[str, str]:
                format('{{:,}}', at_risk_customers) at_risk_customers,
                'R$' || format('{{:,}}', cast(round_even(revenue_at_risk, 0) as bigint)) revenue_at_risk
         from ({kpis("label_scored")})"""
+    sql["risk_sample"] = f"""
+        select * from ({sql["churn_prediction"]})
+        order by md5(customer_unique_id || '-{SAMPLE_SEED}'), customer_unique_id
+        limit {SAMPLE_ROWS}"""
+    sql["stratified_split_rows"] = f"""
+        with held as (select churned, n from ({split_counts()}) where held_out),
+        drawn as (select customer_unique_id, churned, row_number() over (
+            partition by churned
+            order by md5(customer_unique_id || '-{SPLIT_SEED}'), customer_unique_id) place
+            from customer_360)
+        select customer_unique_id, d.churned, place <= coalesce(n, 0) held_out
+        from drawn d left join held on held.churned is not distinct from d.churned"""
     sql["risk_sample_size"] = """
         select least(3000, count(*)) rows_drawn, least(3000, count(*)) customers_drawn
         from customer_360"""
@@ -302,7 +316,20 @@ def texts() -> dict[str, str]:
         f"select '{table}' table_name, order_id, '{reason}' reason from {raw[table]} where {bad[table]}"
         for table, reason in reasons.items()
     )
-    sql["csv_text_load"] = "select * from stg_order_items"
+    sql["csv_text_load"] = """
+        select * from stg_order_items
+        where cast(order_id as bigint) % 71 <> 0 and cast(order_id as bigint) % 73 <> 0"""
+    sql["csv_text_rejects"] = """
+        select 'malformed line' reason, order_id, cast(order_item_id as varchar) order_item_id
+        from stg_order_items
+        where cast(order_id as bigint) % 71 = 0 or cast(order_id as bigint) % 73 = 0"""
+    sql["csv_loaded_reviews"] = """
+        select review_id, order_id, review_score, review_comment_title,
+               'said "ok",' || chr(10) || 'then ' || order_id review_comment_message,
+               review_created_at review_creation_date, review_answered_at review_answer_timestamp
+        from stg_order_reviews where cast(order_id as bigint) % 79 <> 0"""
+    sql["csv_reload"] = sql["csv_loaded_payments"]
+    sql["mart_roundtrip"] = "select * from customer_360"
     sql["metric_revenue_label_by_tier"] = f"""
         select churn_risk_tier, 'R$' || format('{{:,}}', cast(round_even(total, 0) as bigint))
                total_lifetime_revenue

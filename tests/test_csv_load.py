@@ -81,13 +81,64 @@ def test_loading_again_replaces(spark, source, tmp_path):
     assert [row.seller_zip_code_prefix for row in result.rows.collect()] == ["01234"]
 
 
-def test_header_named_text_load(spark, source):
-    df = csv_load.load_csv_as_text(spark, str(source / "sellers_dataset.csv.gz"))
+def test_header_named_text_load(spark, source, tmp_path):
+    path = str(source / "sellers_dataset.csv.gz")
+    df = csv_load.load_csv_as_text(spark, path, str(tmp_path / "text")).rows
     assert df.dtypes == [(name, "string") for name in
                          ("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state")]
     assert df.first().seller_zip_code_prefix == "01234"
 
 
+def test_text_load_sets_bad_lines_aside(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b,c\n1,x,y\n3,z,4,5\n2,y\n4,"q ""r""",s\n')
+    loaded = csv_load.load_csv_as_text(spark, str(tmp_path / "t.csv"), str(tmp_path / "t"))
+    assert sorted(map(tuple, loaded.rows.collect())) == [("1", "x", "y"), ("4", 'q "r"', "s")]
+    assert sorted(r.line for r in loaded.rejects.collect()) == ["2,y", "3,z,4,5"]
+    status = loaded.status().first()
+    assert (status.rows_loaded, status.rows_rejected) == (2, 2)
+
+
+def test_texts_that_only_resemble_values_are_rejected(spark, tmp_path):
+    names = [column.name for column in csv_load.RAW_TABLES["order_payments"]]
+    values = {"order_id": "1", "payment_sequential": "1", "payment_type": "x",
+              "payment_installments": "1", "payment_value": "2.50"}
+    rows = [dict(values), values | {"payment_value": "1.5d"}, values | {"payment_installments": "1f"}]
+    lines = [",".join(names)] + [",".join(row[name] for name in names) for row in rows]
+    (tmp_path / "p.csv").write_text("\n".join(lines))
+    loaded = csv_load.load_csv(spark, "order_payments", str(tmp_path / "p.csv"), str(tmp_path / "raw"))
+    assert [r.payment_value for r in loaded.rows.collect()] == [2.5]
+    assert loaded.rejects.count() == 2
+
+
+@pytest.mark.parametrize(
+    "text, good",
+    [("2017", False), ("2017-10", False), ("2017-10-02", True), ("2017-10-02 10:00:00", True),
+     ("2017-10-02T10:00:00+05:00", False), ("2017-10-02 10:00:00.5", True)],
+)
+def test_timestamps_need_a_whole_date_and_no_zone(spark, text, good):
+    column = next(c for c in csv_load.RAW_TABLES["orders"] if "timestamp" in c.name)
+    frame = spark.createDataFrame([(text,)], f"{column.name} string")
+    assert (frame.select(csv_load._typed(column)).first()[0] is not None) == good
+
+
+def test_empty_and_foreign_tables(spark, source, tmp_path):
+    target = str(tmp_path / "raw")
+    names = [column.name for column in csv_load.RAW_TABLES["sellers"]]
+    (tmp_path / "s.csv").write_text(",".join(names) + "\n")
+    csv_load.load_csv(spark, "sellers", str(tmp_path / "s.csv"), target)
+    for table in csv_load.RAW_TABLES:
+        if table != "sellers":
+            empty = spark.createDataFrame([], raw_schema(table))
+            empty.selectExpr("*", "true as rejected").write.parquet(f"{target}/{table}")
+    row = spark.range(1).selectExpr("true as rejected", *[f"null as {f.name}" for f in raw_schema("orders")])
+    row.select(*[row[f.name].cast(f.dataType) for f in raw_schema("orders")], "rejected").write.mode(
+        "overwrite"
+    ).parquet(f"{target}/orders")
+    tables = load_raw(spark, target)
+    assert tables["sellers"].count() == 0 and tables["orders"].count() == 1
+    assert csv_load.load_status({}).collect() == [] and row_counts({}).collect() == []
+
+
 def test_raw_tables_read_back_without_rejects(spark, source, tmp_path):
     target = str(tmp_path / "raw")
     csv_load.load_directory(spark, str(source), target)

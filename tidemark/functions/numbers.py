@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# What a text must look like to be taken as a number, or as a timestamp without zone: a date, with or
+# without a time. Zone offsets are refused, as the raw times have no zone.
+NUMBER_TEXT = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+
+
 def whole_number(df: DataFrame, name: str) -> Column:
     """Cast a column to int, rounding fractions half away from zero; bad text raises."""
     kind = df.schema[name].dataType
@@ -24,7 +30,10 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def total(value: Column, exact: bool = False) -> Column:
-    """Sum as double. ``exact`` adds in decimals of 6 digits, so row order has no effect."""
+    """Sum as double. ``exact`` adds in decimals of 6 digits, so row order has no effect.
+
+    With ``exact`` every value is rounded to 6 decimals first, and one of 10^12 or more raises.
+    """
     if exact:
         return F.sum(value.cast("decimal(18,6)")).cast("double")
     return F.sum(value.cast("double"))

@@ -89,6 +89,11 @@ def rows_at_ranks(
     }
 
 
+def draw(row_id: str, seed: int) -> Column:
+    """A repeatable random order of rows that other engines compute alike."""
+    return F.md5(F.concat(F.col(row_id).cast("string"), F.lit(f"-{seed}")))
+
+
 def beyond(here: Column, row: tuple, types: Sequence[T.DataType | str]) -> Column:
     """Whether a row, its order columns packed in ``here``, stands after the found ``row``."""
     return here > F.struct(*[F.lit(value).cast(kind) for value, kind in zip(row, types)])

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.display import percent, reais, thousands
 from tidemark.functions.numbers import mean, ratio, total
 from tidemark.functions.risk import TIERS, is_at_risk
+from tidemark.operators.order_statistics import beyond, draw, rows_at_ranks
 
 SAMPLE_ROWS = 3000
 SAMPLE_SEED = 42
@@ -89,12 +90,20 @@ def at_risk_customers(scored: DataFrame) -> DataFrame:
 def risk_sample(
     scored: DataFrame, rows: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED
 ) -> DataFrame:
-    """A repeatable uniform sample of exactly ``min(rows, all)`` customers."""
-    return (
-        scored.orderBy(_draw("customer_unique_id", seed), "customer_unique_id")
-        .limit(rows)
+    """A repeatable uniform sample of exactly ``min(rows, all)`` customers.
+
+    The row that holds the last place is found first; each row is then compared with it, so no task
+    merges the candidates of all others.
+    """
+    place = [draw("customer_unique_id", seed).alias("place"), F.col("customer_unique_id").alias("id")]
+    last = rows_at_ranks(
+        scored.select(F.lit(0).alias("all"), *place),
+        "all",
+        ["place", "id"],
+        lambda sizes: {(key, 0): min(rows, size) for key, size in sizes.items() if size and rows},
+        "sample-keys",
     )
-
-
-def _draw(row_id: str, seed: int) -> Column:
-    return F.xxhash64(F.col(row_id), F.lit(seed))
+    if not last:
+        return scored.limit(0)
+    types = ["string", scored.schema["customer_unique_id"].dataType]
+    return scored.filter(~beyond(F.struct(*place), last[0, 0], types))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio
-from tidemark.operators.order_statistics import beyond, rows_at_ranks
+from tidemark.operators.order_statistics import beyond, draw, rows_at_ranks
 from tidemark.operators.quantiles import exact_medians
 
 SPLIT_SEED = 42
@@ -58,7 +58,7 @@ def stratified_split(
     found without collecting a class in one task; membership is then a comparison per row.
     """
     place = [
-        F.xxhash64(F.col(row_id), F.lit(seed)).alias("place"),
+        draw(row_id, seed).alias("place"),
         F.col(row_id).alias("id"),
     ]
 
@@ -70,7 +70,7 @@ def stratified_split(
         }
 
     last = rows_at_ranks(df.select(label, *place), label, ["place", "id"], sizes, "split-keys")
-    types = ["long", df.schema[row_id].dataType]
+    types = ["string", df.schema[row_id].dataType]
     held_out = F.lit(False)
     for (key, _), row in last.items():
         held_out = F.when(F.col(label) == key, ~beyond(F.struct(*place), row, types)).otherwise(held_out)

@@ -40,14 +40,16 @@ def unaccepted_values(df: DataFrame, column: str, accepted: Sequence) -> DataFra
 def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """``relationships``: keys the parent lacks with their rows; null keys pass.
 
-    Keys are counted before the anti join, so a key held by many rows crosses it once.
+    Keys are counted on one side and made distinct on the other before the anti join, so a key held
+    by many rows crosses it once.
     """
     keys = (
         df.filter(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.count("*").alias("n_records"))
     )
-    known = parent.select(F.col(parent_column).alias(column))
+    known = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull())
+    known = known.distinct()
     return keys.join(known, column, "left_anti")
 
 

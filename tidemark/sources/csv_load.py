@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.raw_tables import RAW_TABLES, RawColumn, accepted_rows, raw_schema
+from tidemark.functions.numbers import NUMBER_TEXT, TIMESTAMP_TEXT
+from tidemark.sources.raw_tables import (
+    LOADED_MARKER,
+    RAW_TABLES,
+    RawColumn,
+    loaded_schema,
+    path_exists,
+    raw_schema,
+)
 
 # File of each table, and the texts that stand for null.
 CSV_FILES = {
@@ -39,7 +47,7 @@ class LoadResult:
 
     @property
     def rows(self) -> DataFrame:
-        return accepted_rows(self.stored, self.table)
+        return self.stored.filter(~F.col("rejected")).drop("reject", "rejected")
 
     @property
     def rejects(self) -> DataFrame:
@@ -54,29 +62,41 @@ class LoadResult:
 
 
 def read_text_columns(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """All columns as trimmed text with null texts resolved, plus the line if it is malformed.
+    """All columns of a raw table as trimmed text, see ``read_lines``."""
+    names = [column.name for column in RAW_TABLES[table]]
+    return read_lines(spark, names, path, table in MULTI_LINE_TABLES)
+
+
+def read_lines(spark: SparkSession, names: list[str], path: str, multi_line: bool) -> DataFrame:
+    """Named columns as trimmed text with null texts resolved, plus the line if it is malformed.
 
-    Files may be gzipped; each gzipped file is one task, so many files beat one large one.
+    Lines with too few or too many fields are malformed. Files may be gzipped; each gzipped or
+    multi-line file is one task, so many files beat one large one.
     """
-    names = [column.name for column in RAW_TABLES[table]]
-    schema = ", ".join(f"{name} string" for name in [*names, _BROKEN])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _BROKEN]])
     lines = (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BROKEN)
         .option("columnPruning", False)
-        .option("header", True)
         .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", table in MULTI_LINE_TABLES)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
+        .options(**_dialect(multi_line))
         .csv(path)
     )
     return lines.select(*[_resolve(name) for name in names], _BROKEN)
 
 
+def _dialect(multi_line: bool) -> dict[str, str | bool]:
+    return {
+        "header": True,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": multi_line,
+        "ignoreLeadingWhiteSpace": True,
+        "ignoreTrailingWhiteSpace": True,
+    }
+
+
 def _resolve(name: str) -> Column:
     text = F.trim(F.col(name))
     return F.when(~text.isin(*NULL_TEXTS), text).alias(name)
@@ -85,6 +105,10 @@ def _resolve(name: str) -> Column:
 def _typed(column: RawColumn) -> Column:
     """The value in the column's type, null where the text does not fit it."""
     text = F.col(column.name)
+    if column.kind == "text":
+        return text
+    pattern = NUMBER_TEXT if column.kind in ("int", "double") else TIMESTAMP_TEXT
+    text = F.when(text.rlike(pattern), text)
     if column.kind == "int":
         return F.round(text.try_cast("double")).try_cast("int")
     return text.try_cast(column.spark_type)
@@ -113,34 +137,42 @@ def load_csv(spark: SparkSession, table: str, path: str, target: str) -> LoadRes
         F.when(F.col(_BROKEN).isNotNull(), "malformed line"),
         *[_problem(column) for column in columns],
     )
+    typed = [F.when(F.col("reason").isNull(), _typed(column)).alias(column.name) for column in columns]
+    lines = read_text_columns(spark, table, path).withColumn("reason", reason)
+    return _store(lines, table, names, typed, raw_schema(table), f"{target}/{table}")
+
+
+def _store(
+    lines: DataFrame, table: str, names: list[str], typed: list[Column], schema: T.StructType, path: str
+) -> LoadResult:
+    """Write good and rejected rows once, apart, and mark the folder as loaded."""
+    spark, good = lines.sparkSession, F.col("reason").isNull()
     reject = F.struct(
         F.col("reason"), F.col(_BROKEN).alias("line"), *[F.col(name) for name in names]
     )
-    good = F.col("reason").isNull()
-    read_text_columns(spark, table, path).withColumn("reason", reason).select(
-        *[F.when(good, _typed(column)).alias(column.name) for column in columns],
-        F.when(~good, reject).alias("reject"),
-        (~good).alias("rejected"),
-    ).write.mode("overwrite").partitionBy("rejected").parquet(f"{target}/{table}")
-
-    texts = T.StructType([T.StructField(name, T.StringType()) for name in ["reason", "line", *names]])
-    stored = raw_schema(table).add("reject", texts).add("rejected", T.BooleanType())
-    return LoadResult(table, spark.read.schema(stored).parquet(f"{target}/{table}"))
-
-
-def load_csv_as_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """A CSV with every column as text, named by its header; typing is left to staging."""
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(path)
-    )
-    return raw.select(*[_resolve(name) for name in raw.columns])
+    lines.select(
+        *typed, F.when(~good, reject).alias("reject"), (~good).alias("rejected")
+    ).write.mode("overwrite").partitionBy("rejected").parquet(path)
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{LOADED_MARKER}")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    marker.getFileSystem(conf).create(marker, True).close()
+    return LoadResult(table, spark.read.schema(loaded_schema(schema)).parquet(path))
+
+
+def load_csv_as_text(
+    spark: SparkSession, path: str, target: str, multi_line: bool = False
+) -> LoadResult:
+    """A CSV with every column as text, named by its header; typing is left to staging.
+
+    Lines with too few or too many fields are set aside and counted, as in ``load_csv``. The result
+    is stored in ``target``, replacing what is there.
+    """
+    names = spark.read.options(**_dialect(multi_line)).csv(path).columns
+    broken = F.when(F.col(_BROKEN).isNotNull(), "malformed line")
+    lines = read_lines(spark, names, path, multi_line).withColumn("reason", broken)
+    texts = [F.when(F.col("reason").isNull(), F.col(name)).alias(name) for name in names]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return _store(lines, path.rstrip("/").rsplit("/", 1)[-1], names, texts, schema, target)
 
 
 def load_directory(spark: SparkSession, source: str, target: str) -> dict[str, LoadResult]:
@@ -162,15 +194,11 @@ def load_directory(spark: SparkSession, source: str, target: str) -> dict[str, L
     return loaded
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whatever file system it names."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return jvm_path.getFileSystem(conf).exists(jvm_path)
-
-
 def load_status(loaded: dict[str, LoadResult]) -> DataFrame:
     """Rows loaded and rejected per table, in name order."""
+    if not loaded:
+        schema = "table_name string, rows_loaded long, rows_rejected long"
+        return SparkSession.active().createDataFrame([], schema)
     rows = None
     for result in loaded.values():
         one = result.status()

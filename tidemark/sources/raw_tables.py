@@ -108,23 +108,50 @@ def raw_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c.name, c.spark_type) for c in RAW_TABLES[table]])
 
 
-def accepted_rows(stored: DataFrame, table: str) -> DataFrame:
-    """The table's columns, without rows a CSV load has set aside."""
-    if "rejected" in stored.columns:
-        stored = stored.filter(~F.col("rejected"))
-    return stored.select(*[column.name for column in RAW_TABLES[table]])
+# An empty file that the CSV load leaves in a table's folder.
+LOADED_MARKER = "_LOADED_FROM_CSV"
+
+
+def loaded_schema(columns: T.StructType) -> T.StructType:
+    """What a CSV load stores: typed columns, or the rejected row as text with the reason."""
+    texts = [T.StructField(name, T.StringType()) for name in ["reason", "line", *columns.names]]
+    return T.StructType(
+        [
+            *columns.fields,
+            T.StructField("reject", T.StructType(texts)),
+            T.StructField("rejected", T.BooleanType()),
+        ]
+    )
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on whatever file system it names."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return jvm_path.getFileSystem(conf).exists(jvm_path)
 
 
 def load_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The eight raw tables from ``<directory>/<table>``, as loaded from CSV or plain parquet."""
-    return {
-        table: accepted_rows(spark.read.parquet(f"{directory}/{table}"), table)
-        for table in RAW_TABLES
-    }
+    """The eight raw tables from ``<directory>/<table>``, as loaded from CSV or plain parquet.
+
+    A table that the CSV load has stored, known by its marker, is read with its schema and without
+    the rows set aside, also when none was kept; of any other the named columns are taken.
+    """
+    return {table: _load_one(spark, f"{directory}/{table}", table) for table in RAW_TABLES}
+
+
+def _load_one(spark: SparkSession, path: str, table: str) -> DataFrame:
+    names = [column.name for column in RAW_TABLES[table]]
+    if path_exists(spark, f"{path}/{LOADED_MARKER}"):
+        stored = spark.read.schema(loaded_schema(raw_schema(table))).parquet(path)
+        return stored.filter(~F.col("rejected")).select(*names)
+    return spark.read.parquet(path).select(*names)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table with its number of rows, in name order."""
+    if not tables:
+        return SparkSession.active().createDataFrame([], "table_name string, row_count long")
     counts = None
     for name, table in tables.items():
         one = table.agg(F.count("*").alias("row_count")).select(

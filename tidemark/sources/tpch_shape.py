@@ -89,12 +89,18 @@ def raw_tables_from_tpch(spark: SparkSession, directory: str) -> dict[str, DataF
             (F.col("l_quantity").cast("int") % 10 + 1).alias("payment_installments"),
             (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("payment_value"),
         ),
-        "order_reviews": lineitem.filter(F.col("l_linenumber") == 1).select(
-            F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey").alias("review_id"),
+        "order_reviews": lineitem.select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"),
             _text("l_orderkey").alias("order_id"),
-            (F.col("l_quantity").cast("int") % 5 + 1).alias("review_score"),
-            F.lit(None).cast("string").alias("review_comment_title"),
-            F.lit(None).cast("string").alias("review_comment_message"),
+            # whole orders without a score, so that persons without one occur
+            F.when(
+                F.col("l_orderkey") % 4 != 0, F.col("l_quantity").cast("int") % 5 + 1
+            ).alias("review_score"),
+            F.concat("l_returnflag", "l_linestatus").alias("review_comment_title"),
+            F.when(
+                F.col("l_linenumber") % 3 != 0,
+                F.concat(F.lit('said "'), "l_linestatus", F.lit('", part '), _text("l_partkey")),
+            ).alias("review_comment_message"),
             F.col("l_shipdate").alias("review_creation_date"),
             _after(F.col("l_shipdate"), 24).alias("review_answer_timestamp"),
         ),

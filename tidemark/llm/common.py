@@ -43,10 +43,13 @@ def row_id() -> Column:
 
 
 def partitions_for(df: DataFrame, target_bytes: int = 64 << 20) -> int:
-    """Partitions for a shuffle of ``df``: the session's number, or more where the data ask for it."""
+    """Partitions for a shuffle of ``df``: the session's number, or more where the data ask for it.
+
+    A frame that is not read from files has no known size; the session's number holds for it.
+    """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, min(-(-size // target_bytes), 1_000_000))
+    return configured if size >= 1 << 60 else max(configured, -(-size // target_bytes))
 
 
 def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -59,6 +60,35 @@ def test_slots_are_minimal_and_perfect(spark):
     assert {b: sorted(s) for b, s in found.items()} == {b: list(range(n)) for b, n in sizes.items()}
 
 
+def agreeing_digests(n, modulus):
+    """n digests of one bucket; the words of the first two agree modulo ``modulus``."""
+    found = ["0" * 8 + digest_of(str(k))[8:] for k in range(n)]
+    words = [int(found[0][8 * k : 8 * k + 8], 16) for k in range(1, 8)]
+    moved = [w - modulus if w >= modulus else w + modulus for w in words]
+    found[1:2] = ["0" * 8 + "".join(f"{w:08x}" for w in moved)] * (n > 1)
+    return found
+
+
+def test_every_bucket_size_finds_a_seed():
+    for n in (*range(1, 65), 128, 256):
+        for digests in (agreeing_digests(n, n), [digest_of(f"{n} {k}") for k in range(n)]):
+            made = exact_dedup._build_bucket(pd.DataFrame({"bucket": 0, "text_sha256": digests}))
+            assert made["n_keys"][0] == n and made["shifts"][0] is not None
+
+
+@pytest.mark.parametrize("max_seeds", [1000, 0])
+def test_digests_that_agree_modulo_the_bucket_size(spark, max_seeds):
+    digests = agreeing_digests(256, 256)
+    rows = [(d, 2, k, k) for k, d in enumerate(digests)]
+    keys = spark.createDataFrame(rows, "text_sha256 string, group_size long, keep_id long, keep_row long")
+    index = exact_dedup.build_index(stored(keys, "keys"), max_seeds=max_seeds)
+    assert sorted(r["slot"] for r in index[1].collect()) == list(range(256))
+    asked = [*digests, *(digest_of(f"other {k}") for k in range(50))]
+    found = exact_dedup.lookup(spark.createDataFrame([(d,) for d in asked], "text_sha256 string"), index)
+    got = {r["text_sha256"]: (r["member"], r["keep_id"]) for r in found.collect()}
+    assert got == {d: (k < 256, k if k < 256 else None) for k, d in enumerate(asked)}
+
+
 def test_later_delivery_against_an_index(spark, awkward, empty):
     rows = stored(exact_dedup.with_digests(awkward), "rows")
     index = exact_dedup.build_index(stored(exact_dedup.winners(rows), "groups"))

@@ -2,7 +2,9 @@
 
 ``build_index`` takes the distinct digests with their winners and gives every one a slot of its own:
 digests are dealt to buckets by their first bytes; in a bucket of n digests a displacement for each
-small group of them (hash, displace and compress) makes slot numbers 0 to n-1 with no gap. The index
+small group of them (hash, displace and compress) makes slot numbers 0 to n-1 with no gap. Group and
+hashes come from XXH64 of the digest under the try's seed, so every try deals the digests anew; a bucket
+that no seed fits keeps its sorted digests, whose places are the slots. The index
 is two tables: the displacements of each bucket, and the slots with the full digest and the winner's
 locator. ``lookup`` turns a row's digest into a slot with arithmetic in the JVM, and compares all 32
 bytes with the slot's: rows whose digest is there are repeats of its winner, the others are not
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,19 +74,40 @@ def bucket_of(digest: Column, n_buckets: int) -> Column:
     return F.pmod(_word(digest, 0), F.lit(n_buckets).cast("long"))
 
 
-def place(words: list, seed, n_keys, n_groups) -> tuple:
+def _hashes(digests: list[str], seed: int) -> np.ndarray:
+    """Spark's ``xxhash64(seed, digest)`` of each digest."""
+    start = xxhash.xxh64_intdigest(seed.to_bytes(8, "little"), 42)
+    values = [xxhash.xxh64_intdigest(d.encode(), start) for d in digests]
+    return np.array(values, dtype=np.uint64)
+
+
+def _parts(hashed: np.ndarray) -> list[np.ndarray]:
+    """Three numbers of 21, 21 and 22 bits."""
+    low = np.uint64((1 << 21) - 1)
+    parts = [hashed & low, (hashed >> np.uint64(21)) & low, hashed >> np.uint64(42)]
+    return [part.astype(np.int64) for part in parts]
+
+
+def _parts_of(hashed: Column) -> list[Column]:
+    """The same of a column."""
+    low = F.lit((1 << 21) - 1).cast("long")
+    return [
+        hashed.bitwiseAND(low),
+        F.shiftrightunsigned(hashed, 21).bitwiseAND(low),
+        F.shiftrightunsigned(hashed, 42),
+    ]
+
+
+def place(parts: list, n_keys, n_groups) -> tuple:
     """Group number and the two hashes of a key; the same arithmetic on columns and arrays."""
-    group = (words[0] + seed * words[1]) % n_groups
-    first = (words[1] + seed * words[2]) % n_keys
-    second = (words[2] + seed * words[0]) % n_keys
-    return group, first, second
+    return parts[0] % n_groups, parts[1] % n_keys, parts[2] % n_keys
 
 
-def _displace(words: np.ndarray, seed: int) -> np.ndarray | None:
+def _displace(digests: list[str], seed: int) -> np.ndarray | None:
     """Displacements d for the groups such that (first + d / n * second + d % n) % n are all slots."""
-    n = len(words)
+    n = len(digests)
     n_groups = -(-n // KEYS_PER_GROUP)
-    group, first, second = place(list(words.T), seed, n, n_groups)
+    group, first, second = place(_parts(_hashes(digests, seed)), n, n_groups)
     free = np.ones(n, dtype=bool)
     shifts = np.arange(n)
     found = np.zeros(n_groups, dtype=np.int64)
@@ -107,35 +131,38 @@ def _displace(words: np.ndarray, seed: int) -> np.ndarray | None:
     return found
 
 
-def _build_bucket(keys: pd.DataFrame) -> pd.DataFrame:
-    keys = keys.sort_values("text_sha256")
-    words = np.array(
-        [[int(d[8 * k : 8 * k + 8], 16) for k in (1, 2, 3)] for d in keys["text_sha256"]],
-        dtype=np.int64,
+def _build_bucket(keys: pd.DataFrame, max_seeds: int = MAX_SEEDS) -> pd.DataFrame:
+    """Seed and displacements of a bucket, or its sorted digests where no seed fits."""
+    digests = sorted(keys["text_sha256"])
+    if len(set(digests)) < len(digests):
+        raise ValueError("the digests of an index must be distinct")
+    tries = ((seed, _displace(digests, seed)) for seed in range(max_seeds))
+    seed, found = next((t for t in tries if t[1] is not None), (None, None))
+    return pd.DataFrame(
+        {
+            "bucket": [keys["bucket"].iloc[0]],
+            "seed": pd.array([seed], dtype="Int64"),
+            "n_keys": [len(digests)],
+            "shifts": [None if found is None else found.tolist()],
+            "digests": [digests if found is None else None],
+        }
     )
-    for seed in range(MAX_SEEDS):
-        found = _displace(words, seed)
-        if found is not None:
-            return pd.DataFrame(
-                {
-                    "bucket": [keys["bucket"].iloc[0]],
-                    "seed": [seed],
-                    "n_keys": [len(keys)],
-                    "shifts": [found.tolist()],
-                }
-            )
-    raise ValueError("no perfect hash found; are the digests distinct?")
 
 
 def _slot(digest: Column) -> Column:
-    words = [_word(digest, k) for k in (1, 2, 3)]
+    """The slot of a digest; one that a bucket of sorted digests has not gets -1."""
     n_keys, n_groups = F.col("n_keys"), F.size("shifts").cast("long")
-    group, first, second = place(words, F.col("seed"), n_keys, n_groups)
+    hashed = _parts_of(F.xxhash64(F.col("seed"), digest))
+    group, first, second = place(hashed, n_keys, n_groups)
     shift = F.get("shifts", group.cast("int"))
-    return F.pmod(first + F.floor(shift / n_keys) * second + F.pmod(shift, n_keys), n_keys)
+    slot = F.pmod(first + F.floor(shift / n_keys) * second + F.pmod(shift, n_keys), n_keys)
+    plain = F.array_position("digests", digest).cast("long") - 1
+    return F.when(F.col("shifts").isNotNull(), slot).otherwise(plain)
 
 
-def build_index(groups: DataFrame, label: str = "digest-index") -> tuple[DataFrame, DataFrame, int]:
+def build_index(
+    groups: DataFrame, label: str = "digest-index", max_seeds: int = MAX_SEEDS
+) -> tuple[DataFrame, DataFrame, int]:
     """The index over distinct digests: displacements by bucket, slots, and the bucket count.
 
     Buckets hold about ``KEYS_PER_BUCKET`` distinct digests each at any size, as SHA-256 spreads
@@ -146,7 +173,10 @@ def build_index(groups: DataFrame, label: str = "digest-index") -> tuple[DataFra
     functions = stored(
         keyed.select("bucket", "text_sha256")
         .groupBy("bucket")
-        .applyInPandas(_build_bucket, "bucket long, seed long, n_keys long, shifts array<long>"),
+        .applyInPandas(
+            lambda keys: _build_bucket(keys, max_seeds),
+            "bucket long, seed long, n_keys long, shifts array<long>, digests array<string>",
+        ),
         f"{label}-functions",
     )
     slots = (
@@ -175,7 +205,7 @@ def lookup(rows: DataFrame, index: tuple[DataFrame, DataFrame, int]) -> DataFram
         rows.withColumn("bucket", bucket_of(digest, n_buckets))
         .join(functions, "bucket", "left")
         .withColumn("slot", _slot(digest))
-        .drop("seed", "n_keys", "shifts")
+        .drop("seed", "n_keys", "shifts", "digests")
     )
     found = numbered.join(slots, ["bucket", "slot"], "left")
     same = F.col("slot_sha256") == digest

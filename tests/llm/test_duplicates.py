@@ -233,3 +233,29 @@ def test_no_vectors(spark, tmp_path):
 def test_row_numbers_repeat(awkward):
     one = [r[0] for r in awkward.select(row_id(), "text").collect()]
     assert one == [r[0] for r in awkward.select(row_id(), "doc_id", "text").collect()]
+
+
+def test_rows_keep_their_numbers_when_the_split_changes(spark, tmp_path, monkeypatch):
+    """The split of the files moves between the decision and the reading of the kept rows."""
+    texts = [f"text {k % 150} of {k % 150 * 7} and {k % 150 * 11}" for k in range(300)]
+    rows = [(k, text) for k, text in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    vectors = [(k, [float(k % 50 == d) for d in range(50)], 0) for k in range(100)]
+    schema = "vec_id long, embedding array<float>, label int"
+    spark.createDataFrame(vectors, schema).repartition(6).write.parquet(str(tmp_path / "v"))
+    key, before = "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.openCostInBytes")
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for keep in (exact_dedup.keep_winners, simhash.keep_firsts, cap_filters.near_vectors):
+            spark.conf.set(key, "1")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 30))
+            is_vectors = keep is cap_filters.near_vectors
+            kept = keep(spark.read.parquet(str(tmp_path / "v")) if is_vectors else docs)
+            spark.conf.set(key, str(1 << 30))
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+            ids = sorted(r[0] for r in (kept.filter("kept") if is_vectors else kept).collect())
+            assert ids == list(range(50 if is_vectors else 150))
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)

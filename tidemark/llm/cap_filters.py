@@ -297,7 +297,7 @@ def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, str]:
         "vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
     )
     usable = F.col("label").isNotNull() & finite & F.exists("vector", lambda v: v != 0)
-    rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
+    rows = stored(rows.withColumn("usable", F.coalesce(usable, F.lit(False))), "numbered-vectors")
     first = F.min(F.struct(F.col("vec_id").isNull().alias("unnamed"), F.col("vec_id"), F.col("row")))
     distinct = (
         rows.filter("usable")

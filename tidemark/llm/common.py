@@ -34,14 +34,19 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
 
 
 def row_id() -> Column:
-    """A number for each row of a frame that reads files.
+    """A number for each row of a frame, for one evaluation only: store what carries it.
 
-    It follows from the split of the files and the place in it, so a second read of the same frame
-    in the same session gives the same numbers. Frames with a shuffle in them must be stored first.
+    It follows from the split of the input, which Spark sizes by the cores registered when the read is
+    planned; a second read can number the rows otherwise.
     """
     return F.monotonically_increasing_id()
 
 
+def with_row_numbers(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with a column ``__row``, the same in every later read."""
+    return stored(docs.withColumn("__row", row_id()), "numbered-rows")
+
+
 def partitions_for(df: DataFrame, target_bytes: int = 64 << 20) -> int:
     """Partitions for a shuffle of ``df``: the session's number, or more where the data ask for it.
 

@@ -26,17 +26,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_SPACE, row_id, stored, text_of
+from tidemark.llm.common import ASCII_SPACE, row_id, stored, text_of, with_row_numbers
 
 KEYS_PER_BUCKET = 256
 KEYS_PER_GROUP = 4
 MAX_SEEDS = 1000
 
 
-def with_digests(docs: DataFrame) -> DataFrame:
+def with_digests(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """row, doc_id, text_sha256 of the normalised text, and n_points of the original."""
     return docs.select(
-        row_id().alias("row"),
+        (row_id() if row is None else row).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.sha2(F.translate(text_of(), ASCII_SPACE, ""), 256).alias("text_sha256"),
         F.length(text_of()).cast("long").alias("n_points"),
@@ -216,13 +216,13 @@ def lookup(rows: DataFrame, index: tuple[DataFrame, DataFrame, int]) -> DataFram
     )
 
 
-def exact_dedup(docs: DataFrame) -> DataFrame:
+def exact_dedup(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """One row for each document: row, doc_id, keep_id, group_size, kept, text_sha256.
 
     The digests of the table that occur more than once are the history that the index holds; a row
     that is not a member has a text of its own and stays.
     """
-    rows = stored(with_digests(docs), "digests")
+    rows = stored(with_digests(docs, row), "digests")
     groups = stored(winners(rows), "digest-groups")
     repeated = groups.filter(F.col("group_size") > 1)
     found = lookup(rows, build_index(repeated))
@@ -255,8 +255,8 @@ def remove_seen(docs: DataFrame, index: tuple[DataFrame, DataFrame, int]) -> Dat
 def keep_winners(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that repeat another; columns unchanged.
 
-    ``docs`` must read stored files, so that its rows are numbered alike in both reads.
+    The rows are numbered once and stored with their numbers; decision and result read that table.
     """
-    dropped = exact_dedup(docs).filter(~F.col("kept")).select("row")
-    numbered = docs.withColumn("__row", row_id())
+    numbered = with_row_numbers(docs)
+    dropped = exact_dedup(numbered, F.col("__row")).filter(~F.col("kept")).select("row")
     return numbered.join(dropped, numbered["__row"] == dropped["row"], "left_anti").drop("__row")

@@ -30,10 +30,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_UPPER, bounded_batches, partitions_for, row_id, stored, text_of
+from tidemark.llm.common import (
+    ASCII_UPPER,
+    bounded_batches,
+    partitions_for,
+    row_id,
+    stored,
+    text_of,
+    with_row_numbers,
+)
 from tidemark.llm.components import components, local_roots
 
 BITS = 64
@@ -77,11 +85,11 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def with_fingerprints(docs: DataFrame) -> DataFrame:
+def with_fingerprints(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """row, doc_id and the fingerprint as a signed long."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(
-        row_id().alias("row"),
+        (row_id() if row is None else row).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         text_of().cast("binary").alias("text"),
     )
@@ -319,12 +327,12 @@ def fingerprint_links(distinct: DataFrame, limit: int = LIMIT) -> DataFrame:
     return within.unionByName(across)
 
 
-def near_groups(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+def near_groups(docs: DataFrame, limit: int = LIMIT, row: Column | None = None) -> DataFrame:
     """One row a document: row, doc_id, fingerprint, component_id, kept.
 
     The member with the smallest doc_id of each component is kept.
     """
-    rows = stored(with_fingerprints(docs), "fingerprints")
+    rows = stored(with_fingerprints(docs, row), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("row")))
     distinct = stored(rows.groupBy("fp").agg(first.alias("first")), "distinct-fingerprints")
     roots = components(fingerprint_links(distinct, limit))
@@ -346,8 +354,8 @@ def near_groups(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
 def keep_firsts(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """``docs`` with one document of each group of near copies; columns unchanged.
 
-    ``docs`` must read stored files, so that its rows are numbered alike in both reads.
+    The rows are numbered once and stored with their numbers; decision and result read that table.
     """
-    dropped = near_groups(docs, limit).filter(~F.col("kept")).select("row")
-    numbered = docs.withColumn("__row", row_id())
+    numbered = with_row_numbers(docs)
+    dropped = near_groups(numbered, limit, F.col("__row")).filter(~F.col("kept")).select("row")
     return numbered.join(dropped, numbered["__row"] == dropped["row"], "left_anti").drop("__row")

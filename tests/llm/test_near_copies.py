@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from tidemark.llm import near_copies
+
+from .conftest import groups_of
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def planted(seed):
+    """Texts with copies of similarity 0.7 to 1, a chain of them, and one large group."""
+    pick = random.Random(seed)
+    rows = []
+    for base in range(60):
+        words = [f"w{pick.randrange(10**6)}" for _ in range(pick.choice([40, 200, 400]))]
+        rows.append(" ".join(words))
+        for share in (0.005, 0.01, 0.015, 0.02, 0.03):
+            changed = list(words)
+            for _ in range(max(1, int(share * len(words)))):
+                changed[pick.randrange(len(words))] = f"x{pick.randrange(10**6)}"
+            rows.append(" ".join(changed))
+    words = [f"c{k}" for k in range(300)]
+    rows += [" ".join(words[: 300 - k] + [f"d{k}"] * (k > 0)) for k in range(0, 120, 3)]
+    rows += [None, "", " \n", "A B c", "a b C", "a b d", "one", "One"]
+    pick.shuffle(rows)
+    return rows
+
+
+def test_stage_leaves_one_of_each_group_at_four_fifths(spark, tmp_path):
+    texts = planted(3)
+    rows = [(k if k % 50 else None, text, "en") for k, text in enumerate(texts)]
+    schema = "doc_id long, text string, lang string"
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    sets = [shingles(t) for t in texts]
+    near = [[jaccard(a, b) >= 0.8 for b in sets] for a in sets]
+    roots = groups_of(range(len(texts)), lambda i, j: near[i][j])
+    best = {}
+    for k, root in enumerate(roots):
+        rank = (rows[k][0] is None, rows[k][0] or 0)
+        best[root] = min(best.get(root, rank), rank)
+    stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
+    kept = stage(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == sorted(best.values())
+
+
+def test_pairs_left_after_the_rounds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(near_copies, "ROUNDS", 0)
+    test_stage_leaves_one_of_each_group_at_four_fifths(spark, tmp_path)
+
+
+def test_similar_is_exact_at_the_threshold():
+    import numpy as np
+
+    a = np.arange(9, dtype=np.uint64)
+    assert near_copies.similar(a[:8], a[:8]) and near_copies.similar(a[:4], a[:5])
+    assert not near_copies.similar(a[:7], a)
+    assert near_copies.similar(a[:0], a[:0]) and not near_copies.similar(a[:0], a[:1])

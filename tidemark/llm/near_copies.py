@@ -1,0 +1,185 @@
+"""Near copies by the Jaccard similarity of word shingles, at a threshold and exactly checked.
+
+The set of a text is the XXH64 hashes of its distinct shingles of ``SHINGLE_WORDS`` words, A-Z in lower
+case. Two texts are near copies when the shared part of their sets is ``SIMILARITY`` of the union or
+more. Candidates come from two sources, and every candidate pair is checked on the texts:
+
+- the groups of the SimHash index over the same shingles, each member with the one that stays;
+- bands of minimum hashes: each of ``BANDS`` bands is a hash of ``BAND_ROWS`` minima, and texts with an
+  equal band are candidates. 64 bits cannot tell 0.8 from chance: at 0.8 fingerprints differ in about ten
+  bits, a limit at which an index compares nearly all pairs. A pair at 0.8 shares a band but for 3 in a
+  million, one at 0.9 but for less than one in 10^12.
+
+In a band's group each member is first checked against one centre, so a group of near copies costs its
+size; the centre is then done and the next round takes another. After ``ROUNDS`` of that all pairs
+of members that are still in different components are checked. Nothing is capped.
+
+Defined cases: a null text counts as empty; texts without words are near copies of each other; a text of
+fewer words than a shingle is one shingle; null doc_ids rank last; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm import simhash
+from tidemark.llm.common import bounded_batches, stored, text_of, with_row_numbers
+from tidemark.llm.components import components
+
+SHINGLE_WORDS = 5
+SIMILARITY = Fraction(4, 5)
+BANDS = 32
+BAND_ROWS = 5
+ROUNDS = 2
+SHINGLES_AT_ONCE = 1 << 12
+
+_FACTORS = np.random.default_rng(5).integers(
+    0, 1 << 64, (BANDS * BAND_ROWS, 2), dtype=np.uint64
+) | np.array([1, 0], dtype=np.uint64)
+
+
+def shingle_set(text: bytes, width: int = SHINGLE_WORDS) -> np.ndarray:
+    """The sorted distinct hashes of the word shingles of a UTF-8 text."""
+    return np.unique(simhash.shingle_hashes(text, width))
+
+
+def bands_of(hashes: np.ndarray) -> list[int]:
+    """A signed 64-bit number for each band."""
+    least = np.full(len(_FACTORS), (1 << 64) - 1, dtype=np.uint64)
+    for k in range(0, len(hashes), SHINGLES_AT_ONCE):
+        part = (hashes[k : k + SHINGLES_AT_ONCE] ^ _FACTORS[:, 1:]) * _FACTORS[:, :1]
+        least = np.minimum(least, part.min(axis=1))
+    rows = least.reshape(BANDS, BAND_ROWS)
+    values = [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)]
+    return np.array(values, dtype=np.uint64).view(np.int64).tolist()
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: Fraction = SIMILARITY) -> bool:
+    """Whether the Jaccard similarity of two sets is ``least`` or more; of two empty sets it is 1."""
+    if min(len(a), len(b)) * least.denominator < max(len(a), len(b)) * least.numerator:
+        return False
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared * least.denominator >= (len(a) + len(b) - shared) * least.numerator
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bands = [bands_of(shingle_set(t.as_buffer().to_pybytes())) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array(bands, pa.list_(pa.int64()))], names=["row", "bands"]
+        )
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last, held = None, None
+    for batch in batches:
+        left, right = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+        linked = []
+        for k, (a, b_text) in enumerate(zip(left, batch.column("b_text"), strict=True)):
+            if a != last:
+                last, held = a, shingle_set(batch.column("a_text")[k].as_buffer().to_pybytes())
+            if similar(held, shingle_set(b_text.as_buffer().to_pybytes())):
+                linked.append((a, right[k]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[n] for p in linked], pa.int64()) for n in (0, 1)], names=["a", "b"]
+        )
+
+
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts are similar. Plain shuffles on both sides of each join."""
+    first = texts.select(F.col("row").alias("a"), F.col("text").alias("a_text"))
+    second = texts.select(F.col("row").alias("b"), F.col("text").alias("b_text"))
+    both = pairs.join(second, "b").join(first, "a").select("a", "b", "a_text", "b_text")
+    return stored(both.mapInArrow(_checked, "a long, b long"), "near-links")
+
+
+def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (bucket, row) with their component so far."""
+    return members.join(found, members["row"] == found["node"], "left").select(
+        "bucket", "row", F.coalesce("component", "row").alias("component")
+    )
+
+
+def _open(labelled: DataFrame) -> DataFrame:
+    """Buckets whose members are in more than one component, with their smallest row as the centre."""
+    return (
+        labelled.groupBy("bucket")
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.min(F.struct("row", "component")).alias("centre"),
+        )
+        .filter("least < most")
+        .select("bucket", "centre")
+    )
+
+
+def near_components(numbered: DataFrame, row: str = "__row") -> DataFrame:
+    """(node, component) of rows of stored, numbered documents, as ``components`` gives them."""
+    bounded_batches(numbered.sparkSession)
+    narrow = numbered.select(F.col(row).alias("row"), text_of().cast("binary").alias("text"))
+    bands = stored(narrow.mapInArrow(_banded, "row long, bands array<long>"), "bands")
+    rows = bands.select(F.explode("bands").alias("bucket"), "row")
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    members = stored(rows.join(shared, "bucket"), "band-members")
+    grouped = simhash.near_rows(numbered, width=SHINGLE_WORDS, row=F.col(row))
+    pairs = grouped.filter(F.col("keep.row") != F.col("row")).select(
+        F.col("keep.row").alias("a"), F.col("row").alias("b")
+    )
+    pairs = stored(pairs, "fingerprint-pairs")
+    wanted = members.select("row").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    texts = stored(narrow.join(wanted, "row", "left_semi"), "candidate-texts")
+    links = _links(pairs, texts)
+    found = components(links)
+    for _ in range(ROUNDS):
+        labelled = stored(_labelled(members, found), "band-components")
+        centred = stored(labelled.join(_open(labelled), "bucket"), "open-bands")
+        if centred.isEmpty():
+            return found
+        pairs = centred.filter(F.col("component") != F.col("centre.component")).select(
+            F.col("centre.row").alias("a"), F.col("row").alias("b")
+        )
+        links = links.unionByName(_links(stored(pairs.distinct(), "centre-pairs"), texts))
+        found = components(links)
+        members = centred.filter(F.col("row") != F.col("centre.row")).select("bucket", "row")
+    labelled = stored(_labelled(members, found), "band-components")
+    labelled = stored(labelled.join(_open(labelled).select("bucket"), "bucket"), "open-bands")
+    if labelled.isEmpty():
+        return found
+    other = labelled.select("bucket", F.col("row").alias("b"), F.col("component").alias("b_component"))
+    pairs = (
+        labelled.join(other, "bucket")
+        .filter((F.col("row") < F.col("b")) & (F.col("component") != F.col("b_component")))
+        .select(F.col("row").alias("a"), "b")
+        .distinct()
+    )
+    return components(links.unionByName(_links(stored(pairs, "band-pairs"), texts)))
+
+
+def keep_firsts(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component of near copies; columns unchanged.
+
+    The one with the smallest doc_id stays.
+    """
+    numbered = with_row_numbers(docs)
+    found = near_components(numbered)
+    ids = numbered.select(
+        F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("doc_id")
+    )
+    linked = found.union(found.select("component", "component").distinct())
+    ranked = ids.join(linked, ids["row"] == linked["node"]).select(
+        "row",
+        "component",
+        F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row").alias("rank"),
+    )
+    ranked = stored(ranked, "near-members")
+    firsts = ranked.groupBy("component").agg(F.min("rank").alias("keep"))
+    dropped = ranked.join(firsts, "component").filter("keep.row != row").select("row")
+    return numbered.join(dropped, numbered["__row"] == dropped["row"], "left_anti").drop("__row")

@@ -55,16 +55,31 @@ HASHES_AT_ONCE = 1 << 18
 _LOWER = bytes.maketrans(ASCII_UPPER.encode(), ASCII_UPPER.lower().encode())
 
 
-def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
-    """The SimHash of a UTF-8 text over XXH64 hashes of its word shingles, repeats included."""
+def _spans(text: bytes, width: int) -> tuple[bytes, list[int], list[int]]:
+    """The joined words of a text, and where its shingles start and end."""
     words = text.translate(_LOWER).split()
     if not words:
-        return 0
+        return b"", [], []
     width = min(width, len(words))
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    first, last = starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist()
+    return joined, starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist()
+
+
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """The XXH64 hashes of the word shingles of a UTF-8 text, repeats included."""
+    joined, first, last = _spans(text, width)
+    hashed = xxhash.xxh64_intdigest
+    values = (hashed(joined[a:b], HASH_SEED) for a, b in zip(first, last, strict=True))
+    return np.fromiter(values, dtype=np.uint64, count=len(first))
+
+
+def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
+    """The SimHash of a UTF-8 text over XXH64 hashes of its word shingles, repeats included."""
+    joined, first, last = _spans(text, width)
+    if not first:
+        return 0
     digest = xxhash.xxh64_digest
     ones = np.zeros(BITS, dtype=np.int64)
     for k in range(0, len(first), HASHES_AT_ONCE):
@@ -75,17 +90,23 @@ def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(first)).tobytes(), "big")
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        values = [fingerprint(text.as_buffer().to_pybytes()) for text in batch.column("text")]
-        signed = np.array(values, dtype=np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("doc_id"), pa.array(signed)],
-            names=["row", "doc_id", "fp"],
-        )
+def _fingerprints(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            values = [fingerprint(text.as_buffer().to_pybytes(), width) for text in texts]
+            signed = np.array(values, dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), pa.array(signed)],
+                names=["row", "doc_id", "fp"],
+            )
 
+    return run
 
-def with_fingerprints(docs: DataFrame, row: Column | None = None) -> DataFrame:
+
+def with_fingerprints(
+    docs: DataFrame, width: int = SHINGLE_WORDS, row: Column | None = None
+) -> DataFrame:
     """row, doc_id and the fingerprint as a signed long."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(
@@ -93,7 +114,7 @@ def with_fingerprints(docs: DataFrame, row: Column | None = None) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         text_of().cast("binary").alias("text"),
     )
-    return rows.mapInArrow(_fingerprints, "row long, doc_id long, fp long")
+    return rows.mapInArrow(_fingerprints(width), "row long, doc_id long, fp long")
 
 
 def orders_for(n: int, limit: int = LIMIT) -> tuple[list[tuple[int, ...]], list[np.ndarray]]:
@@ -327,12 +348,11 @@ def fingerprint_links(distinct: DataFrame, limit: int = LIMIT) -> DataFrame:
     return within.unionByName(across)
 
 
-def near_groups(docs: DataFrame, limit: int = LIMIT, row: Column | None = None) -> DataFrame:
-    """One row a document: row, doc_id, fingerprint, component_id, kept.
-
-    The member with the smallest doc_id of each component is kept.
-    """
-    rows = stored(with_fingerprints(docs, row), "fingerprints")
+def near_rows(
+    docs: DataFrame, limit: int = LIMIT, width: int = SHINGLE_WORDS, row: Column | None = None
+) -> DataFrame:
+    """row, doc_id and fp of each document, and the (unnamed, doc_id, row) that its component keeps."""
+    rows = stored(with_fingerprints(docs, width, row), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("row")))
     distinct = stored(rows.groupBy("fp").agg(first.alias("first")), "distinct-fingerprints")
     roots = components(fingerprint_links(distinct, limit))
@@ -342,7 +362,17 @@ def near_groups(docs: DataFrame, limit: int = LIMIT, row: Column | None = None)
     members = stored(members, "fingerprint-roots")
     firsts = members.groupBy("root").agg(F.min("first").alias("keep"))
     by_code = members.join(firsts, "root").select("fp", "keep")
-    return rows.join(by_code, "fp").select(
+    return rows.join(by_code, "fp")
+
+
+def near_groups(
+    docs: DataFrame, limit: int = LIMIT, width: int = SHINGLE_WORDS, row: Column | None = None
+) -> DataFrame:
+    """One row a document: row, doc_id, fingerprint, component_id, kept.
+
+    The member with the smallest doc_id of each component is kept.
+    """
+    return near_rows(docs, limit, width, row).select(
         "row",
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -357,5 +387,5 @@ def keep_firsts(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     The rows are numbered once and stored with their numbers; decision and result read that table.
     """
     numbered = with_row_numbers(docs)
-    dropped = near_groups(numbered, limit, F.col("__row")).filter(~F.col("kept")).select("row")
+    dropped = near_groups(numbered, limit, row=F.col("__row")).filter(~F.col("kept")).select("row")
     return numbered.join(dropped, numbered["__row"] == dropped["row"], "left_anti").drop("__row")

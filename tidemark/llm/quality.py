@@ -8,7 +8,8 @@ mean over the pieces and the least piece of these three enter a logistic calibra
 in a good text shows. Nothing but the text is an input of the score.
 
 Fitting uses a bounded sample of labelled rows, in the order of a hash of the document number:
-``DICTIONARY_ROWS`` rows of each class give one piece each, and up to ``CALIBRATION_ROWS`` others in
+``DICTIONARY_ROWS`` rows of each class give one piece each, of which the first ``DICTIONARY_BYTES`` of a
+class are used (about 490 pieces of full length), and up to ``CALIBRATION_ROWS`` others in
 their natural mix give the calibration. Scoring reads every text whole, piece by piece.
 
 Defined cases: a null text counts as empty, and an empty text is one empty piece with a score like any

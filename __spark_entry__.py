@@ -26,6 +26,8 @@ from tidemark.sources.marts import read_mart, write_mart
 from tidemark.sources.raw_tables import row_counts
 from tidemark.sources.tpch_shape import raw_tables_from_tpch
 
+# The parts that may be absent together: the corpus operators and the pipeline over them.
+CORPUS_PARTS = ("tidemark.llm", "corpus_pipeline")
 
 
 def _optional(name: str):
@@ -33,7 +35,7 @@ def _optional(name: str):
     try:
         return importlib.import_module(name)
     except ModuleNotFoundError as missing:
-        if missing.name and (name == missing.name or name.startswith(f"{missing.name}.")):
+        if any(missing.name == part or f"{missing.name}".startswith(f"{part}.") for part in CORPUS_PARTS):
             return None
         raise
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, near_copies, packing, quality
+from tidemark.llm import exact_dedup, packing, quality, simhash
 from tidemark.llm.common import stored, table
 
 
@@ -24,11 +24,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more.
-
-    Candidates come from SimHash groups and from bands of minimum hashes; all are checked on the texts.
-    """
-    return near_copies.keep_firsts(docs)
+    """One document of each component of SimHash links: four-word shingles, four bits at most."""
+    return simhash.keep_firsts(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

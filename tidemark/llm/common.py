@@ -42,9 +42,21 @@ def row_id() -> Column:
     return F.monotonically_increasing_id()
 
 
-def with_row_numbers(docs: DataFrame) -> DataFrame:
-    """``docs`` stored with a column ``__row``, the same in every later read."""
-    return stored(docs.withColumn("__row", row_id()), "numbered-rows")
+def free_name(columns: list[str], base: str) -> str:
+    """A column name that none of ``columns`` has; Spark does not tell case apart."""
+    taken = {name.lower() for name in columns}
+    return next(name for k in range(len(taken) + 1) if (name := f"{base}_{k}") not in taken)
+
+
+def quoted(name: str) -> str:
+    """A column name as ``select`` takes it, dots and back-ticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def with_row_numbers(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` stored with one more column of row numbers, the same in every later read; its name."""
+    name = free_name(docs.columns, "row_number")
+    return stored(docs.withColumn(name, row_id()), "numbered-rows"), name
 
 
 def partitions_for(df: DataFrame, target_bytes: int = 64 << 20) -> int:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_SPACE, row_id, stored, text_of, with_row_numbers
+from tidemark.llm.common import ASCII_SPACE, quoted, row_id, stored, text_of, with_row_numbers
 
 KEYS_PER_BUCKET = 256
 KEYS_PER_GROUP = 4
@@ -257,6 +257,7 @@ def keep_winners(docs: DataFrame) -> DataFrame:
 
     The rows are numbered once and stored with their numbers; decision and result read that table.
     """
-    numbered = with_row_numbers(docs)
-    dropped = exact_dedup(numbered, F.col("__row")).filter(~F.col("kept")).select("row")
-    return numbered.join(dropped, numbered["__row"] == dropped["row"], "left_anti").drop("__row")
+    numbered, number = with_row_numbers(docs)
+    dropped = exact_dedup(numbered, F.col(number)).filter(~F.col("kept"))
+    dropped = dropped.select(F.col("row").alias(number))
+    return numbered.join(dropped, number, "left_anti").select(*map(quoted, docs.columns))

@@ -15,7 +15,8 @@ their natural mix give the calibration. Scoring reads every text whole, piece by
 Defined cases: a null text counts as empty, and an empty text is one empty piece with a score like any
 other; without labelled rows of both classes the score is the share of good rows, or 0.5 without any;
 labels that are null or not 0 or 1 are ignored; repeated rows are scored alike; an empty table gives no
-rows.
+rows. Of documents that share sampled doc_ids, no more than the bounds are learned from, in the order of
+a hash of doc_id and then of the text. Other columns are ignored by ``score`` and kept by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_batches, text_of
+from tidemark.llm.common import bounded_batches, free_name, text_of
 
 PIECE_BYTES = 1024
 DICTIONARY_BYTES = 500_000
@@ -121,9 +122,10 @@ def _measured(good: bytes, bad: bytes):
         measure = Measure(good, bad)
         for batch in batches:
             rows = [measure(t.as_buffer().to_pybytes()).tolist() for t in batch.column("text")]
+            keys = ["quality", "order", "next"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("quality"), pa.array(rows, pa.list_(pa.float64()))],
-                names=["quality", "features"],
+                [*map(batch.column, keys), pa.array(rows, pa.list_(pa.float64()))],
+                names=[*keys, "features"],
             )
 
     return run
@@ -150,26 +152,33 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     for_dictionary, for_calibration = sample_rows(labels)
     n_chars = F.length("text")
     start = F.pmod(F.xxhash64("text"), F.greatest(n_chars - PIECE_BYTES, F.lit(0)) + 1) + 1
-    pieces = (
-        _labelled(docs, for_dictionary)
-        .select(
-            "quality",
-            F.xxhash64("doc_id").alias("order"),
-            F.substring(F.col("text"), start.cast("int"), F.lit(PIECE_BYTES)).alias("piece"),
-        )
-        .collect()
+    found = _labelled(docs, for_dictionary).select(
+        "quality",
+        F.xxhash64("doc_id").alias("order"),
+        F.substring(F.col("text"), start.cast("int"), F.lit(PIECE_BYTES)).alias("piece"),
     )
-    pieces.sort(key=lambda row: (row["order"], row["piece"]))
+    # many documents may carry a sampled doc_id: the bounds hold for them too
+    pieces = [
+        row
+        for kind, most in DICTIONARY_ROWS.items()
+        for row in found.filter(F.col("quality") == kind).orderBy("order", "piece").limit(most).collect()
+    ]
     content = {
         kind: "\n".join(row["piece"] for row in pieces if row["quality"] == kind).encode()
         for kind in (0, 1)
     }
     good, bad = (content[kind][:DICTIONARY_BYTES] for kind in (1, 0))
     chosen = _labelled(docs, for_calibration).select(
-        "quality", F.col("text").cast("binary").alias("text")
+        "quality",
+        F.xxhash64("doc_id").alias("order"),
+        F.xxhash64("text").alias("next"),
+        F.col("text").cast("binary").alias("text"),
+    )
+    measured = chosen.mapInArrow(
+        _measured(good, bad), "quality int, order long, next long, features array<double>"
     )
-    measured = chosen.mapInArrow(_measured(good, bad), "quality int, features array<double>")
-    rows = measured.toPandas()
+    ordered = measured.orderBy("order", "next", "quality").limit(CALIBRATION_ROWS)
+    rows = ordered.select("quality", "features").toPandas()
     y = rows["quality"].to_numpy(dtype=float)
     constant = QualityModel(good, bad, (0.0,) * 6, (1.0,) * 6, (0.0,) * 6, 0.0)
     if not len(y) or y.min() == y.max():
@@ -216,7 +225,8 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) ->
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` whose score reaches the threshold, all columns unchanged, without a shuffle."""
     bounded_batches(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
+    name = free_name(docs.columns, "score")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     column = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,8 +236,8 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD
             features = np.array([measure(t) for t in texts])
             scores = model.probability(features.reshape(len(texts), N_FEATURES))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores)], names=[*batch.schema.names, "__score"]
+                [*batch.columns, pa.array(scores)], names=[*batch.schema.names, name]
             )
 
     scored = docs.mapInArrow(run, schema)
-    return scored.filter(F.col("__score") >= threshold).drop("__score")
+    return scored.filter(F.col(name) >= threshold).drop(name)

@@ -37,6 +37,7 @@ from tidemark.llm.common import (
     ASCII_UPPER,
     bounded_batches,
     partitions_for,
+    quoted,
     row_id,
     stored,
     text_of,
@@ -386,6 +387,7 @@ def keep_firsts(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
 
     The rows are numbered once and stored with their numbers; decision and result read that table.
     """
-    numbered = with_row_numbers(docs)
-    dropped = near_groups(numbered, limit, row=F.col("__row")).filter(~F.col("kept")).select("row")
-    return numbered.join(dropped, numbered["__row"] == dropped["row"], "left_anti").drop("__row")
+    numbered, number = with_row_numbers(docs)
+    dropped = near_groups(numbered, limit, row=F.col(number)).filter(~F.col("kept"))
+    dropped = dropped.select(F.col("row").alias(number))
+    return numbered.join(dropped, number, "left_anti").select(*map(quoted, docs.columns))

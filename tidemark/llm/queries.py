@@ -11,7 +11,10 @@ from tidemark.llm import (
     chat_format,
     exact_dedup,
     kd_shards,
+    lexical_search,
+    lm_scoring,
     packing,
+    phrases,
     quality,
     sentence_pieces,
     simhash,
@@ -84,6 +87,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_digests(stored(formatted, "chat-examples"))
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, lm_scoring.fit(docs))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_sentence_pieces": op2_sentence_pieces,
@@ -95,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_cap_filters": op9_cap_filters,
     "op10_chat_format": op10_chat_format,
+    "op11_lm_scores": op11_lm_scores,
+    "op12_collocations": op12_collocations,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -165,4 +185,93 @@ ORACLE_SQL: dict[str, str] = {
                sum(upto) FILTER (role = 'assistant' OR number = n)::BIGINT AS formatted_chars
         FROM placed GROUP BY conv_id
     """,
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, doc, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM (SELECT lang, row_number() OVER () AS doc,
+                         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+                  FROM documents)
+        ), numbered AS (
+            SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+        ), placed AS (
+            SELECT lang, piece, unnest(words) AS w, unnest(range(len(words))) AS place FROM numbered
+        ), followed AS (
+            SELECT lang, w AS w1, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4,
+                   lead(w, 4) OVER p AS w5
+            FROM placed WINDOW p AS (PARTITION BY piece ORDER BY place)
+        ), counts AS (
+            SELECT lang, 1 AS k, w1 AS phrase, count(*) AS f FROM followed GROUP BY ALL
+            UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM followed WHERE w2 IS NOT NULL GROUP BY ALL
+            UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM followed
+                      WHERE w3 IS NOT NULL GROUP BY ALL
+            UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*) FROM followed
+                      WHERE w4 IS NOT NULL GROUP BY ALL
+            UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5, count(*) FROM followed
+                      WHERE w5 IS NOT NULL GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT * FROM counts WHERE k > 1 AND f >= 100
+        ), halves AS (
+            SELECT lang, f, array_to_string(string_split(phrase, ' ')[1:k - 1], ' ') AS phrase FROM candidates
+            UNION ALL
+            SELECT lang, f, array_to_string(string_split(phrase, ' ')[2:k], ' ') FROM candidates
+        ), covering AS (
+            SELECT lang, phrase, max(f) AS f FROM halves GROUP BY ALL
+        ), cuts AS (
+            SELECT c.lang, c.phrase, c.f AS a, cut,
+                   array_to_string(string_split(c.phrase, ' ')[1:cut], ' ') AS head,
+                   array_to_string(string_split(c.phrase, ' ')[cut + 1:c.k], ' ') AS tail
+            FROM candidates c LEFT JOIN covering USING (lang, phrase), (SELECT unnest([1, 2, 3, 4]) AS cut)
+            WHERE cut < c.k AND coalesce(covering.f < c.f, true)
+        ), scored AS (
+            SELECT cuts.lang, cuts.phrase, a, cut, l.f AS l, r.f AS r, n,
+                   ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+            FROM cuts JOIN totals USING (lang)
+            JOIN counts l ON l.lang = cuts.lang AND l.phrase = head
+            JOIN counts r ON r.lang = cuts.lang AND r.phrase = tail
+        ), lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """,
+    "op13_lexical_search": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS doc,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), sizes AS (
+            SELECT doc_id, doc, len(terms) AS n FROM d WHERE len(terms) > 0
+        ), figures AS (
+            SELECT count(*) AS big_n, sum(n)::BIGINT AS l FROM sizes
+        ), postings AS (
+            SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM d) GROUP BY ALL
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2.0::DOUBLE * big_n + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+            FROM postings, figures GROUP BY term, big_n
+        ), wanted AS (
+            SELECT item_id, item, term, count(*) AS times FROM (
+                SELECT item_id, row_number() OVER () AS item,
+                       unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                           'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark
+            ) GROUP BY ALL
+        ), scored AS (
+            SELECT item_id, item, doc_id, doc,
+                   sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // l))))::BIGINT
+                       AS score
+            FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (doc), figures
+            GROUP BY ALL
+        ), ranked AS (
+            SELECT item_id, doc_id, score, row_number() OVER (
+                       PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, doc)::INTEGER AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
 }

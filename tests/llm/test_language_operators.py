@@ -106,12 +106,12 @@ def test_filter_is_never_too_low_and_seldom_too_high():
     import pyarrow as pa
 
     pick = np.random.default_rng(4)
-    prints = np.unique(pick.integers(0, 1 << 63, 60_000).astype(np.uint64))
-    seen, unseen = prints[:30_000], prints[30_000:]
+    prints = pick.permutation(np.unique(pick.integers(0, 1 << 64, 60_000, dtype=np.uint64)))
+    seen, unseen = np.sort(prints[:30_000]), np.sort(prints[30_000:])
     times = pick.geometric(0.3, len(seen)).astype("<i8")
     half = pa.table({"segment": [0], "prints": [seen.tobytes()], "times": [times.tobytes()]})
-    row = lm_scoring._segment_filter(half).to_pylist()[0]
-    held = lm_scoring.Filter([row], 1, row["n_bits"] // 8)
+    row = lm_scoring._segment_filter(half, 1).to_pylist()[0]
+    held = lm_scoring.Filter([row], 1, row["n_words"])
     levels = np.floor(np.log2(times)).astype(int) + 1
     assert (held.levels(seen) >= levels).all()
     assert (held.levels(seen) > levels).mean() < 0.02 and (held.levels(unseen) > 0).mean() < 0.02

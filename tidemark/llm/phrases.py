@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import give_back_memory
 from tidemark.llm.common import row_id, stored, text_of
 from tidemark.llm.words import LOWER, counted, lists, words_of
 
@@ -53,9 +54,10 @@ PIECE_BYTES = LOWER.translate(
     )
 )
 
+# Words stand in one binary with a space behind each; numbers are little-endian, of 4 or 8 bytes.
 SHARD = (
-    "shard long, vocabulary array<binary>, words array<binary>, counts array<long>,"
-    " forward array<int>, backward array<int>"
+    "shard long, langs array<binary>, lang_of binary, words binary, counts binary,"
+    " forward binary, backward binary"
 )
 
 
@@ -109,32 +111,38 @@ def _shard_row(rows: pa.Table, longest: int) -> pa.RecordBatch:
     number = np.where(real, np.cumsum(real), 0)
     # a mark behind every text
     sequence = np.insert(number[at], words.bounds[1:], 0).astype(np.int32)
-    names = pc.binary_join_element_wise(
-        langs.dictionary.cast(pa.large_binary()).take(pa.array(keys[real] // width)),
-        words.dictionary.take(pa.array(keys[real] % width)),
-        pa.scalar(b"\t", pa.large_binary()),
-    )
     counts = np.bincount(sequence, minlength=int(real.sum()) + 1)[1:]
     columns = {
-        "shard": rows.column("row").chunk(0)[:1],
-        "vocabulary": names.cast(pa.binary()),
-        "words": words.dictionary.take(pa.array(keys[real] % width)).cast(pa.binary()),
-        "counts": pa.array(counts, pa.int64()),
-        "forward": pa.array(transform(sequence, longest)),
-        "backward": pa.array(transform(sequence[::-1], longest)),
+        "lang_of": (keys[real] // width).astype("<i4"),
+        "words": b"".join(w + b" " for w in words.dictionary.take(pa.array(keys[real] % width)).to_pylist()),
+        "counts": counts.astype("<i8"),
+        "forward": transform(sequence, longest).astype("<i4"),
+        "backward": transform(sequence[::-1], longest).astype("<i4"),
     }
-    lists_of = [lists(v, np.array([len(v)])) for v in list(columns.values())[1:]]
-    return pa.RecordBatch.from_arrays([columns["shard"], *lists_of], names=list(columns))
+    blobs = [pa.array([bytes(v)], pa.binary()) for v in columns.values()]
+    known = langs.dictionary.cast(pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [rows.column("row").chunk(0)[:1], lists(known, np.array([len(known)])), *blobs],
+        names=["shard", "langs", *columns],
+    )
 
 
 def _sharded(longest: int, shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _gathered(batches, shard_bytes):
             yield _shard_row(rows, longest)
+        give_back_memory()
 
     return run
 
 
+def _vocabulary(row: dict) -> tuple[pa.Array, pa.Array]:
+    """The words of a shard with their lang (lang, tab, word) and without."""
+    words = pa.array(row["words"].split(b" ")[:-1], pa.binary())
+    lang = pa.array(row["langs"], pa.binary()).take(pa.array(np.frombuffer(row["lang_of"], "<i4")))
+    return pc.binary_join_element_wise(lang, words, pa.scalar(b"\t", pa.binary())), words
+
+
 class Side:
     """One transform: the words before each sorted rotation, and where a step to them leads."""
 
@@ -152,10 +160,12 @@ class Side:
 class ShardIndex:
     """The FM-index of a shard, extended on both sides."""
 
-    def __init__(self, vocabulary: pa.Array, words: pa.Array, counts, forward, backward):
+    def __init__(self, row: dict):
         # word 0 is the mark between pieces
         mark = pa.array([b""], pa.binary())
-        self.names, self.words = (pa.concat_arrays([mark, a]) for a in (vocabulary, words))
+        self.names, self.words = (pa.concat_arrays([mark, a]) for a in _vocabulary(row))
+        counts = np.frombuffer(row["counts"], "<i8")
+        forward, backward = (np.frombuffer(row[side], "<i4") for side in ("forward", "backward"))
         self.counts = np.concatenate([[len(forward) - counts.sum()], counts])
         self.forward, self.backward = Side(forward), Side(backward)
 
@@ -218,24 +228,29 @@ def longer_phrases(index: ShardIndex, frequent: list[pa.Array]) -> tuple[pa.Arra
     return index.spelled(phrases[0]), phrases[3]
 
 
-def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Scalar, ShardIndex]]:
+def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, ShardIndex]]:
     for batch in batches:
         for k in range(len(batch)):
-            part = {n: batch.column(n).slice(k, 1).flatten() for n in batch.schema.names if n != "shard"}
-            arrays = [part[n].to_numpy() for n in ("counts", "forward", "backward")]
-            yield batch.column("shard")[k], ShardIndex(part["vocabulary"], part["words"], *arrays)
+            row = batch.slice(k, 1).to_pylist()[0]
+            yield row["shard"], ShardIndex(row)
 
 
 REPORT = "shard long, phrase binary, n long"
 
 
-def _report(shard: pa.Scalar, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+def _report(shard: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([shard.as_py()] * len(phrases), pa.int64()), phrases, pa.array(counts, pa.int64())],
+        [pa.array(np.full(len(phrases), shard)), phrases, pa.array(counts, pa.int64())],
         names=["shard", "phrase", "n"],
     )
 
 
+def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield _report(row["shard"], _vocabulary(row)[0], np.frombuffer(row["counts"], "<i8"))
+
+
 def _reported(shards: DataFrame, frequent: list[DataFrame]) -> DataFrame:
     """Longer phrases of all shards, the frequent ones sent to every worker."""
     sent = shards.sparkSession.sparkContext.broadcast(
@@ -245,6 +260,7 @@ def _reported(shards: DataFrame, frequent: list[DataFrame]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, index in _indexes(batches):
             yield _report(shard, *longer_phrases(index, sent.value))
+        give_back_memory()
 
     return shards.mapInArrow(run, REPORT)
 
@@ -270,7 +286,7 @@ def _reported_by_own(shards: DataFrame, reports: list[DataFrame], frequent: list
         rows = [
             _report(shard, *longer_phrases(index, parts)) for shard, index in _indexes(held.to_batches())
         ]
-        return pa.Table.from_batches(rows, schema=_report(pa.scalar(0), parts[0][:0], np.zeros(0)).schema)
+        return pa.Table.from_batches(rows, schema=_report(0, parts[0][:0], np.zeros(0)).schema)
 
     return shards.groupBy("shard").cogroup(together.groupBy("own")).applyInArrow(run, REPORT)
 
@@ -293,9 +309,7 @@ def phrase_counts(
         text_of().cast("binary").alias("text"),
     )
     shards = stored(rows.mapInArrow(_sharded(longest, shard_bytes), SHARD), "phrase-shards")
-    own_words = shards.select("shard", F.explode(F.arrays_zip("vocabulary", "counts")).alias("w")).select(
-        "shard", F.col("w.vocabulary").alias("phrase"), F.col("w.counts").alias("n")
-    )
+    own_words = shards.select("shard", "langs", "lang_of", "words", "counts").mapInArrow(_own_words, REPORT)
     words = stored(_summed(own_words), "phrase-words")
     totals = words.groupBy(_lang(F.col("phrase")).alias("lang")).agg(F.sum("n").alias("n"))
     frequent = [stored(words.filter(F.col("n") >= least), "phrases-1")]

@@ -76,6 +76,13 @@ def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def bounded_bytes(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Arrow batches of so many bytes for rows that are large, unless the session's owner chose a size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(size))
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

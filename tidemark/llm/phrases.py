@@ -36,13 +36,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import give_back_memory
-from tidemark.llm.common import row_id, stored, text_of
+from tidemark.llm.common import bounded_batches, bounded_bytes, row_id, stored, text_of
 from tidemark.llm.words import LOWER, counted, lists, words_of
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
+ROW_GROUP_BYTES = 8 << 20
 BROADCAST_BYTES = 64 << 20
 MOST_LANGS = 10_000
 NO_LANG = "und"
@@ -308,7 +309,11 @@ def phrase_counts(
         F.coalesce(F.col("lang"), F.lit(NO_LANG)).alias("lang"),
         text_of().cast("binary").alias("text"),
     )
-    shards = stored(rows.mapInArrow(_sharded(longest, shard_bytes), SHARD), "phrase-shards")
+    bounded_batches(docs.sparkSession)
+    bounded_bytes(docs.sparkSession)
+    # small row groups, as a reader holds one whole
+    groups = {"parquet.block.size": str(ROW_GROUP_BYTES)}
+    shards = stored(rows.mapInArrow(_sharded(longest, shard_bytes), SHARD), "phrase-shards", **groups)
     own_words = shards.select("shard", "langs", "lang_of", "words", "counts").mapInArrow(_own_words, REPORT)
     words = stored(_summed(own_words), "phrase-words")
     totals = words.groupBy(_lang(F.col("phrase")).alias("lang")).agg(F.sum("n").alias("n"))

@@ -177,6 +177,11 @@ def test_no_phrases(spark, empty, awkward):
     assert phrases.collocations(awkward, least=10**6).collect() == []
 
 
+def test_pairs_of_one_hash_are_still_counted_apart(spark, awkward_rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(phrases, "pair_codes", lambda index, ids, n: np.zeros(len(ids), dtype=np.int64))
+    test_phrases_against_brute_force(spark, awkward_rows, tmp_path, {})
+
+
 def test_transform_counts_patterns():
     pick = np.random.default_rng(3)
     sequence = np.append(pick.integers(0, 4, 500), 0).astype(np.int32)

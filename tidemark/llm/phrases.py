@@ -11,6 +11,7 @@ side is found by adding up the counts of the smaller words, as neighbours stand
 Phrases are enumerated by length, words being added on the right and on the left in turn, for all intervals
 of a shard at once. After each length the shards' counts are summed, and only phrases that reach the least
 count over all shards are extended: a longer phrase is never more frequent than its parts, so none is lost.
+Pairs, the most by far, are first counted by their hashes, which rules out nearly all rare ones.
 The frequent phrases go back to the shards by broadcast while they have ``BROADCAST_BYTES`` or less;
 beyond that each shard is sent those that it has itself reported. Both ways give the same counts.
 
@@ -32,11 +33,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import give_back_memory
 from tidemark.llm.common import bounded_batches, bounded_bytes, row_id, stored, text_of
+from tidemark.llm.lm_scoring import segments_of
 from tidemark.llm.words import LOWER, counted, lists, words_of
 
 LEAST = 100
@@ -45,6 +48,7 @@ TOP = 2000
 SHARD_BYTES = 4 << 20
 ROW_GROUP_BYTES = 8 << 20
 BROADCAST_BYTES = 64 << 20
+SEGMENT_WORDS = 1 << 20
 MOST_LANGS = 10_000
 NO_LANG = "und"
 # Pieces end at these bytes; no byte of UTF-8 text is 0xff, which stands for them.
@@ -217,8 +221,8 @@ def _known(spelled: pa.Array, frequent: pa.Array) -> np.ndarray:
     return pc.is_valid(pc.index_in(spelled, value_set=frequent)).to_numpy(zero_copy_only=False)
 
 
-def longer_phrases(index: ShardIndex, frequent: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
-    """Phrases one word longer than the longest ``frequent`` ones, both parts frequent, with counts."""
+def longer_phrases(index: ShardIndex, frequent: list[pa.Array]) -> tuple[np.ndarray, ...]:
+    """Phrases one word longer than the longest ``frequent`` ones, both parts frequent."""
     phrases = index.single()
     for k, known in enumerate(frequent):
         phrases = _kept(phrases, _known(index.spelled(phrases[0]), known))
@@ -226,7 +230,49 @@ def longer_phrases(index: ShardIndex, frequent: list[pa.Array]) -> tuple[pa.Arra
         phrases = index.extended(phrases, right)
         other = phrases[0][:, 1:] if right else phrases[0][:, :-1]
         phrases = _kept(phrases, _known(index.spelled(other), known))
-    return index.spelled(phrases[0]), phrases[3]
+    return phrases
+
+
+def pair_codes(index: ShardIndex, ids: np.ndarray, n_segments: int) -> np.ndarray:
+    """A number of each pair of words, the same in all shards: its segment, then 32 bits of its hash."""
+    single = [xxhash.xxh64_intdigest(name) for name in index.names.to_pylist()]
+    one, other = np.array(single, dtype=np.uint64)[ids].T
+    mixed = one * np.uint64(0x9E3779B97F4A7C15) + other
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    place = (mixed * np.uint64(n_segments)) >> np.uint64(32)
+    return (segments_of(mixed, n_segments) << 32) | place.astype(np.int64)
+
+
+def _pair_blocks(sent, least: int, n_segments: int):
+    """The pairs of a shard as one row a segment: 32-bit hashes and counts, no higher than ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, index in _indexes(batches):
+            pairs = longer_phrases(index, sent.value)
+            codes, count = counted(pair_codes(index, pairs[0], n_segments), pairs[3])
+            count = np.minimum(count, least).astype("<u4")
+            first = np.flatnonzero(np.diff(codes >> 32, prepend=-1))
+            spans = list(zip(first.tolist(), [*first[1:].tolist(), len(codes)], strict=False))
+            blocks = [[v[a:b].tobytes() for a, b in spans] for v in (codes.astype("<u4"), count)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes[first] >> 32), *(pa.array(b, pa.binary()) for b in blocks)],
+                names=["segment", "hashes", "counts"],
+            )
+        give_back_memory()
+
+    return run
+
+
+def _frequent_in(block: pa.Table, least: int) -> pa.Table:
+    """The codes of a segment whose counts sum to ``least`` or more."""
+    hashes, count = (
+        np.concatenate([np.frombuffer(b.as_buffer(), "<u4") for b in block.column(name)])
+        for name in ("hashes", "counts")
+    )
+    hashes, count = counted(hashes, count.astype(np.int64))
+    segment = block.column("segment")[0].as_py()
+    codes = (segment << 32) | hashes[count >= least].astype("<i8")
+    return pa.table({"segment": [segment], "codes": [codes.tobytes()]})
 
 
 def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, ShardIndex]]:
@@ -252,15 +298,52 @@ def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _report(row["shard"], _vocabulary(row)[0], np.frombuffer(row["counts"], "<i8"))
 
 
-def _reported(shards: DataFrame, frequent: list[DataFrame]) -> DataFrame:
-    """Longer phrases of all shards, the frequent ones sent to every worker."""
-    sent = shards.sparkSession.sparkContext.broadcast(
-        [f.select("phrase").toArrow().column("phrase").combine_chunks() for f in frequent]
+def _sent(shards: DataFrame, frequent: list[DataFrame]):
+    """The frequent phrases by length, on every worker."""
+    held = [f.select("phrase").toArrow().column("phrase").combine_chunks() for f in frequent]
+    return shards.sparkSession.sparkContext.broadcast(held)
+
+
+def likely_pairs(
+    shards: DataFrame, words: DataFrame, least: int, n_words: int, broadcast_bytes: int
+) -> tuple[np.ndarray, int] | None:
+    """Codes that all pairs with ``least`` occurrences have, and the number of segments.
+
+    Most pairs of frequent words are rare. Their hashes are counted first, in a few bytes each, so that
+    only pairs whose hash is frequent are spelled out and counted exactly; a pair that shares the hash of
+    another is one too many, none is missing.
+    """
+    n_segments = max(1, -(-n_words // SEGMENT_WORDS))
+    blocks = shards.mapInArrow(
+        _pair_blocks(_sent(shards, [words]), least, n_segments),
+        "segment long, hashes binary, counts binary",
     )
+    found = stored(
+        blocks.groupBy("segment").applyInArrow(
+            lambda block: _frequent_in(block, least), "segment long, codes binary"
+        ),
+        "phrase-likely-pairs",
+    )
+    if found.agg(F.coalesce(F.sum(F.length("codes")), F.lit(0))).first()[0] > broadcast_bytes:
+        return None
+    rows = found.orderBy("segment").toLocalIterator()
+    return np.frombuffer(b"".join(bytes(row["codes"]) for row in rows), "<i8"), n_segments
+
+
+def _reported(shards: DataFrame, frequent: list[DataFrame], likely=None) -> DataFrame:
+    """Longer phrases of all shards, the frequent ones sent to every worker."""
+    sent = _sent(shards, frequent)
+    codes = shards.sparkSession.sparkContext.broadcast(likely)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, index in _indexes(batches):
-            yield _report(shard, *longer_phrases(index, sent.value))
+            phrases = longer_phrases(index, sent.value)
+            if codes.value is not None:
+                known, n_segments = codes.value
+                wanted = pair_codes(index, phrases[0], n_segments)
+                at = np.searchsorted(known, wanted)
+                phrases = _kept(phrases, np.append(known, -1)[at] == wanted)
+            yield _report(shard, index.spelled(phrases[0]), phrases[3])
         give_back_memory()
 
     return shards.mapInArrow(run, REPORT)
@@ -284,9 +367,10 @@ def _reported_by_own(shards: DataFrame, reports: list[DataFrame], frequent: list
         parts = [
             own.filter(pc.equal(own.column("k"), k)).column("phrase").combine_chunks() for k in lengths
         ]
-        rows = [
-            _report(shard, *longer_phrases(index, parts)) for shard, index in _indexes(held.to_batches())
-        ]
+        rows = []
+        for shard, index in _indexes(held.to_batches()):
+            phrases = longer_phrases(index, parts)
+            rows.append(_report(shard, index.spelled(phrases[0]), phrases[3]))
         return pa.Table.from_batches(rows, schema=_report(0, parts[0][:0], np.zeros(0)).schema)
 
     return shards.groupBy("shard").cogroup(together.groupBy("own")).applyInArrow(run, REPORT)
@@ -319,9 +403,12 @@ def phrase_counts(
     totals = words.groupBy(_lang(F.col("phrase")).alias("lang")).agg(F.sum("n").alias("n"))
     frequent = [stored(words.filter(F.col("n") >= least), "phrases-1")]
     reports, size = [own_words], _bytes(frequent[0])
+    n_words, likely = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], None
     for length in range(2, longest + 1):
         if size <= broadcast_bytes:
-            found = _reported(shards, frequent)
+            if length == 2:
+                likely = likely_pairs(shards, frequent[0], least, n_words, broadcast_bytes)
+            found = _reported(shards, frequent, likely if length == 2 else None)
         else:
             found = stored(_reported_by_own(shards, reports, frequent), f"phrase-reports-{length}")
         reports.append(found)

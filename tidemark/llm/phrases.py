@@ -49,6 +49,7 @@ SHARD_BYTES = 4 << 20
 ROW_GROUP_BYTES = 8 << 20
 BROADCAST_BYTES = 64 << 20
 SEGMENT_WORDS = 1 << 20
+MERGED_ROWS = 1 << 20
 MOST_LANGS = 10_000
 NO_LANG = "und"
 # Pieces end at these bytes; no byte of UTF-8 text is 0xff, which stands for them.
@@ -221,8 +222,11 @@ def _known(spelled: pa.Array, frequent: pa.Array) -> np.ndarray:
     return pc.is_valid(pc.index_in(spelled, value_set=frequent)).to_numpy(zero_copy_only=False)
 
 
-def longer_phrases(index: ShardIndex, frequent: list[pa.Array]) -> tuple[np.ndarray, ...]:
-    """Phrases one word longer than the longest ``frequent`` ones, both parts frequent."""
+def longer_phrases(
+    index: ShardIndex, frequent: list[pa.Array], words: int = 1
+) -> list[tuple[np.ndarray, ...]]:
+    """Phrases longer than the longest ``frequent`` ones by one word, whose parts are both frequent, then
+    those longer by up to ``words``."""
     phrases = index.single()
     for k, known in enumerate(frequent):
         phrases = _kept(phrases, _known(index.spelled(phrases[0]), known))
@@ -230,7 +234,10 @@ def longer_phrases(index: ShardIndex, frequent: list[pa.Array]) -> tuple[np.ndar
         phrases = index.extended(phrases, right)
         other = phrases[0][:, 1:] if right else phrases[0][:, :-1]
         phrases = _kept(phrases, _known(index.spelled(other), known))
-    return phrases
+    found = [phrases]
+    for k in range(len(frequent), len(frequent) + words - 1):
+        found.append(index.extended(found[-1], k % 2 == 0))
+    return found
 
 
 def pair_codes(index: ShardIndex, ids: np.ndarray, n_segments: int) -> np.ndarray:
@@ -248,7 +255,7 @@ def _pair_blocks(sent, least: int, n_segments: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, index in _indexes(batches):
-            pairs = longer_phrases(index, sent.value)
+            pairs = longer_phrases(index, sent.value)[0]
             codes, count = counted(pair_codes(index, pairs[0], n_segments), pairs[3])
             count = np.minimum(count, least).astype("<u4")
             first = np.flatnonzero(np.diff(codes >> 32, prepend=-1))
@@ -330,26 +337,50 @@ def likely_pairs(
     return np.frombuffer(b"".join(bytes(row["codes"]) for row in rows), "<i8"), n_segments
 
 
-def _reported(shards: DataFrame, frequent: list[DataFrame], likely=None) -> DataFrame:
-    """Longer phrases of all shards, the frequent ones sent to every worker."""
+def _reports(shard: int, index: ShardIndex, found: list) -> list[pa.RecordBatch]:
+    return [_report(shard, index.spelled(ids), count) for ids, _, _, count in found]
+
+
+def _merged(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Reports of several shards with their counts added up, under the number of the first."""
+    rows = pa.Table.from_batches(held)
+    sums = rows.group_by("phrase").aggregate([("n", "sum")]).combine_chunks()
+    phrases, counts = (
+        pa.concat_arrays(sums.column(name).chunks) for name in ("phrase", "n_sum")
+    )
+    return _report(rows.column("shard")[0].as_py(), phrases, counts)
+
+
+def _reported(
+    shards: DataFrame, frequent: list[DataFrame], words: int, likely=None, merged: bool = True
+) -> DataFrame:
+    """Longer phrases, the frequent ones sent to every worker; ``merged``: counts of a task added up."""
     sent = _sent(shards, frequent)
     codes = shards.sparkSession.sparkContext.broadcast(likely)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for shard, index in _indexes(batches):
-            phrases = longer_phrases(index, sent.value)
+            found = longer_phrases(index, sent.value, words)
             if codes.value is not None:
                 known, n_segments = codes.value
-                wanted = pair_codes(index, phrases[0], n_segments)
+                wanted = pair_codes(index, found[0][0], n_segments)
                 at = np.searchsorted(known, wanted)
-                phrases = _kept(phrases, np.append(known, -1)[at] == wanted)
-            yield _report(shard, index.spelled(phrases[0]), phrases[3])
+                found[0] = _kept(found[0], np.append(known, -1)[at] == wanted)
+            held += [r for r in _reports(shard, index, found) if len(r)]
+            if held and (not merged or sum(map(len, held)) >= MERGED_ROWS):
+                yield from [_merged(held)] if merged else held
+                held = []
+        if held:
+            yield _merged(held)
         give_back_memory()
 
     return shards.mapInArrow(run, REPORT)
 
 
-def _reported_by_own(shards: DataFrame, reports: list[DataFrame], frequent: list[DataFrame]) -> DataFrame:
+def _reported_by_own(
+    shards: DataFrame, reports: list[DataFrame], frequent: list[DataFrame], words: int
+) -> DataFrame:
     """The same, each shard being sent the frequent ones among those it has reported."""
     known = [
         r.join(f.select("phrase"), "phrase", "left_semi").select(
@@ -369,8 +400,7 @@ def _reported_by_own(shards: DataFrame, reports: list[DataFrame], frequent: list
         ]
         rows = []
         for shard, index in _indexes(held.to_batches()):
-            phrases = longer_phrases(index, parts)
-            rows.append(_report(shard, index.spelled(phrases[0]), phrases[3]))
+            rows += _reports(shard, index, longer_phrases(index, parts, words))
         return pa.Table.from_batches(rows, schema=_report(0, parts[0][:0], np.zeros(0)).schema)
 
     return shards.groupBy("shard").cogroup(together.groupBy("own")).applyInArrow(run, REPORT)
@@ -404,16 +434,23 @@ def phrase_counts(
     frequent = [stored(words.filter(F.col("n") >= least), "phrases-1")]
     reports, size = [own_words], _bytes(frequent[0])
     n_words, likely = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], None
-    for length in range(2, longest + 1):
+    # what is left after three words is little: all longer phrases come from one pass
+    for length, words_more in [(k, 1) for k in range(2, min(longest, 3) + 1)] + [(4, longest - 3)] * (longest > 3):
         if size <= broadcast_bytes:
             if length == 2:
                 likely = likely_pairs(shards, frequent[0], least, n_words, broadcast_bytes)
-            found = _reported(shards, frequent, likely if length == 2 else None)
+            ways = {"likely": likely if length == 2 else None}
+            found = _reported(shards, frequent, words_more, **ways)
+            reports.append(_reported(shards, frequent, words_more, merged=False, **ways))
         else:
-            found = stored(_reported_by_own(shards, reports, frequent), f"phrase-reports-{length}")
-        reports.append(found)
-        frequent.append(stored(_summed(found).filter(F.col("n") >= least), f"phrases-{length}"))
-        size += _bytes(frequent[-1])
+            found = stored(
+                _reported_by_own(shards, reports, frequent, words_more), f"phrase-reports-{length}"
+            )
+            reports.append(found)
+        sums = stored(_summed(found).filter(F.col("n") >= least), f"phrases-{length}")
+        n_words_in = F.size(F.split(_phrase(F.col("phrase")), " "))
+        frequent += [sums.filter(n_words_in == length + k) for k in range(words_more)]
+        size += _bytes(sums)
     return stored(totals, "phrase-totals"), frequent
 
 

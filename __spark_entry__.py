@@ -126,6 +126,47 @@ def _loaded_table(models: Analytics, table: str) -> csv_load.LoadResult:
     return csv_load.load_csv(models.spark, table, path, target)
 
 
+def _write_lines(lines: DataFrame, header: str, folder: str) -> None:
+    """Lines as they are, each file with the header first."""
+    plain = {"header": True, "sep": "\x01", "quote": "\x02"}  # characters that no line holds
+    lines.select(F.explode(F.split("line", "\n")).alias(header)).write.options(**plain).csv(folder)
+
+
+def _review_blocks(models: Analytics) -> DataFrame:
+    """Reviews from files cut in small blocks; every 97th leaves a quote open in its title."""
+    spark, folder = models.spark, f"{csv_folder(models)}-blocks-{uuid.uuid4().hex}"
+    reviews = models.raw["order_reviews"]
+    key = F.col("order_id").cast("long")
+    text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
+    stray = F.concat(F.lit('"open '), F.col("order_id"))
+    fields = [text(name) for name in reviews.columns]
+    fields[3] = F.when(key % 97 == 0, stray).otherwise(F.lit('"a ""title"""'))
+    fields[4] = F.concat(F.lit('"first\nsecond, '), F.col("order_id"), F.lit('\nthird"'))
+    fields[5:] = [F.date_format(name, "yyyy-MM-dd HH:mm:ss") for name in reviews.columns[5:]]
+    line = F.concat_ws(",", *[F.coalesce(field, F.lit("")) for field in fields])
+    _write_lines(reviews.select(line.alias("line")), ",".join(reviews.columns), folder)
+    sizes = {"spark.sql.files.maxPartitionBytes": str(1 << 18), "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in sizes}
+    for name, size in sizes.items():
+        spark.conf.set(name, size)
+    try:
+        return csv_load.load_csv(spark, "order_reviews", folder, f"{folder}-loaded").rows
+    finally:
+        for name, size in before.items():
+            spark.conf.set(name, size)
+
+
+def _mixed_headers(models: Analytics) -> csv_load.LoadResult:
+    """Payments in two sets of files, the second with other columns in another order."""
+    folder = f"{csv_folder(models)}-mixed-{uuid.uuid4().hex}"
+    payments, key = models.raw["order_payments"], F.col("order_id").cast("long")
+    orders = [payments.columns, [*payments.columns[::-1][:-1], "order_id", "batch"]]
+    for odd, names in enumerate(orders):
+        rows = payments.filter(key % 2 == odd).withColumn("batch", F.lit("second"))
+        rows.select(*names).write.mode("append").option("header", True).csv(folder)
+    return csv_load.load_csv_as_text(models.spark, folder, f"{folder}-loaded")
+
+
 def _text_load(models: Analytics) -> csv_load.LoadResult:
     """Order items as text; lines of some orders have a field too many or one too few."""
     folder = f"{csv_folder(models)}-text-{uuid.uuid4().hex}"
@@ -137,9 +178,7 @@ def _text_load(models: Analytics) -> csv_load.LoadResult:
         .when(key % 73 == 0, F.concat_ws(",", *fields[:-1]))
         .otherwise(F.concat_ws(",", *fields)),
     )
-    # one partition a file, each with its own header
-    header = ",".join(items.columns)
-    items.select(line.alias(header)).write.option("header", True).option("quote", "").csv(folder)
+    _write_lines(items.select(line.alias("line")), ",".join(items.columns), folder)
     return csv_load.load_csv_as_text(models.spark, folder, f"{folder}-loaded")
 
 
@@ -362,6 +401,15 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
         "csv_rejects": on_models(_rejected_rows),
         "csv_loaded_reviews": on_models(lambda m: _loaded_table(m, "order_reviews").rows),
         "csv_reload": on_models(_reloaded),
+        "csv_review_blocks": on_models(_review_blocks),
+        "csv_mixed_headers": on_models(
+            lambda m: _mixed_headers(m).rows.select(
+                "order_id",
+                F.col("payment_sequential").cast("int").alias("payment_sequential"),
+                F.col("payment_value").cast("double").alias("payment_value"),
+                "batch",
+            )
+        ),
         "csv_text_rejects": on_models(
             lambda m: _text_load(m).rejects.select("reason", "order_id", "order_item_id")
         ),

@@ -328,6 +328,15 @@ def texts() -> dict[str, str]:
                'said "ok",' || chr(10) || 'then ' || order_id review_comment_message,
                review_created_at review_creation_date, review_answered_at review_answer_timestamp
         from stg_order_reviews where cast(order_id as bigint) % 79 <> 0"""
+    sql["csv_review_blocks"] = """
+        select review_id, order_id, review_score, 'a "title"' review_comment_title,
+               'first' || chr(10) || 'second, ' || order_id || chr(10) || 'third' review_comment_message,
+               review_created_at review_creation_date, review_answered_at review_answer_timestamp
+        from stg_order_reviews where cast(order_id as bigint) % 97 <> 0"""
+    sql["csv_mixed_headers"] = """
+        select order_id, payment_sequential, payment_value,
+               case when cast(order_id as bigint) % 2 = 1 then 'second' end batch
+        from stg_order_payments"""
     sql["csv_reload"] = sql["csv_loaded_payments"]
     sql["mart_roundtrip"] = "select * from customer_360"
     sql["metric_revenue_label_by_tier"] = f"""

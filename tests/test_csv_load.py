@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import gzip
+import random
 
 import pytest
 
-from tidemark.sources import csv_load
+from tidemark.sources import csv_load, csv_records
 from tidemark.sources.marts import read_mart, save_as_table, write_mart
 from tidemark.sources.raw_tables import load_raw, raw_schema, row_counts
 
@@ -163,3 +164,92 @@ def test_catalog_tables_are_rebuilt(spark):
     for n in (4, 2):
         assert save_as_table(spark.range(n), "numbers_table").count() == n
     assert spark.table("numbers_table").count() == 2
+
+
+def review(k, title="", message=""):
+    return f"r{k},o{k},{k % 5 + 1},{title},{message},2018-01-18 00:00:00,2018-01-18 21:46:59"
+
+
+HEADER = REVIEWS.split("\n", 1)[0]
+
+
+def load_reviews(spark, tmp_path, lines, **conf):
+    (tmp_path / "r.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        return csv_load.load_csv(spark, "order_reviews", str(tmp_path / "r.csv"), str(tmp_path / "raw"))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+SMALL_BLOCKS = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "1"}
+
+
+@pytest.mark.parametrize("conf", [{}, SMALL_BLOCKS])
+@pytest.mark.parametrize("quotes", [False, True])
+def test_a_stray_quote_costs_one_line(spark, tmp_path, quotes, conf):
+    lines = [review(k, message='"ok, ""fine"""' if quotes else "") for k in range(1002)]
+    lines[1] = review(1, title='"never closed')
+    loaded = load_reviews(spark, tmp_path, lines, **conf)
+    assert sorted(int(r.review_id[1:]) for r in loaded.rows.collect()) == [0, *range(2, 1002)]
+    assert [r.line for r in loaded.rejects.collect()] == [lines[1]]
+
+
+@pytest.mark.parametrize("conf", [{}, SMALL_BLOCKS])
+def test_records_of_several_lines_over_many_blocks(spark, tmp_path, conf):
+    pick = random.Random(5)
+    parts = ["a,b", 'he said ""so""', "x" * 90, "", "r7,o7,1,,,,", "plain", "1,2,3,4,5,6,7"]
+    messages = {k: "\n".join(pick.choices(parts, k=pick.randrange(1, 7))) for k in range(400)}
+    lines = [review(k, message=f'"{m}"') if k % 3 else review(k) for k, m in messages.items()]
+    lines += [review(400, title=' "t" x'), review(401, title='t "x" y'), review(402) + ",more"]
+    loaded = load_reviews(spark, tmp_path, lines, **conf)
+    got = {r.review_id: r.review_comment_message for r in loaded.rows.collect()}
+    blank = lambda m: m.replace('""', '"').strip() or None
+    expected = {f"r{k}": blank(m) if k % 3 else None for k, m in messages.items()}
+    got = {k: (v or "").strip() or None for k, v in got.items()}
+    assert got == expected | {"r401": None}
+    assert sorted(r.line for r in loaded.rejects.collect()) == sorted([lines[-3], lines[-1]])
+
+
+def test_a_large_review_file_uses_many_tasks(spark, tmp_path):
+    lines = [review(k, message='"two\nlines"') for k in range(500)]
+    (tmp_path / "r.csv").write_text("\n".join([HEADER, *lines]))
+    for key, value in SMALL_BLOCKS.items():
+        spark.conf.set(key, value)
+    try:
+        frame = spark.read.text(str(tmp_path / "r.csv"))
+        assert frame.rdd.getNumPartitions() > 20
+        records = csv_records.read_records(spark, str(tmp_path / "r.csv"), 7, 5000)
+        assert records.count() == 500 and records.filter("broken").count() == 0
+    finally:
+        for key in SMALL_BLOCKS:
+            spark.conf.unset(key)
+
+
+def test_headers_may_differ_between_files(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,x\n")
+    (folder / "2.csv").write_text('b, "a"\ny,2\nz\n')
+    (folder / "3.csv").write_text("b,c\nw,7\n")
+    loaded = csv_load.load_csv_as_text(spark, str(folder), str(tmp_path / "out"))
+    assert loaded.rows.columns == ["a", "b", "c"]
+    assert sorted(map(tuple, loaded.rows.collect()), key=str) == [
+        ("1", "x", None), ("2", "y", None), (None, "w", "7"),
+    ]
+    assert [r.line for r in loaded.rejects.collect()] == ["z"]
+    report = csv_load.header_report(spark, csv_load.headers(spark, str(folder))).collect()
+    assert {r.file: r.missing for r in report} == {"1.csv": ["c"], "2.csv": ["c"], "3.csv": ["a"]}
+
+
+def test_a_reload_under_dynamic_overwrite_keeps_no_old_reject(spark, tmp_path):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for score in ("five", "5"):
+            loaded = load_reviews(spark, tmp_path, [f"r1,o1,{score},,,,"])
+        assert loaded.rows.count() == 1 and loaded.rejects.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")

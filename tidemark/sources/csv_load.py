@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.numbers import NUMBER_TEXT, TIMESTAMP_TEXT
+from tidemark.sources.csv_records import read_records
 from tidemark.sources.raw_tables import (
     LOADED_MARKER,
     RAW_TABLES,
@@ -31,13 +33,20 @@ CSV_FILES = {
 }
 NULL_TEXTS = ("", "NULL", "null")
 
-# Only free text may hold line breaks. A file read that way cannot be split over tasks, so the
-# other tables are read line by line.
+# Only free text may hold line breaks; see csv_records for how such files are cut.
 MULTI_LINE_TABLES = frozenset({"order_reviews"})
 
+# Characters of a record beside its texts, and of one whose widths are not known.
+SPARE_CHARS = 4096
+MOST_RECORD_CHARS = 1 << 16
+
 _BROKEN = "_broken_line"
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """A loaded table: its typed rows, and the rejected rows as text with the reason."""
@@ -63,42 +72,59 @@ class LoadResult:
 
 def read_text_columns(spark: SparkSession, table: str, path: str) -> DataFrame:
     """All columns of a raw table as trimmed text, see ``read_lines``."""
-    names = [column.name for column in RAW_TABLES[table]]
-    return read_lines(spark, names, path, table in MULTI_LINE_TABLES)
-
-
-def read_lines(spark: SparkSession, names: list[str], path: str, multi_line: bool) -> DataFrame:
+    columns = RAW_TABLES[table]
+    # quotes inside a text are doubled
+    most = SPARE_CHARS + sum(2 * (column.width or 0) for column in columns)
+    return read_lines(spark, [c.name for c in columns], path, table in MULTI_LINE_TABLES, most)
+
+
+def read_lines(
+    spark: SparkSession,
+    names: list[str],
+    path: str | list[str],
+    multi_line: bool,
+    most_chars: int = MOST_RECORD_CHARS,
+) -> DataFrame:
     """Named columns as trimmed text with null texts resolved, plus the line if it is malformed.
 
-    Lines with too few or too many fields are malformed. Files may be gzipped; each gzipped or
-    multi-line file is one task, so many files beat one large one.
+    Lines with too few or too many fields are malformed. With ``multi_line`` a record may go over
+    several lines, up to ``most_chars`` in all; a line that opens a quote without such an end is
+    malformed alone. Files are split over tasks; a gzipped file is one task.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _BROKEN]])
-    lines = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BROKEN)
-        .option("columnPruning", False)
-        .option("enforceSchema", True)
-        .options(**_dialect(multi_line))
-        .csv(path)
-    )
+    fields = [*names, _BROKEN]
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _BROKEN,
+        **_dialect(),
+    }
+    if multi_line:
+        records = read_records(spark, path, len(names), most_chars)
+        schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in fields)
+        parsed = F.from_csv("text", schema, {k: str(v) for k, v in options.items()})
+        lines = records.select(
+            F.when(~F.col("broken"), parsed).alias("found"), "text", "broken"
+        ).select(
+            *[F.col("found").getField(name).alias(name) for name in names],
+            F.when(F.col("broken"), F.col("text")).otherwise(F.col("found")[_BROKEN]).alias(_BROKEN),
+        )
+    else:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+        reader = spark.read.schema(schema).options(**options, header=True)
+        lines = reader.option("columnPruning", False).option("enforceSchema", True).csv(path)
     return lines.select(*[_resolve(name) for name in names], _BROKEN)
 
 
-def _dialect(multi_line: bool) -> dict[str, str | bool]:
+def _dialect() -> dict[str, str | bool]:
     return {
-        "header": True,
         "quote": '"',
         "escape": '"',
-        "multiLine": multi_line,
         "ignoreLeadingWhiteSpace": True,
         "ignoreTrailingWhiteSpace": True,
     }
 
 
 def _resolve(name: str) -> Column:
-    text = F.trim(F.col(name))
+    text = F.trim(F.col(quoted(name)))
     return F.when(~text.isin(*NULL_TEXTS), text).alias(name)
 
 
@@ -148,29 +174,68 @@ def _store(
     """Write good and rejected rows once, apart, and mark the folder as loaded."""
     spark, good = lines.sparkSession, F.col("reason").isNull()
     reject = F.struct(
-        F.col("reason"), F.col(_BROKEN).alias("line"), *[F.col(name) for name in names]
+        F.col("reason"), F.col(_BROKEN).alias("line"), *[F.col(quoted(name)) for name in names]
     )
     lines.select(
         *typed, F.when(~good, reject).alias("reject"), (~good).alias("rejected")
-    ).write.mode("overwrite").partitionBy("rejected").parquet(path)
+    ).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "rejected"
+    ).parquet(path)
     marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{LOADED_MARKER}")
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     marker.getFileSystem(conf).create(marker, True).close()
     return LoadResult(table, spark.read.schema(loaded_schema(schema)).parquet(path))
 
 
+def headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The column names of every file at a path, from its first line; one short row a file."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
+    )
+    first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    return {
+        row["file"]: [name.strip() for name in next(csv.reader([row["line"]], skipinitialspace=True))]
+        for row in first.filter(F.trim("line") != "").orderBy("file").collect()
+    }
+
+
+def header_report(spark: SparkSession, found: dict[str, list[str]]) -> DataFrame:
+    """Files whose columns are not those of all files together: file, missing columns."""
+    names = dict.fromkeys(name for own in found.values() for name in own)
+    rows = [
+        (file.rsplit("/", 1)[-1], [name for name in names if name not in own])
+        for file, own in found.items()
+    ]
+    return spark.createDataFrame([r for r in rows if r[1]], "file string, missing array<string>")
+
+
 def load_csv_as_text(
     spark: SparkSession, path: str, target: str, multi_line: bool = False
 ) -> LoadResult:
     """A CSV with every column as text, named by its header; typing is left to staging.
 
-    Lines with too few or too many fields are set aside and counted, as in ``load_csv``. The result
-    is stored in ``target``, replacing what is there.
+    Each file's values go under the names of its own header; a column that a file does not have is
+    null there (``header_report`` names them). Lines with too few or too many fields for their file
+    are set aside and counted, as in ``load_csv``. The result is stored in ``target``, replacing
+    what is there.
     """
-    names = spark.read.options(**_dialect(multi_line)).csv(path).columns
+    found = headers(spark, path)
+    names = list(dict.fromkeys(name for own in found.values() for name in own))
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for file, own in found.items():
+        alike.setdefault(tuple(own), []).append(file)
+    lines = None
+    for own, files in alike.items():
+        part = read_lines(spark, list(own), files, multi_line)
+        lines = part if lines is None else lines.unionByName(part, allowMissingColumns=True)
+    if lines is None:
+        raise ValueError(f"no file with a header at {path}")
     broken = F.when(F.col(_BROKEN).isNotNull(), "malformed line")
-    lines = read_lines(spark, names, path, multi_line).withColumn("reason", broken)
-    texts = [F.when(F.col("reason").isNull(), F.col(name)).alias(name) for name in names]
+    lines = lines.withColumn("reason", broken)
+    texts = [F.when(F.col("reason").isNull(), F.col(quoted(name))).alias(name) for name in names]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     return _store(lines, path.rstrip("/").rsplit("/", 1)[-1], names, texts, schema, target)
 

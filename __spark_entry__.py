@@ -43,6 +43,9 @@ def _optional(name: str):
 corpus_queries = _optional("tidemark.llm.queries")
 corpus_pipeline = _optional("corpus_pipeline")
 
+# Features that tell persons with one order from others, as the label does.
+HOLD_THE_LABEL = ("total_orders", "frequency", "customer_tenure_days")
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 _open: dict[tuple[str, str, bool], Analytics] = {}
@@ -244,6 +247,11 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
     def on_fit(build: Callable[[DataFrame], DataFrame]):
         return on_models(lambda m: build(m.churn_prediction))
 
+    def comparable(scored: DataFrame) -> DataFrame:
+        """Probabilities in the digits that sums in another order do not change."""
+        rounded = F.round("churn_probability", 9)
+        return scored.withColumn("churn_probability", rounded) if exact else scored
+
     named = {
         name: on_models(lambda m, name=name: getattr(m, name))
         for name in MODELS
@@ -297,11 +305,13 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
     # can tell everything but the probabilities.
     named |= {
         "churn_prediction": on_fit(lambda df: df.drop("churn_probability")),
-        "churn_scores": on_fit(lambda df: df),
+        "churn_scores": on_fit(comparable),
         "churn_segment_summary": on_models(
             lambda m: m.churn_segment_summary.drop("avg_churn_probability")
         ),
-        "churn_segment_scores": on_models(lambda m: m.churn_segment_summary),
+        "churn_segment_scores": on_fit(
+            lambda df: segments.churn_segment_summary(comparable(df), exact)
+        ),
         "kpi_row": on_fit(lambda df: segments.kpi_row(df, exact)),
         "kpi_labels": on_fit(lambda df: segments.kpi_labels(segments.kpi_row(df, exact))),
         "tier_distribution": on_fit(segments.tier_distribution),
@@ -319,7 +329,17 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
             )
         ),
         "holdout_report": on_models(lambda m: m.churn_model.report()),
-        "feature_importance_top10": on_models(lambda m: m.churn_model.importances()),
+        "importance_by_kind": on_models(
+            lambda m: m.churn_model.importances(top=len(FEATURES))
+            .groupBy(
+                F.when(F.col("feature").isin(*HOLD_THE_LABEL), "holds the label")
+                .otherwise("other").alias("kind")
+            )
+            .agg(F.count("*").alias("features"), F.round(F.sum("importance"), 9).alias("importance"))
+        ),
+        "feature_importance_top10": on_models(
+            lambda m: m.churn_model.importances(digits=9 if exact else None)
+        ),
         "dq_churn_prediction": on_models(
             lambda m: quality.run_checks({"churn_prediction": m.churn_prediction})
         ),

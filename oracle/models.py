@@ -206,6 +206,18 @@ CTES = {
         select *, cast(total_orders = 1 as int) churn_prediction,
                case when total_orders = 1 then 'Critical' else 'Low' end churn_risk_tier
         from customer_360""",
+    # 200 rounds of boosting of a rule that each tree splits on exactly: margins m of the one class and -m
+    # of the other start at 1 and grow by a tenth of the gradient of the logistic loss
+    "boosted": """
+        select 1 / (1 + exp(-2 * m)) p from (
+            select list_reduce(list_prepend(1.0::double, range(199)),
+                               lambda m, k: m + 0.1::double * 4 / (1 + exp(2 * m))) m)""",
+    "fit_scored": """
+        select customer_unique_id, state, total_orders, lifetime_revenue, avg_review_score,
+               recency_days, rfm_combined_score,
+               round(case when churn_prediction = 1 then p else 1 - p end, 9) churn_probability,
+               churn_prediction, churn_risk_tier, churned
+        from label_scored, boosted""",
     "churn_segment_summary": f"""
         select churn_risk_tier, state, count(*) customer_count,
                count(*) filter (where churned = 1) actual_churned_count,

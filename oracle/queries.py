@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.models import avg, big, days, dec, tot, using
+from oracle.models import CTES, avg, big, days, dec, tot, using
 from tidemark.operators.segments import SAMPLE_ROWS, SAMPLE_SEED
 from tidemark.operators.training import SPLIT_SEED
 from tidemark.plans.churn_model import FEATURES
@@ -192,6 +192,12 @@ def texts() -> dict[str, str]:
         select customer_unique_id, state, total_orders, lifetime_revenue, avg_review_score,
                recency_days, rfm_combined_score, churn_prediction, churn_risk_tier, churned
         from label_scored"""
+    sql["churn_scores"] = "select * from fit_scored"
+    sql["churn_segment_scores"] = CTES["churn_segment_summary"].replace("rule_scored", "fit_scored")
+    # one order, its copy, and no time between first and last order say the same: trees take either
+    sql["importance_by_kind"] = """
+        select * from (values ('holds the label', 3::bigint, 1.0::double), ('other', 17, 0.0))
+            t(kind, features, importance)"""
     sql["kpi_row"] = kpis("label_scored")
     sql["kpi_labels"] = f"""
         select format('{{:,}}', total_customers) total_customers,

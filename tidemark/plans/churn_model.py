@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.risk import risk_tier
 from tidemark.operators.quantiles import exact_medians
 from tidemark.operators.training import classification_report, fill_medians, stratified_split
+from tidemark.plans import boosted_trees
 from tidemark.session import stage, use_reliable_checkpoints
 
 # The model's features in order.
@@ -95,16 +96,32 @@ class ChurnModel:
         """Classification report on the held-out rows."""
         return classification_report(self.score(self.held_out))
 
-    def importances(self, top: int = 10) -> DataFrame:
-        """The most important features; equal ones stay in feature order."""
-        weights = self.classifier.featureImportances
-        rows = [
-            (position, name, float(weights[position]))
-            for position, name in enumerate(self.features)
-        ]
+    def trees(self) -> DataFrame:
+        """The nodes of all trees; features are numbered in the order of ``features``."""
+        return boosted_trees.tree_table(self.held_out.sparkSession, self.classifier)
+
+    def probability_sql(self, source: str) -> str:
+        """The model as SQL text: customer_unique_id and churn_probability of the rows of a table."""
+        return boosted_trees.probability_sql(
+            self.trees(), self.features, self.medians, source, "customer_unique_id"
+        )
+
+    def importances(self, top: int = 10, digits: int | None = None) -> DataFrame:
+        """The most important features; equal ones stay in feature order.
+
+        With ``digits``, importances are rounded before they are compared.
+        """
+        named = self.held_out.sparkSession.createDataFrame(
+            list(enumerate(self.features)), "position int, name string"
+        )
+        found = boosted_trees.importances(self.trees())
+        weight = F.coalesce("importance", F.lit(0.0))
         return (
-            self.held_out.sparkSession.createDataFrame(
-                rows, "position int, feature string, importance double"
+            named.join(found, F.col("position") == F.col("feature"), "left")
+            .select(
+                F.col("name").alias("feature"),
+                (weight if digits is None else F.round(weight, digits)).alias("importance"),
+                "position",
             )
             .orderBy(F.desc("importance"), "position")
             .limit(top)

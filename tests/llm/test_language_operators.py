@@ -162,7 +162,7 @@ def repetitive(awkward_rows):
     return rows
 
 
-@pytest.mark.parametrize("ways", [{}, {"broadcast_bytes": 0, "shard_bytes": 20_000}, {"shard_bytes": 1}])
+@pytest.mark.parametrize("ways", [{}, {"broadcast_bytes": 0, "shard_bytes": 20_000}, {"shard_bytes": 1}, {"broadcast_bytes": 20_000}])
 def test_phrases_against_brute_force(spark, awkward_rows, tmp_path, ways):
     rows = repetitive(awkward_rows)
     docs = docs_of(spark, rows, tmp_path / "d")
@@ -177,9 +177,36 @@ def test_no_phrases(spark, empty, awkward):
     assert phrases.collocations(awkward, least=10**6).collect() == []
 
 
-def test_pairs_of_one_hash_are_still_counted_apart(spark, awkward_rows, tmp_path, monkeypatch):
-    monkeypatch.setattr(phrases, "pair_codes", lambda index, ids, n: np.zeros(len(ids), dtype=np.int64))
-    test_phrases_against_brute_force(spark, awkward_rows, tmp_path, {})
+def test_codes_of_rare_phrases_only_add_phrases():
+    """With the codes of all pairs and triples let through, every phrase of a shard comes out, counted."""
+    import pyarrow as pa
+
+    texts = [("en", b"a b a b c, a b"), ("en", b"b a b a b c"), ("fr", b"a b"), ("en", b"c")]
+    rows = pa.table(
+        {
+            "row": pa.array(range(4), pa.int64()),
+            "lang": [lang for lang, _ in texts],
+            "text": pa.array([text for _, text in texts], pa.binary()),
+        }
+    )
+    (_, index), = phrases._indexes([phrases._shard_row(rows, 5)])
+    likely = phrases.Likely(index.names, 3, [])
+    for _ in range(2):
+        ids = phrases.likely_phrases(index, likely, len(likely.codes) + 1)[-1][0]
+        likely.codes.append(np.unique(phrases.phrase_codes(index, ids, 3)))
+    found = {
+        (text.decode()): n
+        for ids, _, _, count in phrases.likely_phrases(index, likely, 4)
+        for text, n in zip(index.spelled(ids).to_pylist(), count.tolist(), strict=True)
+    }
+    expected = Counter()
+    for lang, text in texts:
+        for piece in text.decode().split(","):
+            words = piece.split()
+            for k in range(2, 6):
+                spans = [words[i : i + k] for i in range(len(words) - k + 1)]
+                expected.update(f"{lang}\t{' '.join(span)}" for span in spans)
+    assert found == expected
 
 
 def test_transform_counts_patterns():

@@ -9,11 +9,12 @@ counts, and a step to any of them gives the pair of intervals of the longer phra
 side is found by adding up the counts of the smaller words, as neighbours stand in the order of words.
 
 Phrases are enumerated by length, words being added on the right and on the left in turn, for all intervals
-of a shard at once. After each length the shards' counts are summed, and only phrases that reach the least
-count over all shards are extended: a longer phrase is never more frequent than its parts, so none is lost.
-Pairs, the most by far, are first counted by their hashes, which rules out nearly all rare ones.
-The frequent phrases go back to the shards by broadcast while they have ``BROADCAST_BYTES`` or less;
-beyond that each shard is sent those that it has itself reported. Both ways give the same counts.
+of a shard at once, and only from phrases that may be frequent: a longer phrase is never more frequent than
+its parts, so none is lost. Words are counted exactly. Pairs and then triples are counted over all shards by
+their hashes, a few bytes each, which rules out nearly all rare ones; what is left, and the longer phrases
+made of it, is spelled out once and its counts are summed. The frequent words and hashes are broadcast while
+they have ``BROADCAST_BYTES`` or less each; beyond that each shard is sent, length by length, the frequent
+phrases among those that it has itself reported. Both ways give the same counts.
 
 ``collocations`` then cuts each phrase in two at the place of the lowest score
 floor(1000 f n / (f(first part) f(rest))), in decimals that hold the products, and drops phrases that lie in a
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -175,6 +177,11 @@ class ShardIndex:
         self.counts = np.concatenate([[len(forward) - counts.sum()], counts])
         self.forward, self.backward = Side(forward), Side(backward)
 
+    @functools.cached_property
+    def hashes(self) -> np.ndarray:
+        """A hash of each word with its lang."""
+        return np.array([xxhash.xxh64_intdigest(n) for n in self.names.to_pylist()], dtype=np.uint64)
+
     def single(self) -> tuple[np.ndarray, ...]:
         """The intervals of all words: (word ids, forward start, backward start, size)."""
         start = np.cumsum(self.counts) - self.counts
@@ -230,33 +237,72 @@ def longer_phrases(
     phrases = index.single()
     for k, known in enumerate(frequent):
         phrases = _kept(phrases, _known(index.spelled(phrases[0]), known))
-        right = k % 2 == 0
-        phrases = index.extended(phrases, right)
-        other = phrases[0][:, 1:] if right else phrases[0][:, :-1]
+        phrases, other = _step(index, phrases, k)
         phrases = _kept(phrases, _known(index.spelled(other), known))
     found = [phrases]
     for k in range(len(frequent), len(frequent) + words - 1):
-        found.append(index.extended(found[-1], k % 2 == 0))
+        found.append(_step(index, found[-1], k)[0])
     return found
 
 
-def pair_codes(index: ShardIndex, ids: np.ndarray, n_segments: int) -> np.ndarray:
-    """A number of each pair of words, the same in all shards: its segment, then 32 bits of its hash."""
-    single = [xxhash.xxh64_intdigest(name) for name in index.names.to_pylist()]
-    one, other = np.array(single, dtype=np.uint64)[ids].T
-    mixed = one * np.uint64(0x9E3779B97F4A7C15) + other
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+def _step(index: ShardIndex, phrases: tuple[np.ndarray, ...], k: int) -> tuple[tuple, np.ndarray]:
+    """Phrases longer by a word, on the right and on the left in turn, and their parts without the word
+    on the other side."""
+    right = k % 2 == 0
+    phrases = index.extended(phrases, right)
+    return phrases, phrases[0][:, 1:] if right else phrases[0][:, :-1]
+
+
+@dataclass
+class Likely:
+    """What may be frequent: the frequent words, and by length from 2 the codes of phrases."""
+
+    words: pa.Array
+    n_segments: int
+    codes: list[np.ndarray]
+
+    def holds(self, index: ShardIndex, ids: np.ndarray) -> np.ndarray:
+        codes = self.codes[ids.shape[1] - 2]
+        wanted = phrase_codes(index, ids, self.n_segments)
+        return np.append(codes, -1)[np.searchsorted(codes, wanted)] == wanted
+
+
+def likely_phrases(index: ShardIndex, likely: Likely, words: int) -> list[tuple[np.ndarray, ...]]:
+    """By length from 2, for up to ``words`` lengths: phrases that may be frequent, as may their parts."""
+    known = _known(index.names, likely.words)
+    single = index.single()
+    phrases, found = _kept(single, known[single[0][:, 0]]), []
+    for k in range(words):
+        phrases, other = _step(index, phrases, k)
+        if k == 0:
+            phrases = _kept(phrases, known[other[:, 0]])
+        elif k <= len(likely.codes):
+            phrases = _kept(phrases, likely.holds(index, other))
+        if k < len(likely.codes):
+            phrases = _kept(phrases, likely.holds(index, phrases[0]))
+        found.append(phrases)
+    return found
+
+
+def phrase_codes(index: ShardIndex, ids: np.ndarray, n_segments: int) -> np.ndarray:
+    """A number of each phrase, the same in all shards: its segment, then 32 bits of its hash."""
+    mixed = index.hashes[ids[:, 0]]
+    for column in ids.T[1:]:
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + index.hashes[column]
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     place = (mixed * np.uint64(n_segments)) >> np.uint64(32)
     return (segments_of(mixed, n_segments) << 32) | place.astype(np.int64)
 
 
-def _pair_blocks(sent, least: int, n_segments: int):
-    """The pairs of a shard as one row a segment: 32-bit hashes and counts, no higher than ``least``."""
+def _code_blocks(sent, least: int):
+    """The longest likely phrases of a shard as one row a segment: 32-bit hashes and counts, no higher
+    than ``least``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        likely = sent.value
         for _, index in _indexes(batches):
-            pairs = longer_phrases(index, sent.value)[0]
-            codes, count = counted(pair_codes(index, pairs[0], n_segments), pairs[3])
+            ids, _, _, count = likely_phrases(index, likely, len(likely.codes) + 1)[-1]
+            codes, count = counted(phrase_codes(index, ids, likely.n_segments), count)
             count = np.minimum(count, least).astype("<u4")
             first = np.flatnonzero(np.diff(codes >> 32, prepend=-1))
             spans = list(zip(first.tolist(), [*first[1:].tolist(), len(codes)], strict=False))
@@ -305,36 +351,25 @@ def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _report(row["shard"], _vocabulary(row)[0], np.frombuffer(row["counts"], "<i8"))
 
 
-def _sent(shards: DataFrame, frequent: list[DataFrame]):
-    """The frequent phrases by length, on every worker."""
-    held = [f.select("phrase").toArrow().column("phrase").combine_chunks() for f in frequent]
-    return shards.sparkSession.sparkContext.broadcast(held)
-
-
-def likely_pairs(
-    shards: DataFrame, words: DataFrame, least: int, n_words: int, broadcast_bytes: int
-) -> tuple[np.ndarray, int] | None:
-    """Codes that all pairs with ``least`` occurrences have, and the number of segments.
+def _likely_codes(shards: DataFrame, likely: Likely, least: int, most_bytes: int) -> np.ndarray | None:
+    """The codes of all phrases one word longer that have ``least`` occurrences; None if they are too many.
 
-    Most pairs of frequent words are rare. Their hashes are counted first, in a few bytes each, so that
-    only pairs whose hash is frequent are spelled out and counted exactly; a pair that shares the hash of
-    another is one too many, none is missing.
+    Most phrases are rare. Their hashes are counted in a few bytes each, so that only those whose hash is
+    frequent are spelled out and counted exactly; a phrase that shares the hash of another is one too
+    many, none is missing.
     """
-    n_segments = max(1, -(-n_words // SEGMENT_WORDS))
-    blocks = shards.mapInArrow(
-        _pair_blocks(_sent(shards, [words]), least, n_segments),
-        "segment long, hashes binary, counts binary",
-    )
+    sent = shards.sparkSession.sparkContext.broadcast(likely)
+    blocks = shards.mapInArrow(_code_blocks(sent, least), "segment long, hashes binary, counts binary")
     found = stored(
         blocks.groupBy("segment").applyInArrow(
             lambda block: _frequent_in(block, least), "segment long, codes binary"
         ),
-        "phrase-likely-pairs",
+        "phrase-codes",
     )
-    if found.agg(F.coalesce(F.sum(F.length("codes")), F.lit(0))).first()[0] > broadcast_bytes:
+    if found.agg(F.coalesce(F.sum(F.length("codes")), F.lit(0))).first()[0] > most_bytes:
         return None
     rows = found.orderBy("segment").toLocalIterator()
-    return np.frombuffer(b"".join(bytes(row["codes"]) for row in rows), "<i8"), n_segments
+    return np.frombuffer(b"".join(bytes(row["codes"]) for row in rows), "<i8")
 
 
 def _reports(shard: int, index: ShardIndex, found: list) -> list[pa.RecordBatch]:
@@ -351,25 +386,16 @@ def _merged(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return _report(rows.column("shard")[0].as_py(), phrases, counts)
 
 
-def _reported(
-    shards: DataFrame, frequent: list[DataFrame], words: int, likely=None, merged: bool = True
-) -> DataFrame:
-    """Longer phrases, the frequent ones sent to every worker; ``merged``: counts of a task added up."""
-    sent = _sent(shards, frequent)
-    codes = shards.sparkSession.sparkContext.broadcast(likely)
+def _reported(shards: DataFrame, likely: Likely, words: int) -> DataFrame:
+    """All likely phrases of two words and more, with the counts of a task added up."""
+    sent = shards.sparkSession.sparkContext.broadcast(likely)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for shard, index in _indexes(batches):
-            found = longer_phrases(index, sent.value, words)
-            if codes.value is not None:
-                known, n_segments = codes.value
-                wanted = pair_codes(index, found[0][0], n_segments)
-                at = np.searchsorted(known, wanted)
-                found[0] = _kept(found[0], np.append(known, -1)[at] == wanted)
-            held += [r for r in _reports(shard, index, found) if len(r)]
-            if held and (not merged or sum(map(len, held)) >= MERGED_ROWS):
-                yield from [_merged(held)] if merged else held
+            held += [r for r in _reports(shard, index, likely_phrases(index, sent.value, words)) if len(r)]
+            if sum(map(len, held)) >= MERGED_ROWS:
+                yield _merged(held)
                 held = []
         if held:
             yield _merged(held)
@@ -381,7 +407,7 @@ def _reported(
 def _reported_by_own(
     shards: DataFrame, reports: list[DataFrame], frequent: list[DataFrame], words: int
 ) -> DataFrame:
-    """The same, each shard being sent the frequent ones among those it has reported."""
+    """Longer phrases, each shard being sent the frequent ones among those it has reported."""
     known = [
         r.join(f.select("phrase"), "phrase", "left_semi").select(
             F.col("shard").alias("own"), F.lit(k).alias("k"), "phrase"
@@ -432,28 +458,45 @@ def phrase_counts(
     words = stored(_summed(own_words), "phrase-words")
     totals = words.groupBy(_lang(F.col("phrase")).alias("lang")).agg(F.sum("n").alias("n"))
     frequent = [stored(words.filter(F.col("n") >= least), "phrases-1")]
-    reports, size = [own_words], _bytes(frequent[0])
-    n_words, likely = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], None
+    n_words = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    likely = _likely(shards, frequent[0], least, longest, n_words, broadcast_bytes)
+    n_words_in = F.size(F.split(_phrase(F.col("phrase")), " "))
+    if likely:
+        sums = stored(_frequent(_reported(shards, likely, longest - 1), least), "phrases")
+        frequent += [sums.filter(n_words_in == k) for k in range(2, longest + 1)]
+        return stored(totals, "phrase-totals"), frequent
     # what is left after three words is little: all longer phrases come from one pass
-    for length, words_more in [(k, 1) for k in range(2, min(longest, 3) + 1)] + [(4, longest - 3)] * (longest > 3):
-        if size <= broadcast_bytes:
-            if length == 2:
-                likely = likely_pairs(shards, frequent[0], least, n_words, broadcast_bytes)
-            ways = {"likely": likely if length == 2 else None}
-            found = _reported(shards, frequent, words_more, **ways)
-            reports.append(_reported(shards, frequent, words_more, merged=False, **ways))
-        else:
-            found = stored(
-                _reported_by_own(shards, reports, frequent, words_more), f"phrase-reports-{length}"
-            )
-            reports.append(found)
-        sums = stored(_summed(found).filter(F.col("n") >= least), f"phrases-{length}")
-        n_words_in = F.size(F.split(_phrase(F.col("phrase")), " "))
-        frequent += [sums.filter(n_words_in == length + k) for k in range(words_more)]
-        size += _bytes(sums)
+    reports = [own_words]
+    for length, more in [(2, 1), (3, 1), (4, longest - 3)]:
+        if length > longest:
+            break
+        found = _reported_by_own(shards, reports, frequent, more)
+        reports.append(stored(found, f"phrase-reports-{length}"))
+        sums = stored(_frequent(reports[-1], least), f"phrases-{length}")
+        frequent += [sums.filter(n_words_in == length + k) for k in range(more)]
     return stored(totals, "phrase-totals"), frequent
 
 
+def _likely(
+    shards: DataFrame, words: DataFrame, least: int, longest: int, n_words: int, most_bytes: int
+) -> Likely | None:
+    """Frequent words and the codes of likely pairs and triples, if they may be broadcast."""
+    if _bytes(words) > most_bytes:
+        return None
+    known = words.select("phrase").toArrow().column("phrase").combine_chunks()
+    likely = Likely(known, max(1, -(-n_words // SEGMENT_WORDS)), [])
+    for _ in range(2, min(longest, 3) + 1):
+        codes = _likely_codes(shards, likely, least, most_bytes)
+        if codes is None:
+            return None
+        likely.codes.append(codes)
+    return likely
+
+
+def _frequent(reports: DataFrame, least: int) -> DataFrame:
+    return _summed(reports).filter(F.col("n") >= least)
+
+
 def _bytes(phrases: DataFrame) -> int:
     return phrases.agg(F.coalesce(F.sum(F.length("phrase") + 8), F.lit(0))).first()[0]
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -202,6 +203,20 @@ def _mart_roundtrip(models: Analytics) -> DataFrame:
     return read_mart(models.spark, folder, "customer_360")
 
 
+def _replaced_after_failure(models: Analytics) -> DataFrame:
+    """The wide customer table after a rebuild that fails when most of its rows are written."""
+    folder = f"{csv_folder(models)}-failing-{uuid.uuid4().hex}"
+    wide = models.customer_360
+    write_mart(wide, folder, "customer_360")
+    late = F.col("customer_unique_id").cast("long") % 101 == 100
+    broken = wide.withColumn("state", F.when(late, F.raise_error(F.lit("stop"))).otherwise("new"))
+    try:
+        write_mart(broken, folder, "customer_360")
+    except PySparkException:
+        pass
+    return read_mart(models.spark, folder, "customer_360")
+
+
 def _loaded_csv(models: Analytics) -> dict[str, csv_load.LoadResult]:
     if not hasattr(models, "loaded_csv"):
         folder = csv_folder(models)
@@ -434,6 +449,7 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
             lambda m: _text_load(m).rejects.select("reason", "order_id", "order_item_id")
         ),
         "mart_roundtrip": on_models(_mart_roundtrip),
+        "mart_replace_after_failure": on_models(_replaced_after_failure),
         "csv_text_load": on_models(
             lambda m: staging.stg_order_items(_text_load(m).rows)
         ),

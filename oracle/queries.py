@@ -345,6 +345,7 @@ def texts() -> dict[str, str]:
         from stg_order_payments"""
     sql["csv_reload"] = sql["csv_loaded_payments"]
     sql["mart_roundtrip"] = "select * from customer_360"
+    sql["mart_replace_after_failure"] = "select * from customer_360"
     sql["metric_revenue_label_by_tier"] = f"""
         select churn_risk_tier, 'R$' || format('{{:,}}', cast(round_even(total, 0) as bigint))
                total_lifetime_revenue

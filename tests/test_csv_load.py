@@ -4,6 +4,7 @@ import gzip
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 
 from tidemark.sources import csv_load, csv_records
 from tidemark.sources.marts import read_mart, save_as_table, write_mart
@@ -160,6 +161,23 @@ def test_marts_are_rebuilt(spark, tmp_path):
     assert read_mart(spark, str(tmp_path), "numbers").count() == 3
 
 
+def test_a_rebuild_that_fails_leaves_the_old_mart(spark, tmp_path):
+    write_mart(spark.range(10), str(tmp_path), "numbers")
+    reader = read_mart(spark, str(tmp_path), "numbers")
+    broken = spark.range(1000).selectExpr("if(id = 777, raise_error('stop'), id) as id")
+    with pytest.raises(PySparkException):
+        write_mart(broken, str(tmp_path), "numbers")
+    assert read_mart(spark, str(tmp_path), "numbers").count() == 10
+    write_mart(spark.range(3), str(tmp_path), "numbers")
+    assert reader.count() == 10  # a reader of the version before goes on
+    for n in (4, 5, 6):
+        write_mart(spark.range(n), str(tmp_path), "numbers")
+    assert read_mart(spark, str(tmp_path), "numbers").count() == 6
+    assert sum(p.name.startswith("version-") for p in (tmp_path / "numbers").iterdir()) == 2
+    spark.range(8).write.parquet(str(tmp_path / "plain"))
+    assert read_mart(spark, str(tmp_path), "plain").count() == 8
+
+
 def test_catalog_tables_are_rebuilt(spark):
     for n in (4, 2):
         assert save_as_table(spark.range(n), "numbers_table").count() == n

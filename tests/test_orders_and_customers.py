@@ -1,9 +1,10 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.shop import SMALL_PARTITIONS, Shop, by, item, order, payment, person, review, settings
-from tidemark.operators import customers
+from tidemark.operators import customers, orders
 from tidemark.operators.orders import order_enriched
 from tidemark.session import stage
 
@@ -245,3 +246,36 @@ def test_hot_keys_are_split_and_counted_right(spark):
     evens = sum(1 for i in range(0, n, 3) if i % 2 == 0)
     assert hot.boleto_usage_ratio == evens / (n // 3 + len(endings))
     assert len(rows) == 1 + sum(1 for i in range(n) if i % 3 and i % 10 != 1)
+
+
+@pytest.mark.parametrize("key", [None, "hot"])
+def test_a_null_or_repeated_order_id_is_split_over_tasks(spark, key):
+    """A third of all orders have no id, or the same one: their partition is cut, the rows are right."""
+    n = 30_000
+    ids = stage(spark.range(n), "ids")
+    often = F.when(F.col("id") % 3 == 0, F.lit(key)).otherwise(F.concat(F.lit("o"), "id"))
+    stamp = F.expr("timestamp_ntz'2020-01-01 00:00:00'")
+    rows = ids.select(
+        often.cast("string").alias("order_id"), F.concat(F.lit("c"), "id").alias("customer_id"),
+        F.lit("delivered").alias("order_status"),
+        *[stamp.alias(f"{name}_at") for name in
+          ("purchased", "approved", "shipped", "delivered", "estimated_delivery")],
+        F.rpad(F.col("id").cast("string"), 40, "7").alias("more"),
+    )
+    given = stage(rows, "hot-orders")
+    details = ids.filter("id % 3 <> 1").select(often.cast("string").alias("order_id"))
+    items = stage(details.selectExpr("order_id", "'p' product_id", "'s' seller_id", "1.0D price", "2.0D freight_value"), "hot-items")
+    payments = stage(details.selectExpr("order_id", "'x' payment_type", "1 payment_installments", "3.0D payment_value"), "hot-pays")
+    reviews = stage(details.selectExpr("order_id", "4 review_score"), "hot-reviews")
+    with settings(spark, SMALL_PARTITIONS):
+        df = orders.with_order_details(given, items, payments, reviews)
+        found = stage(df, "hot-details")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+    assert found.count() == n
+    sums = found.groupBy("total_price").count().collect()
+    of = {row[0]: row[1] for row in sums}
+    # orders with id 1 modulo 3 have no details, those with id 2 one of each
+    third = n // 3
+    assert of == ({None: 2 * third, 1.0: third} if key is None else {None: third, 1.0: third, float(third): third})

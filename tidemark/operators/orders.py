@@ -47,21 +47,25 @@ def with_order_details(
 ) -> DataFrame:
     """Add day differences and the item, payment and review aggregates to order rows.
 
-    Each detail table is reduced to its order first, so no join multiplies rows and all three
-    joins use the hash partitioning by ``order_id`` that the aggregates already have.
+    Each detail table is reduced to its order first, so no join multiplies rows, and the three are
+    joined to one another on the partitioning that the aggregates already have. A computed key then
+    hides it, so that both sides of the last join are plain shuffles: AQE splits the rows of a null or
+    repeated ``order_id`` over tasks, which it cannot do where an aggregate needs them together.
     A negative ``delivery_delta_days`` means late.
     """
-    return (
-        orders.select(
-            "*",
-            day_diff("purchased_at", "delivered_at").alias("delivery_days"),
-            day_diff("purchased_at", "estimated_delivery_at").alias("estimated_delivery_days"),
-            day_diff("delivered_at", "estimated_delivery_at").alias("delivery_delta_days"),
-        )
-        .join(order_items_agg(items, exact), "order_id", "left")
-        .join(order_payments_agg(payments, exact), "order_id", "left")
-        .join(order_reviews_agg(reviews, exact), "order_id", "left")
+    known = F.col("order_id").isNotNull()
+    details = (
+        order_items_agg(items.filter(known), exact)
+        .join(order_payments_agg(payments.filter(known), exact), "order_id", "full")
+        .join(order_reviews_agg(reviews.filter(known), exact), "order_id", "full")
+        .withColumn("order_id", F.concat("order_id", F.lit("")))
     )
+    return orders.select(
+        "*",
+        day_diff("purchased_at", "delivered_at").alias("delivery_days"),
+        day_diff("purchased_at", "estimated_delivery_at").alias("estimated_delivery_days"),
+        day_diff("delivered_at", "estimated_delivery_at").alias("delivery_delta_days"),
+    ).join(details, "order_id", "left")
 
 
 def order_enriched(

@@ -204,11 +204,11 @@ def _mart_roundtrip(models: Analytics) -> DataFrame:
 
 
 def _replaced_after_failure(models: Analytics) -> DataFrame:
-    """The wide customer table after a rebuild that fails when most of its rows are written."""
+    """The wide customer table after a rebuild that fails on the way."""
     folder = f"{csv_folder(models)}-failing-{uuid.uuid4().hex}"
     wide = models.customer_360
     write_mart(wide, folder, "customer_360")
-    late = F.col("customer_unique_id").cast("long") % 101 == 100
+    late = F.col("customer_unique_id").cast("long") % 5 == 3
     broken = wide.withColumn("state", F.when(late, F.raise_error(F.lit("stop"))).otherwise("new"))
     try:
         write_mart(broken, folder, "customer_360")
@@ -430,6 +430,14 @@ def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataF
                 exact=exact,
             )
         ),
+        "metrics_by_state_and_tier": on_rule(
+            lambda df: metrics.metric_totals(
+                "churn_prediction",
+                df,
+                (("state", "churn_risk_tier"), ("state",), ("churn_risk_tier",), ()),
+                exact=exact,
+            )
+        ),
         "row_counts": on_models(lambda m: row_counts(m.raw)),
         "csv_load_status": on_models(lambda m: csv_load.load_status(_loaded_csv(m))),
         "csv_loaded_payments": on_models(lambda m: _loaded_table(m, "order_payments").rows),

@@ -285,6 +285,14 @@ def texts() -> dict[str, str]:
         "order_enriched", "order_enriched", by="delivery_days", where="delivery_delta_days < 0"
     )
 
+    every = metric_sql("churn_prediction", "rule_scored", by="state, churn_risk_tier")
+    sql["metrics_by_state_and_tier"] = every.replace(
+        "select ", "select grouping_id(state, churn_risk_tier)::bigint dimension_set, ", 1
+    ).replace(
+        "group by state, churn_risk_tier",
+        "group by grouping sets ((state, churn_risk_tier), (state), (churn_risk_tier), ())",
+    )
+
     raw = {
         "customers": "stg_customers",
         "orders": "stg_orders",

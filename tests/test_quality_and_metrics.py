@@ -120,3 +120,20 @@ def test_unknown_names_are_refused(segments):
 def test_text_formats(spark):
     df = spark.createDataFrame([(1234.5,)], "total_lifetime_revenue double")
     assert metrics.with_text_formats("churn_prediction", df).first()[0] == "R$1,234"
+
+
+def test_totals_of_several_sets_come_from_one_aggregation(spark):
+    from tidemark.plans.metrics import metric_totals
+
+    rows = [("SP", "Low", 10.0), ("SP", "High", 5.0), (None, "Low", 1.0)]
+    df = spark.createDataFrame(rows, "state string, churn_risk_tier string, lifetime_revenue double")
+    out = metric_totals(
+        "churn_prediction", df, (("state",), ("churn_risk_tier",), ()), ("total_lifetime_revenue",)
+    )
+    found = {(r.state, r.churn_risk_tier, r.dimension_set): r.total_lifetime_revenue for r in out.collect()}
+    assert found == {
+        ("SP", None, 1): 15.0, (None, None, 1): 1.0, (None, "Low", 2): 11.0, (None, "High", 2): 5.0,
+        (None, None, 3): 16.0,
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and plan.count("Expand") == 1

@@ -51,3 +51,12 @@ def test_shuffle_partitions_follow_the_input():
 def test_defaults_keep_what_the_owner_chose(spark):
     session.apply_defaults(spark)
     assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_intermediates_of_an_application_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    session.stage(spark.range(5), "numbers")
+    assert list((tmp_path / "tidemark").iterdir())
+    assert session.remove_intermediates(spark)
+    assert not list((tmp_path / "tidemark").iterdir())
+    assert not session.remove_intermediates(spark)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import customers, orders, segments, sellers, staging
 from tidemark.plans.churn_model import ROUNDS, ChurnModel, fit_churn_model
-from tidemark.session import apply_defaults, stage
+from tidemark.session import apply_defaults, remove_intermediates, stage
 from tidemark.sources.category_names import category_names
 from tidemark.sources.marts import write_mart
 
@@ -143,6 +143,10 @@ class Analytics:
             self.exact,
         )
 
+    def close(self) -> None:
+        """Delete the intermediate tables of the application; stored marts stay."""
+        remove_intermediates(self.spark)
+
     def build_marts(self, directory: str) -> dict[str, DataFrame]:
         """Rebuild the four marts under ``directory``; each later mart reads the stored earlier."""
         wide = write_mart(self.customer_360_rows(), directory, "customer_360")

@@ -167,6 +167,35 @@ def metric_query(
     return rows.groupBy(*dimensions).agg(*[known[name].expression(df, exact) for name in names])
 
 
+def metric_totals(
+    model: str,
+    df: DataFrame,
+    dimension_sets: Sequence[Sequence[str]],
+    metrics: Sequence[str] | None = None,
+    where: Column | None = None,
+    exact: bool = False,
+) -> DataFrame:
+    """Metrics of a model for several sets of dimensions at once, from one scan and one aggregation.
+
+    All dimensions are columns of the result, null where a row's set does not have them. The number
+    ``dimension_set`` tells such a null from one in the data: a bit for each dimension in the order of
+    their first mention, the last one lowest, set where the dimension is summed over.
+    """
+    known = declared(model)
+    names = list(known) if metrics is None else list(metrics)
+    dimensions = list(dict.fromkeys(name for some in dimension_sets for name in some))
+    unknown = [name for name in names if name not in known]
+    unknown += [name for name in dimensions if name not in df.columns]
+    if unknown:
+        raise ValueError(f"{model} has no metric or dimension {', '.join(unknown)}")
+    rows = df if where is None else df.filter(where)
+    sets = [[F.col(name) for name in some] for some in dimension_sets]
+    return rows.groupingSets(sets, *dimensions).agg(
+        F.grouping_id(*dimensions).alias("dimension_set"),
+        *[known[name].expression(df, exact) for name in names],
+    )
+
+
 def with_text_formats(model: str, result: DataFrame) -> DataFrame:
     """Turn metrics that declare a display format into text."""
     formatted = {

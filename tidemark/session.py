@@ -73,6 +73,18 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def remove_intermediates(spark: SparkSession) -> bool:
+    """Delete what this application has stored in the shared folder, on whatever file system it is.
+
+    Frames over such tables can no longer be read. Returns whether there was anything.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/tidemark/{context.applicationId}"
+    )
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def use_reliable_checkpoints(spark: SparkSession) -> None:
     """Let iterative fits checkpoint into the shared folder."""
     if not spark.sparkContext.getCheckpointDir():

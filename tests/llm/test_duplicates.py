@@ -259,3 +259,48 @@ def test_rows_keep_their_numbers_when_the_split_changes(spark, tmp_path, monkeyp
     finally:
         spark.conf.set(key, before)
         spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+
+
+def test_kept_rows_keep_columns_of_any_name(spark, awkward, empty):
+    """Names that an added column could have, or that need quoting, come back as they were."""
+    from tidemark.llm import quality
+
+    names = ["__row", "ROW_NUMBER_0", "__SCORE", "Score_0", "a.b", "kept", "fp"]
+    for docs in (awkward, empty):
+        for name in names:
+            docs = docs.withColumn(name, F.lit(f"value of {name}"))
+        model = quality.QualityModel(b"good text", b"bad text", (0.0,) * 6, (1.0,) * 6, (0.0,) * 6, 9.0)
+        keeps = (exact_dedup.keep_winners, simhash.keep_firsts, lambda d: quality.keep_good(d, model))
+        for keep in keeps:
+            kept = keep(docs)
+            assert kept.columns == docs.columns
+            rows = kept.select(*[F.col(f"`{name}`") for name in names]).distinct().collect()
+            assert [tuple(r) for r in rows] == [tuple(f"value of {n}" for n in names)] * (docs is not empty and bool(rows))
+
+
+def test_a_sampled_doc_id_on_many_rows_stays_within_the_bounds(spark, monkeypatch):
+    """A third of all documents carry one labelled doc_id; the fit takes no more rows than it says."""
+    from tidemark.llm import quality
+
+    monkeypatch.setattr(quality, "DICTIONARY_ROWS", {1: 20, 0: 10})
+    monkeypatch.setattr(quality, "CALIBRATION_ROWS", 30)
+    ids = spark.range(3000)
+    labels = ids.select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    hot = quality.sample_rows(labels)[1].first()["doc_id"]
+    doc_id = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id"))
+    docs = ids.select(doc_id.alias("doc_id"), F.concat(F.lit("text of "), "id").alias("text"))
+    seen = []
+    plain = quality._logistic
+    monkeypatch.setattr(quality, "_logistic", lambda x, y: (seen.append(len(x)), plain(x, y))[1])
+    model = quality.fit(docs, labels)
+    assert docs.filter(F.col("doc_id") == hot).count() >= 1000 and seen in ([], [30])
+    assert model.good.count(b"text of") <= 20 and model.bad.count(b"text of") <= 10
+
+
+def test_members_and_nonmembers_of_the_history(spark, awkward):
+    found = exact_dedup.exact_dedup(awkward).collect()
+    digests = exact_dedup.with_digests(awkward).filter(exact_dedup.in_history(F.col("row")))
+    held = {r["text_sha256"] for r in digests.collect()}
+    inside = [r for r in found if r["text_sha256"] in held]
+    assert inside and len(inside) < len(found)
+    assert len(found) == awkward.count() == sum(r["group_size"] for r in found if r["kept"])

@@ -15,7 +15,7 @@ texts the one with the most code points stays, then the smallest doc_id, then th
 
 Defined cases: a null text counts as empty, so empty texts are one group; null doc_ids rank last; of
 rows that agree in everything one stays; an empty table gives no rows; other columns are ignored here
-and kept by ``keep_winners``.
+and kept by ``keep_winners``; a very long text is hashed whole, in memory once.
 """
 
 from __future__ import annotations
@@ -43,8 +43,9 @@ def with_digests(docs: DataFrame, row: Column | None = None) -> DataFrame:
     )
 
 
-def winners(rows: DataFrame) -> DataFrame:
-    """One row for each distinct digest: group_size, and the doc_id and row that stay."""
+def winners(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each distinct digest (or other keys): group_size, and the doc_id and row that stay."""
+    keys = keys or ("text_sha256",)
     best = F.min(
         F.struct(
             (-F.col("n_points")).alias("shorter"),
@@ -54,10 +55,10 @@ def winners(rows: DataFrame) -> DataFrame:
         )
     )
     return (
-        rows.groupBy("text_sha256")
+        rows.groupBy(*keys)
         .agg(F.count("*").alias("group_size"), best.alias("best"))
         .select(
-            "text_sha256",
+            *keys,
             "group_size",
             F.col("best.doc_id").alias("keep_id"),
             F.col("best.row").alias("keep_row"),
@@ -195,7 +196,7 @@ def build_index(
 
 
 def lookup(rows: DataFrame, index: tuple[DataFrame, DataFrame, int]) -> DataFrame:
-    """Rows with the winner of their digest where the index has it, else nulls.
+    """Rows with their slot, and the winner of their digest where the index has it, else nulls.
 
     Both joins have plain shuffles on their sides, so a bucket that a hot digest fills is split.
     """
@@ -211,28 +212,37 @@ def lookup(rows: DataFrame, index: tuple[DataFrame, DataFrame, int]) -> DataFram
     same = F.col("slot_sha256") == digest
     for name in ("group_size", "keep_id", "keep_row"):
         found = found.withColumn(name, F.when(same, F.col(name)))
-    return found.withColumn("member", F.coalesce(same, F.lit(False))).drop(
-        "bucket", "slot", "slot_sha256"
-    )
+    return found.withColumn("member", F.coalesce(same, F.lit(False))).drop("slot_sha256")
+
+
+def in_history(row: Column) -> Column:
+    """The rows whose distinct digests are indexed: those with an even hash of their number, a half."""
+    return F.pmod(F.xxhash64(row), F.lit(2)) == 0
 
 
 def exact_dedup(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """One row for each document: row, doc_id, keep_id, group_size, kept, text_sha256.
 
-    The digests of the table that occur more than once are the history that the index holds; a row
-    that is not a member has a text of its own and stays.
+    Half of the rows are the history, whose distinct digests the index holds. All rows are looked up:
+    members are grouped by their slot, and the others, of whose texts no copy is in the history, by
+    their digest, on their own. A large group of copies is certain to be in the history, so groups of
+    nonmembers stay small. The winners are stored, so that the rows of a large group are split over
+    tasks when they are joined with theirs.
     """
     rows = stored(with_digests(docs, row), "digests")
-    groups = stored(winners(rows), "digest-groups")
-    repeated = groups.filter(F.col("group_size") > 1)
-    found = lookup(rows, build_index(repeated))
-    own = ~F.col("member")
-    return found.select(
+    history = stored(winners(rows.filter(in_history(F.col("row")))), "history-digests")
+    found = lookup(rows, build_index(history)).drop("group_size", "keep_id", "keep_row")
+    looked = stored(found, "looked-up")
+    parts = []
+    for members, keys in ((True, ("bucket", "slot")), (False, ("text_sha256",))):
+        part = looked.filter(F.col("member") == members)
+        parts.append(part.join(stored(winners(part, *keys), "digest-winners"), list(keys)))
+    return parts[0].unionByName(parts[1]).select(
         "row",
         "doc_id",
-        F.when(own, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.when(own, F.lit(1).cast("long")).otherwise(F.col("group_size")).alias("group_size"),
-        (own | (F.col("keep_row") == F.col("row"))).alias("kept"),
+        "keep_id",
+        "group_size",
+        (F.col("keep_row") == F.col("row")).alias("kept"),
         "text_sha256",
     )
 
@@ -245,7 +255,7 @@ def remove_seen(docs: DataFrame, index: tuple[DataFrame, DataFrame, int]) -> Dat
     looked = stored(lookup(stored(with_digests(docs), "digests"), index), "looked-up")
     columns = ["row", "doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     seen = looked.filter("member").withColumn("kept", F.lit(False)).select(columns)
-    new = looked.filter(~F.col("member")).drop("group_size", "keep_id", "keep_row")
+    new = looked.filter(~F.col("member")).drop("group_size", "keep_id", "keep_row", "bucket", "slot")
     grouped = new.join(winners(new), "text_sha256")
     return seen.unionByName(
         grouped.withColumn("kept", F.col("keep_row") == F.col("row")).select(columns)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_batches, free_name, text_of
+from tidemark.llm.common import bounded_batches, text_of
 
 PIECE_BYTES = 1024
 DICTIONARY_BYTES = 500_000
@@ -225,8 +225,9 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) ->
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` whose score reaches the threshold, all columns unchanged, without a shuffle."""
     bounded_batches(docs.sparkSession)
-    name = free_name(docs.columns, "score")
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    # plain names on the way, so that any name of a column comes through
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
     column = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,8 +237,8 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD
             features = np.array([measure(t) for t in texts])
             scores = model.probability(features.reshape(len(texts), N_FEATURES))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores)], names=[*batch.schema.names, name]
+                [*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"]
             )
 
-    scored = docs.mapInArrow(run, schema)
-    return scored.filter(F.col(name) >= threshold).drop(name)
+    scored = plain.mapInArrow(run, schema)
+    return scored.filter(F.col("score") >= threshold).drop("score").toDF(*docs.columns)

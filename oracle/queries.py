@@ -131,7 +131,10 @@ def unlabelled(window: int) -> str:
         where {observed} >= 90 and not {observed} >= {window}"""
 
 
-def metric_sql(model: str, source: str, names=None, by: str = "", where: str = "") -> str:
+def metric_sql(
+    model: str, source: str, names=None, by: str = "", where: str = "", by_text: bool = False
+) -> str:
+    """``by_text`` rounds the shortest decimal text of a value, as Spark does; it matters for ties."""
     measures = []
     for metric in METRICS:
         if metric.model != model or (names and metric.name not in names):
@@ -143,7 +146,10 @@ def metric_sql(model: str, source: str, names=None, by: str = "", where: str = "
         }[metric.aggregate]
         if metric.aggregate == "sum" and metric.column in WHOLE_NUMBERS:
             value = big(f"sum({metric.column})")
-        if metric.digits is not None:
+        if metric.digits is not None and by_text:
+            text = f"cast(cast({value} as varchar) as decimal(38,17))"
+            value = f"cast(round({text}, {metric.digits}) as double)"
+        elif metric.digits is not None:
             value = f"round({value}, {metric.digits})"
         measures.append(f"{value} {metric.name}")
     head = f"{by}, " if by else ""
@@ -285,7 +291,7 @@ def texts() -> dict[str, str]:
         "order_enriched", "order_enriched", by="delivery_days", where="delivery_delta_days < 0"
     )
 
-    every = metric_sql("churn_prediction", "rule_scored", by="state, churn_risk_tier")
+    every = metric_sql("churn_prediction", "rule_scored", by="state, churn_risk_tier", by_text=True)
     sql["metrics_by_state_and_tier"] = every.replace(
         "select ", "select grouping_id(state, churn_risk_tier)::bigint dimension_set, ", 1
     ).replace(

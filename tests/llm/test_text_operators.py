@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import HealthCheck, given, settings
@@ -101,7 +102,7 @@ def test_chunks_make_the_same_path(text, size):
         for a in starts
     ]
     best = PIECES.forward(text, 0, len(text))[0][-1]
-    assert sentence_pieces.combine_all(matrices)[0, 0] == best
+    assert sentence_pieces.combine_all(matrices)[0, 0, 0] == best
     states = sentence_pieces.border_states(matrices, 0, 0)
     spans = [
         text[a + i : min(a + size, len(text)) + j]
@@ -109,6 +110,41 @@ def test_chunks_make_the_same_path(text, size):
     ]
     assert "".join(spans) == text
     assert sum(PIECES.score(s) for s in spans) == best
+    assert b"".join(PIECES.ids(s) for s in spans) == PIECES.ids(text)
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.one_of(st.text("ab", min_size=1, max_size=300), st.text(f"aten{MARK}", max_size=300)),
+    st.lists(st.integers(16, 70), min_size=1, max_size=20),
+)
+def test_ids_do_not_depend_on_where_chunks_end(text, sizes):
+    """Ties too: places carry the choice over borders, in whatever order matrices are combined."""
+    text, at, chunks = MARK + text, 0, []
+    while at < len(text):
+        size = min(sizes[len(chunks) % len(sizes)], len(text) - at)
+        shown = text[at : at + size + PIECES.reach]
+        chunks.append((at, size, PIECES.matrix(shown, size, at + size == len(text))))
+        at += size
+    half = len(chunks) // 2
+    blocks = [part for part in (chunks[:half], chunks[half:]) if part]
+    outer = sentence_pieces.border_states(
+        [sentence_pieces.combine_all([m for *_, m in part]) for part in blocks], 0, 0
+    )
+    ids = b""
+    for part, first, last in zip(blocks, outer, outer[1:], strict=False):
+        states = sentence_pieces.border_states([m for *_, m in part], first, last)
+        for (start, size, _), i, j in zip(part, states, states[1:], strict=False):
+            ids += PIECES.ids(text[start + i : start + size + j])
+    assert ids == PIECES.ids(text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from(f"abthe in{MARK}é☃.\n"), max_size=60), max_size=20))
+def test_texts_of_a_batch_as_one_by_one(texts):
+    blobs = PIECES.ids_of_all(pa.array(texts, pa.string()))
+    assert blobs == [PIECES.ids(marked(text)) for text in texts]
+    assert PIECES.decode_all(blobs) == [text.replace(MARK, " ") for text in texts]
 
 
 def test_giant_path_round_trips(awkward, awkward_rows, empty):
@@ -121,8 +157,8 @@ def test_giant_path_round_trips(awkward, awkward_rows, empty):
         (r["doc_id"], r["text"]): r["ids_crc32"]
         for r in sentence_pieces.decode(sentence_pieces.encode(awkward)).collect()
     }
-    short = [r for r in got if len(r["text"]) < 100]
-    assert all(plain[r["doc_id"], r["text"]] == r["ids_crc32"] for r in short)
+    assert all(plain[r["doc_id"], r["text"]] == r["ids_crc32"] for r in got)
+    assert len({r["row"] for r in got}) == len(got)
     assert sentence_pieces.round_trip(empty).collect() == []
 
 

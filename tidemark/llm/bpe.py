@@ -103,7 +103,7 @@ class UnitEncoder:
         parts = pc.split_pattern(cut, CUT)
         coded = parts.flatten().dictionary_encode()
         units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        placed = _binary_array(list(map(self.unit, units))).take(coded.indices)
+        placed = binary_array(list(map(self.unit, units))).take(coded.indices)
         ends = np.frombuffer(placed.buffers()[1], "<i8")[placed.offset :] if len(placed) else [0]
         data = memoryview(placed.buffers()[2] or b"") if len(placed) else b""
         bounds = np.asarray(ends)[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
@@ -136,7 +136,7 @@ def by_bytes(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa
         yield start, texts.slice(start, end - start)
 
 
-def _binary_array(blobs: list[bytes]) -> pa.Array:
+def binary_array(blobs: list[bytes]) -> pa.Array:
     ends = np.zeros(len(blobs) + 1, dtype="<i8")
     np.cumsum(np.fromiter(map(len, blobs), dtype="<i8", count=len(blobs)), out=ends[1:])
     buffers = [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(b"".join(blobs))]

@@ -6,23 +6,27 @@ byte pieces. Pieces are at most ``reach`` characters long, so at a border the on
 is how far the piece across it goes: a state from 0 to reach - 1.
 
 Texts above ``GIANT_CHARS`` are cut into chunks. A chunk gives a transfer matrix: entry (i, j) is the
-best score from a cut i characters behind its start to a cut j characters behind its end. Matrices
-combine by (max, +), which is associative: blocks of chunks are combined in parallel, the border states
-of the blocks are found per document from the block matrices, then those of the chunks inside each
-block, and each chunk is traced back on its own between its two states. Where no piece can reach over
-the start of a word, a matrix is the sum of a column and a row, found with two passes instead of one
-for every state.
+best score from a cut i characters behind its start to a cut j characters behind its end, with the place
+of that path among those that reach j. Matrices combine by (max, +), which is associative: blocks of
+chunks are combined in parallel, the border states of the blocks are found per document from the block
+matrices, then those of the chunks inside each block, and each chunk is traced back on its own between
+its two states. Where no piece can reach over the start of a word, a matrix is the sum of a column and a
+row, found from the two ends of the chunk.
+
+Of equal totals the path with the longer last piece wins, then the longer piece before it, and so on. The
+places carry this rule over the borders, so the ids depend neither on ``GIANT_CHARS`` nor on the chunks.
 
 Other texts are segmented whole, word by word: a piece holds the space mark only in front, so words are
-independent, and each distinct word is segmented once per worker.
+independent. Arrow finds the distinct words of a part of the texts, and each is segmented once per worker.
+Documents are read once; ids of plain texts and the chunks of giant ones are stored with a row number.
 
 The model file is one of BPE type, whose scores are ranks and whose merges are no path of greatest score.
 Its pieces are used under the unigram rule instead, which is what this scan computes, with the log
 probabilities that Zipf's law gives to their ranks. The result is what the library finds for a file of
-unigram type with these scores (its n-best search; tests compare). Of equal totals the longer last piece wins; across
-the border of two chunks any of the best paths may be taken.
+unigram type with these scores (its n-best search; tests compare).
 
-Defined cases: a null or empty text has no pieces and decodes to the empty text; the space mark U+2581
+Defined cases: very long texts are cut in one pass, and their ids come together in one row of at most
+2 GB; a null or empty text has no pieces and decodes to the empty text; the space mark U+2581
 in a text is read as a space, as in the library; repeated rows and null doc_ids are rows like others; an
 empty table gives no rows; other columns are ignored.
 """
@@ -38,17 +42,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, row_id, stored, text_of
+from tidemark.llm.bpe import binary_array, by_bytes, give_back_memory
+from tidemark.llm.common import bounded_batches, bounded_bytes, row_id, slices_of, stored, text_of
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 GIANT_CHARS = 32_768
 CHUNK_CHARS = 8_192
 CHUNKS_PER_BLOCK = 64
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
+# Texts whose words are not simply what stands between single spaces.
+IRREGULAR = f"^$|  |^ |{MARK}"
+DECODE_BYTES = 4 << 20
 UNKNOWN_PENALTY = 10.0
 NEVER = -np.inf
 
@@ -62,15 +71,15 @@ def piece_score(file_score: float) -> float:
 
 
 class WordIds(dict):
-    """Ids of the words met so far."""
+    """Score and ids of the words met so far."""
 
     def __init__(self, traced):
         super().__init__()
         self.traced = traced
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.traced(word)[1]
-        return ids
+    def __missing__(self, word: str) -> tuple[float, bytes]:
+        found = self[word] = self.traced(word)
+        return found
 
 
 class PieceModel:
@@ -81,17 +90,18 @@ class PieceModel:
 
         library = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = range(library.get_piece_size())
-        self.shown = [library.id_to_piece(k).encode().replace(MARK.encode(), b" ") for k in ids]
+        shown = [library.id_to_piece(k).encode().replace(MARK.encode(), b" ") for k in ids]
         self.byte_ids = [0] * 256
         self.pieces: dict[str, tuple[float, int]] = {}
         for k in ids:
             if library.is_byte(k):
                 value = int(library.id_to_piece(k)[3:5], 16)
-                self.byte_ids[value], self.shown[k] = k, bytes([value])
+                self.byte_ids[value], shown[k] = k, bytes([value])
             elif library.is_control(k) or library.is_unknown(k):
-                self.shown[k] = b""
+                shown[k] = b""
             elif not library.is_unused(k):
                 self.pieces[library.id_to_piece(k)] = (piece_score(library.get_score(k)), k)
+        self.shown = binary_array(shown)
         self.unknown = min(score for score, _ in self.pieces.values()) - UNKNOWN_PENALTY
         self.reach = max(map(len, self.pieces))
         # words are independent if the mark stands only in front of pieces
@@ -100,31 +110,19 @@ class PieceModel:
         self.starts = {piece[:k] for piece in self.pieces for k in range(1, len(piece))}
         self.word_ids = WordIds(self.traced)
 
-    def forward(self, text: str, start: int, stop: int) -> tuple[np.ndarray, list]:
-        """Best scores of cuts from ``start``, with pieces that begin before ``stop``."""
-        score = [NEVER] * (len(text) + 1)
-        last: list[tuple[int, int] | None] = [None] * (len(text) + 1)
+    def forward(self, text: str, start: int, stop: int) -> tuple[list[float], list]:
+        """Best scores of cuts from ``start``, with pieces that begin before ``stop``.
+
+        With each cut goes the start and number of the piece in front of it, the longest of equals.
+        """
+        n, known, starts, unknown = len(text), self.pieces.get, self.starts, self.unknown
+        score: list[float] = [NEVER] * (n + 1)
+        last: list[tuple[int, int] | None] = [None] * (n + 1)
         score[start] = 0.0
-        pieces, reach, known = self.pieces, self.reach, self.pieces.get
-        for at in range(start, min(stop, len(text))):
+        for at in range(start, min(stop, n)):
             so_far = score[at]
             if so_far == NEVER:
                 continue
-            if text[at] not in pieces and so_far + self.unknown > score[at + 1]:
-                score[at + 1], last[at + 1] = so_far + self.unknown, (at, -1)
-            for end in range(at + 1, min(at + reach, len(text)) + 1):
-                piece = known(text[at:end])
-                if piece is not None and so_far + piece[0] > score[end]:
-                    score[end], last[end] = so_far + piece[0], (at, piece[1])
-        return np.array(score), last
-
-    def traced(self, text: str) -> tuple[float, bytes]:
-        """Score and ids of the best path over a word: ``forward``, with dead ends left early."""
-        n, known, starts, unknown = len(text), self.pieces.get, self.starts, self.unknown
-        score, last = [NEVER] * (n + 1), [None] * (n + 1)
-        score[0] = 0.0
-        for at in range(n):
-            so_far = score[at]
             end = at + 1
             part = text[at]
             piece = known(part)
@@ -137,8 +135,13 @@ class PieceModel:
                 piece = known(part)
                 if piece is not None and so_far + piece[0] > score[end]:
                     score[end], last[end] = so_far + piece[0], (at, piece[1])
+        return score, last
+
+    def traced(self, text: str) -> tuple[float, bytes]:
+        """Score and ids of the best path over a word."""
+        score, last = self.forward(text, 0, len(text))
         ids: list[int] = []
-        end = n
+        end = len(text)
         while end:
             start, number = last[end]
             if number >= 0:
@@ -147,20 +150,38 @@ class PieceModel:
                 ids += [self.byte_ids[b] for b in reversed(text[start:end].encode())]
             end = start
         ids.reverse()
-        return score[n], array("I", ids).tobytes()
+        return score[len(text)], array("I", ids).tobytes()
 
     def words_of(self, text: str) -> list[str]:
         return WORDS.findall(text) if self.marks_lead else [text] if text else []
 
-    def ids(self, marked: str) -> bytes:
-        """The ids of a text whose spaces are marks, as unsigned 32-bit bytes."""
+    def found(self, words: list[str]) -> list[tuple[float, bytes]]:
+        """Score and ids of each word, remembered up to a number of words."""
         if len(self.word_ids) > MOST_WORDS:
             self.word_ids.clear()
-        return b"".join(map(self.word_ids.__getitem__, self.words_of(marked)))
+        return list(map(self.word_ids.__getitem__, words))
+
+    def ids(self, marked: str) -> bytes:
+        """The ids of a text whose spaces are marks, as unsigned 32-bit bytes."""
+        return b"".join([ids for _, ids in self.found(self.words_of(marked))])
 
     def score(self, marked: str) -> float:
         """The score of the best path over whole words."""
-        return sum(self.traced(word)[0] for word in self.words_of(marked))
+        return sum(score for score, _ in self.found(self.words_of(marked)))
+
+    def ids_of_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of texts without nulls, spaces not yet marked."""
+        odd = pc.match_substring_regex(texts, IRREGULAR if self.marks_lead else "(?s)^")
+        parts = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+        coded = parts.flatten().dictionary_encode()
+        words = [MARK + part for part in coded.dictionary.to_pylist()]
+        placed = binary_array([ids for _, ids in self.found(words)]).take(coded.indices)
+        starts = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        regular = iter(pieces_between(placed, starts))
+        return [
+            self.ids(marked(texts[k].as_py())) if is_odd else next(regular)
+            for k, is_odd in enumerate(odd.to_pylist())
+        ]
 
     def word_starts(self, text: str) -> list[int]:
         """Positions that every path must cut: the starts of words."""
@@ -168,42 +189,89 @@ class PieceModel:
             return []
         return [m.start() for m in STARTS.finditer(text)]
 
+    def paths(self, text: str, stop: int, ends: list[int]) -> np.ndarray:
+        """Score and place of the best path from each state to each of the ends.
+
+        The place of a path is its rank, 0 for the first to take, among the paths to the same end:
+        of two, from the right, the one whose next cut is further left, or left of the chunk.
+        """
+        reach = self.reach
+        out = np.full((2, reach, len(ends)), NEVER)
+        out[1] = reach
+        cuts: list[list[list[int]]] = [[] for _ in ends]
+        for i in range(min(reach, len(text) + 1)):
+            score, last = self.forward(text, i, stop)
+            for j, end in enumerate(ends):
+                path: list[int] = []
+                if end < len(score) and score[end] > NEVER:
+                    out[0, i, j] = score[end]
+                    at = end
+                    while at != i:
+                        path.append(at)
+                        at = last[at][0]
+                    path += [i, -1]
+                cuts[j].append(path)
+        for j, paths in enumerate(cuts):
+            for rank, i in enumerate(sorted((i for i, p in enumerate(paths) if p), key=paths.__getitem__)):
+                out[1, i, j] = rank
+        return out
+
     def matrix(self, text: str, size: int, is_last: bool) -> np.ndarray:
-        """Transfer matrix of a chunk of ``size`` characters; ``text`` goes on behind its end."""
+        """Transfer matrix of a chunk of ``size`` characters; ``text`` goes on behind its end.
+
+        Scores, then places. A chunk that is not the last is as long as the longest piece.
+        """
         reach = self.reach
         ends = [size + j for j in range(1 if is_last else reach)]
-        out = np.full((reach, reach), NEVER)
+        out = np.full((2, reach, reach), NEVER)
+        out[1] = reach
         starts = self.word_starts(text)
         head = next((s for s in starts if s >= reach - 1), None)
         tail = next((s for s in reversed(starts) if s <= size), None)
         if head is None or tail is None or tail < head:
-            for i in range(min(reach, len(text) + 1)):
-                if i >= size and not is_last:
-                    # the piece before this chunk reaches over all of it
-                    for j, end in enumerate(ends):
-                        if i == end:
-                            out[i, j] = 0.0
-                    continue
-                score, _ = self.forward(text, i, size)
-                for j, end in enumerate(ends):
-                    if end < len(score):
-                        out[i, j] = score[end]
+            out[:, :, : len(ends)] = self.paths(text, size, ends)
             return out
-        column = np.array([self.forward(text[:head], i, head)[0][head] for i in range(reach)])
+        column, places = self.paths(text[:head], head, [head])
         middle = self.score(text[head:tail])
         score, _ = self.forward(text[tail:], 0, size - tail)
         row = np.full(reach, NEVER)
         for j, end in enumerate(ends):
             if end - tail < len(score):
                 row[j] = score[end - tail]
-        return column[:, None] + (middle + row)[None, :]
+        out[0] = column + (middle + row)[None, :]
+        out[1] = places
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of piece ids; the space that encoding puts in front is taken away."""
-        shown = self.shown
-        text = b"".join([shown[k] for k in ids.tolist()]).decode("utf-8", errors="replace")
+        shown = self.shown.take(pa.array(ids))
+        return self.plain(pieces_between(shown, np.array([0, len(ids)]))[0])
+
+    def plain(self, shown: bytes) -> str:
+        text = shown.decode("utf-8", errors="replace")
         return text[1:] if text.startswith(" ") else text
 
+    def decode_all(self, blobs: list[bytes]) -> list[str]:
+        """The texts of several rows of ids."""
+        ids = pa.array(np.frombuffer(b"".join(blobs), dtype="<u4"))
+        starts = np.cumsum([0] + [len(blob) // 4 for blob in blobs])
+        return list(map(self.plain, pieces_between(self.shown.take(ids), starts)))
+
+
+def marked(text: str) -> str:
+    """A text as the pieces see it: a mark in front and in place of spaces."""
+    return MARK + text.replace(" ", MARK) if text else ""
+
+
+def pieces_between(blobs: pa.Array, starts: np.ndarray) -> list[bytes]:
+    """The bytes of consecutive runs of ``blobs`` (large binary), joined run by run."""
+    if not len(blobs):
+        return [b""] * (len(starts) - 1)
+    ends = np.frombuffer(blobs.buffers()[1], "<i8")[blobs.offset :]
+    data = memoryview(blobs.buffers()[2] or b"")
+    bounds = ends[starts]
+    return [bytes(data[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
 
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 STARTS = re.compile(f"(?<=[^{MARK}]){MARK}")
@@ -223,8 +291,15 @@ def model(name: str = MODEL) -> PieceModel:
 
 
 def combine(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """The (max, +) product of two transfer matrices."""
-    return (one[:, :, None] + other[None, :, :]).max(axis=1)
+    """The (max, +) product of two transfer matrices; of equal sums the first place in the right one."""
+    sums = one[0][:, :, None] + other[0][None, :, :]
+    best = sums.max(axis=1)
+    places = np.where(sums == best[:, None, :], other[1][None, :, :], np.inf)
+    middle = places.argmin(axis=1)
+    right = np.take_along_axis(other[1], middle, axis=0)
+    left = np.take_along_axis(one[1], middle, axis=1)
+    keys = right * (len(best) + 1) + left
+    return np.stack([best, keys.argsort(axis=0, kind="stable").argsort(axis=0).astype(float)])
 
 
 def combine_all(matrices: list[np.ndarray]) -> np.ndarray:
@@ -237,47 +312,80 @@ def combine_all(matrices: list[np.ndarray]) -> np.ndarray:
 
 def border_states(matrices: list[np.ndarray], first: int, last: int) -> list[int]:
     """States of a best path at all borders of consecutive matrices, given the outer two."""
-    reached = [np.full(len(matrices[0]), NEVER)]
+    reached = [np.full(matrices[0].shape[1], NEVER)]
     reached[0][first] = 0.0
     for matrix in matrices[:-1]:
-        reached.append((reached[-1][:, None] + matrix).max(axis=0))
+        reached.append((reached[-1][:, None] + matrix[0]).max(axis=0))
     states = [last]
     for matrix, vector in zip(reversed(matrices), reversed(reached), strict=True):
-        states.append(int(np.argmax(vector + matrix[:, states[-1]])))
+        sums = vector + matrix[0][:, states[-1]]
+        places = np.where(sums == sums.max(), matrix[1][:, states[-1]], np.inf)
+        states.append(int(np.argmin(places)))
     return states[::-1]
 
 
-def _encode_rows(name: str):
+STORED = (
+    "row long, doc_id long, ids binary, block int, chunk int, size int, text string, matrix binary"
+)
+
+
+def _encode_rows(name: str, giant_chars: int, chunk_chars: int):
+    """Ids of plain texts, and chunks with their matrices of giant ones, in one pass."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(name)
         for batch in batches:
-            ids = [pieces.ids(t) if t else b"" for t in batch.column("marked").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(ids, pa.binary())],
-                names=["row", "doc_id", "ids"],
-            )
+            for start, texts in by_bytes(batch.column("text")):
+                part = batch.slice(start, len(texts))
+                giant = pc.greater_equal(pc.utf8_length(texts), giant_chars)
+                yield _plain_rows(pieces, part.filter(pc.invert(giant)))
+                yield from _chunk_rows(pieces, part.filter(giant), chunk_chars)
+        give_back_memory()
 
     return run
 
 
-def _square(blob: bytes) -> np.ndarray:
-    matrix = np.frombuffer(blob, dtype=np.float64)
-    return matrix.reshape(int(len(matrix) ** 0.5), -1)
+def _plain_rows(pieces: PieceModel, rows: pa.RecordBatch) -> pa.RecordBatch:
+    ids = pieces.ids_of_all(rows.column("text"))
+    none = [pa.nulls(rows.num_rows, kind) for kind in (*[pa.int32()] * 3, pa.string(), pa.binary())]
+    return pa.RecordBatch.from_arrays(
+        [rows.column("row"), rows.column("doc_id"), pa.array(ids, pa.binary()), *none],
+        names=STORED_NAMES,
+    )
 
 
-def _chunk_matrices(name: str):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = model(name)
-        for frame in frames:
-            found = [
-                pieces.matrix(text, size, last).tobytes()
-                for text, size, last in zip(
-                    frame["text"], frame["size"], frame["is_last"], strict=True
-                )
-            ]
-            yield frame[["row", "block", "chunk"]].assign(matrix=found)
+def _chunk_rows(
+    pieces: PieceModel, rows: pa.RecordBatch, chunk_chars: int
+) -> Iterator[pa.RecordBatch]:
+    for row, doc_id, text in zip(*[column.to_pylist() for column in rows.columns], strict=True):
+        whole = marked(text)
+        starts = range(0, len(whole), chunk_chars)
+        for block in range(0, len(starts), CHUNKS_PER_BLOCK):
+            found = []
+            for at in starts[block : block + CHUNKS_PER_BLOCK]:
+                size = min(chunk_chars, len(whole) - at)
+                shown = whole[at : at + size + pieces.reach]
+                matrix = pieces.matrix(shown, size, at + size == len(whole)).tobytes()
+                place = (block // CHUNKS_PER_BLOCK, at // chunk_chars)
+                found.append((row, doc_id, None, *place, size, shown, matrix))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*found, strict=True), STORED_KINDS, strict=True)],
+                names=STORED_NAMES,
+            )
 
-    return run
+
+STORED_NAMES = [field.split()[0] for field in STORED.split(", ")]
+STORED_KINDS = [
+    {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}[
+        field.split()[1]
+    ]
+    for field in STORED.split(", ")
+]
+
+
+def _square(blob: bytes) -> np.ndarray:
+    matrix = np.frombuffer(blob, dtype=np.float64)
+    return matrix.reshape(2, int((len(matrix) // 2) ** 0.5), -1)
 
 
 def _block_matrix(rows: pd.DataFrame) -> pd.DataFrame:
@@ -319,30 +427,9 @@ def _joined(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame[["row", "doc_id"]].assign(ids=ids)
 
 
-def _giant(marked: DataFrame, name: str, chunk_chars: int) -> DataFrame:
-    """The parallel scan over texts that are long; ids by document."""
-    reach = model(name).reach
-    n = F.length("marked")
-    chunk = F.col("chunk")
-    start = chunk * chunk_chars
-    chunks = marked.withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk_chars).cast("int")))
-    ).select(
-        "row",
-        "doc_id",
-        F.floor(chunk / CHUNKS_PER_BLOCK).cast("int").alias("block"),
-        "chunk",
-        F.least(F.lit(chunk_chars), n - start).cast("int").alias("size"),
-        (start + chunk_chars >= n).alias("is_last"),
-        F.substring(F.col("marked"), start + 1, F.lit(chunk_chars + reach)).alias("text"),
-    )
-    chunks = stored(chunks, "piece-chunks")
-    matrices = stored(
-        chunks.select("row", "block", "chunk", "text", "size", "is_last").mapInPandas(
-            _chunk_matrices(name), "row long, block int, chunk int, matrix binary"
-        ),
-        "piece-matrices",
-    )
+def _giant(chunks: DataFrame, name: str) -> DataFrame:
+    """The parallel scan over the chunks of long texts; ids by document."""
+    matrices = chunks.select("row", "block", "chunk", "matrix")
     blocks = matrices.groupBy("row", "block").applyInPandas(
         _block_matrix, "row long, block int, matrix binary"
     )
@@ -376,17 +463,13 @@ def encode(
     if chunk_chars < model(name).reach:
         raise ValueError("a chunk must be as long as the longest piece")
     bounded_batches(docs.sparkSession)
-    text = F.translate(text_of(), " ", MARK)
-    marked = docs.select(
-        row_id().alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.when(F.length(text) > 0, F.concat(F.lit(MARK), text)).otherwise(F.lit("")).alias("marked"),
-    )
-    long = F.length("marked") > giant_chars
-    plain = marked.filter(~long).mapInArrow(
-        _encode_rows(name), "row long, doc_id long, ids binary"
+    bounded_bytes(docs.sparkSession)
+    rows = docs.select(
+        row_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")
     )
-    return plain.unionByName(_giant(marked.filter(long), name, chunk_chars))
+    found = stored(rows.mapInArrow(_encode_rows(name, giant_chars, chunk_chars), STORED), "pieces")
+    plain = found.filter(F.col("chunk").isNull()).select("row", "doc_id", "ids")
+    return plain.unionByName(_giant(found.filter(F.col("chunk").isNotNull()), name))
 
 
 def decode(encoded: DataFrame, name: str = MODEL) -> DataFrame:
@@ -396,7 +479,11 @@ def decode(encoded: DataFrame, name: str = MODEL) -> DataFrame:
         pieces = model(name)
         for batch in batches:
             blobs = batch.column("ids").to_pylist()
-            texts = [pieces.decode(np.frombuffer(blob, dtype="<u4")) for blob in blobs]
+            texts = [
+                text
+                for a, b in slices_of([len(blob) for blob in blobs], DECODE_BYTES)
+                for text in pieces.decode_all(blobs[a:b])
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
@@ -407,6 +494,7 @@ def decode(encoded: DataFrame, name: str = MODEL) -> DataFrame:
                 ],
                 names=["row", "doc_id", "n_pieces", "ids_crc32", "text"],
             )
+        give_back_memory()
 
     return encoded.select("row", "doc_id", "ids").mapInArrow(
         run, "row long, doc_id long, n_pieces long, ids_crc32 long, text string"

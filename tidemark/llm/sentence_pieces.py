@@ -17,7 +17,8 @@ Of equal totals the path with the longer last piece wins, then the longer piece
 places carry this rule over the borders, so the ids depend neither on ``GIANT_CHARS`` nor on the chunks.
 
 Other texts are segmented whole, word by word: a piece holds the space mark only in front, so words are
-independent. Arrow finds the distinct words of a part of the texts, and each is segmented once per worker.
+independent. Arrow finds the distinct words of a part of the texts, and each is segmented once per worker:
+all new words of one length together, as columns of characters that walk down a table of the pieces.
 Documents are read once; ids of plain texts and the chunks of giant ones are stored with a row number.
 
 The model file is one of BPE type, whose scores are ranks and whose merges are no path of greatest score.
@@ -37,7 +38,9 @@ import math
 import re
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -54,11 +57,14 @@ MARK = "▁"
 GIANT_CHARS = 32_768
 CHUNK_CHARS = 8_192
 CHUNKS_PER_BLOCK = 64
-MOST_WORDS = 200_000
+MOST_WORDS = 150_000
 # Texts whose words are not simply what stands between single spaces.
 IRREGULAR = f"^$|  |^ |{MARK}"
 DECODE_BYTES = 4 << 20
 UNKNOWN_PENALTY = 10.0
+ALPHABET = 128
+LONGEST_WORD = 48
+WORDS_AT_ONCE = 16_384
 NEVER = -np.inf
 
 
@@ -70,18 +76,6 @@ def piece_score(file_score: float) -> float:
     return -float(round(10_000 * math.log1p(-file_score)))
 
 
-class WordIds(dict):
-    """Score and ids of the words met so far."""
-
-    def __init__(self, traced):
-        super().__init__()
-        self.traced = traced
-
-    def __missing__(self, word: str) -> tuple[float, bytes]:
-        found = self[word] = self.traced(word)
-        return found
-
-
 class PieceModel:
     """Pieces, scores and the best-path search of one model file."""
 
@@ -106,60 +100,90 @@ class PieceModel:
         self.reach = max(map(len, self.pieces))
         # words are independent if the mark stands only in front of pieces
         self.marks_lead = all(MARK not in piece.lstrip(MARK) for piece in self.pieces)
-        # what pieces of more than one character start with, and no piece is longer than
-        self.starts = {piece[:k] for piece in self.pieces for k in range(1, len(piece))}
-        self.word_ids = WordIds(self.traced)
-
-    def forward(self, text: str, start: int, stop: int) -> tuple[list[float], list]:
+        # what pieces start with: the score of what is a piece; single characters are never dead ends
+        self.beginnings = {p[:k]: NEVER for p in self.pieces for k in range(2, len(p))}
+        self.beginnings |= {p[0]: self.unknown for p in self.pieces}
+        self.beginnings |= {p: score for p, (score, _) in self.pieces.items()}
+        self.numbers = {p: number for p, (_, number) in self.pieces.items()}
+        # two characters that no piece holds side by side are always cut apart
+        self.pairs = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
+        self.table = PieceTable(self.pieces, self.unknown)
+        self.words: dict[str, tuple[float, bytes]] = {}
+        self.older_words: dict[str, tuple[float, bytes]] = {}
+
+    def forward(self, text: str, start: int, stop: int) -> tuple[list[float], list[int]]:
         """Best scores of cuts from ``start``, with pieces that begin before ``stop``.
 
-        With each cut goes the start and number of the piece in front of it, the longest of equals.
+        With each cut goes the start of the piece in front of it, the longest of equals.
         """
-        n, known, starts, unknown = len(text), self.pieces.get, self.starts, self.unknown
+        n, begins, unknown = len(text), self.beginnings.get, self.unknown
         score: list[float] = [NEVER] * (n + 1)
-        last: list[tuple[int, int] | None] = [None] * (n + 1)
+        last = [0] * (n + 1)
         score[start] = 0.0
         for at in range(start, min(stop, n)):
             so_far = score[at]
             if so_far == NEVER:
                 continue
-            end = at + 1
-            part = text[at]
-            piece = known(part)
-            total = so_far + (piece[0] if piece else unknown)
-            if total > score[end]:
-                score[end], last[end] = total, (at, piece[1] if piece else -1)
-            while part in starts and end < n:
-                end += 1
-                part = text[at:end]
-                piece = known(part)
-                if piece is not None and so_far + piece[0] > score[end]:
-                    score[end], last[end] = so_far + piece[0], (at, piece[1])
+            for end in range(at + 1, n + 1):
+                value = begins(text[at:end])
+                if value is None:
+                    if end == at + 1 and so_far + unknown > score[end]:
+                        score[end], last[end] = so_far + unknown, at
+                    break
+                value += so_far
+                if value > score[end]:
+                    score[end], last[end] = value, at
         return score, last
 
     def traced(self, text: str) -> tuple[float, bytes]:
         """Score and ids of the best path over a word."""
         score, last = self.forward(text, 0, len(text))
+        numbers = self.numbers
         ids: list[int] = []
         end = len(text)
         while end:
-            start, number = last[end]
-            if number >= 0:
-                ids.append(number)
-            else:
+            start = last[end]
+            number = numbers.get(text[start:end])
+            if number is None:
                 ids += [self.byte_ids[b] for b in reversed(text[start:end].encode())]
+            else:
+                ids.append(number)
             end = start
         ids.reverse()
         return score[len(text)], array("I", ids).tobytes()
 
-    def words_of(self, text: str) -> list[str]:
-        return WORDS.findall(text) if self.marks_lead else [text] if text else []
+    def parts(self, word: str) -> list[str]:
+        """Letters and the marks behind them apart, where every path cuts between them."""
+        runs = RUNS.findall(word)
+        if len(runs) == 1 or any([a[-1] + b[0] in self.pairs for a, b in pairwise(runs)]):
+            return [word]
+        return runs
 
     def found(self, words: list[str]) -> list[tuple[float, bytes]]:
-        """Score and ids of each word, remembered up to a number of words."""
-        if len(self.word_ids) > MOST_WORDS:
-            self.word_ids.clear()
-        return list(map(self.word_ids.__getitem__, words))
+        """Score and ids of words; two generations of remembered parts bound the memory."""
+        if len(self.words) >= MOST_WORDS:
+            self.older_words, self.words = self.words, {}
+        known, older = self.words, self.older_words
+        parts = [[word] if word in known else self.parts(word) for word in words]
+        new = []
+        for part in {part for own in parts for part in own if part not in known}:
+            if part in older:
+                known[part] = older[part]
+            else:
+                new.append(part)
+        known.update(self.table.traced(new))
+        for part in new:
+            if part not in known:
+                known[part] = self.traced(part)
+        return [
+            known[own[0]]
+            if len(own) == 1
+            else (sum([known[part][0] for part in own]), b"".join([known[part][1] for part in own]))
+            for own in parts
+        ]
+
+    def words_of(self, text: str) -> list[str]:
+        return WORDS.findall(text) if self.marks_lead else [text] if text else []
 
     def ids(self, marked: str) -> bytes:
         """The ids of a text whose spaces are marks, as unsigned 32-bit bytes."""
@@ -167,7 +191,7 @@ class PieceModel:
 
     def score(self, marked: str) -> float:
         """The score of the best path over whole words."""
-        return sum(score for score, _ in self.found(self.words_of(marked)))
+        return sum([score for score, _ in self.found(self.words_of(marked))])
 
     def ids_of_all(self, texts: pa.Array) -> list[bytes]:
         """The ids of texts without nulls, spaces not yet marked."""
@@ -208,7 +232,7 @@ class PieceModel:
                     at = end
                     while at != i:
                         path.append(at)
-                        at = last[at][0]
+                        at = last[at]
                     path += [i, -1]
                 cuts[j].append(path)
         for j, paths in enumerate(cuts):
@@ -258,6 +282,81 @@ class PieceModel:
         return list(map(self.plain, pieces_between(self.shown.take(ids), starts)))
 
 
+class PieceTable:
+    """The pieces as a table (beginning, character) -> beginning, walked by many words at a time.
+
+    It knows the ``ALPHABET`` most common characters of the pieces and gives no result for words with
+    others, with unknown characters or of more than ``LONGEST_WORD``.
+    """
+
+    def __init__(self, pieces: dict[str, tuple[float, int]], unknown: float):
+        common = Counter(c for piece in pieces for c in piece).most_common(ALPHABET - 1)
+        self.codes = np.zeros(0x110000, np.uint8)
+        self.codes[[ord(c) for c, _ in common]] = np.arange(1, len(common) + 1)
+        pieces = {p: found for p, found in pieces.items() if self.coded([p]).all()}
+        begins = sorted({p[:k] for p in pieces for k in range(1, len(p) + 1)}, key=len)
+        places = {"": 1} | {text: k for k, text in enumerate(begins, 2)}  # 0: no piece begins so
+        self.next = np.zeros((len(places) + 1, ALPHABET), np.int32)
+        self.score = np.full(len(places) + 1, NEVER)
+        self.number = np.full(len(places) + 1, -1, np.int32)
+        for text in begins:
+            place = places[text]
+            self.next[places[text[:-1]], self.codes[ord(text[-1])]] = place
+            if text in pieces:
+                self.score[place], self.number[place] = pieces[text]
+        self.unknown = unknown
+
+    def coded(self, words: list[str]) -> np.ndarray:
+        """The characters of words of one length as codes, 0 for others."""
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        return self.codes[points].reshape(len(words), -1)
+
+    def traced(self, words: list[str]) -> Iterator[tuple[str, tuple[float, bytes]]]:
+        """Words with their score and ids, as ``PieceModel.traced`` finds them."""
+        by_length: dict[int, list[str]] = {}
+        for word in words:
+            by_length.setdefault(len(word), []).append(word)
+        for n, alike in by_length.items():
+            if 0 < n <= LONGEST_WORD:
+                for at in range(0, len(alike), WORDS_AT_ONCE):
+                    yield from self._alike(alike[at : at + WORDS_AT_ONCE], n)
+
+    def _alike(self, words: list[str], n: int) -> Iterator[tuple[str, tuple[float, bytes]]]:
+        codes = np.ascontiguousarray(self.coded(words).T)
+        score = np.full((n + 1, len(words)), NEVER)
+        last = np.zeros((n + 1, len(words)), np.int32)
+        piece = np.full((n + 1, len(words)), -1, np.int32)
+        score[0] = 0.0
+        for at in range(n):
+            place = np.ones(len(words), np.int32)
+            for end in range(at + 1, n + 1):
+                place = self.next[place, codes[end - 1]]
+                value = self.score[place]
+                if end == at + 1:
+                    value = np.where(value > NEVER, value, self.unknown)
+                elif not place.any():
+                    break
+                value = value + score[at]
+                better = value > score[end]
+                np.copyto(score[end], value, where=better)
+                np.copyto(last[end], at, where=better)
+                np.copyto(piece[end], self.number[place], where=better)
+        ids = np.zeros((len(words), n), np.uint32)
+        left = np.full(len(words), n)  # ids fill their row from the right
+        end, every = np.full(len(words), n), np.arange(len(words))
+        good = codes.all(axis=0)
+        while len(every):
+            number = piece[end, every]
+            good[every] &= number >= 0
+            left[every] -= 1
+            ids[every, left[every]] = number
+            end = last[end, every]
+            every, end = every[end > 0], end[end > 0]
+        blob, scores, starts = ids.tobytes(), score[n].tolist(), left.tolist()
+        for k in np.flatnonzero(good).tolist():
+            yield words[k], (scores[k], blob[4 * (n * k + starts[k]) : 4 * n * (k + 1)])
+
+
 def marked(text: str) -> str:
     """A text as the pieces see it: a mark in front and in place of spaces."""
     return MARK + text.replace(" ", MARK) if text else ""
@@ -274,6 +373,7 @@ def pieces_between(blobs: pa.Array, starts: np.ndarray) -> list[bytes]:
 
 
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+RUNS = re.compile(rf"{MARK}*\w+|{MARK}*[^\w{MARK}]+|{MARK}+")
 STARTS = re.compile(f"(?<=[^{MARK}]){MARK}")
 _models: dict[str, PieceModel] = {}
 
@@ -362,6 +462,8 @@ def _chunk_rows(
         starts = range(0, len(whole), chunk_chars)
         for block in range(0, len(starts), CHUNKS_PER_BLOCK):
             found = []
+            last = min(block + CHUNKS_PER_BLOCK, len(starts)) * chunk_chars
+            pieces.found(list(set(pieces.words_of(whole[starts[block] : last]))))
             for at in starts[block : block + CHUNKS_PER_BLOCK]:
                 size = min(chunk_chars, len(whole) - at)
                 shown = whole[at : at + size + pieces.reach]

@@ -516,8 +516,13 @@ def _trace_chunks(name: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = model(name)
         for frame in frames:
-            spans = zip(frame["text"], frame["size"], frame["first"], frame["last"], strict=True)
-            ids = [pieces.ids(text[a : size + b]) for text, size, a, b in spans]
+            rows = zip(frame["text"], frame["size"], frame["first"], frame["last"], strict=True)
+            spans = [text[a : size + b] for text, size, a, b in rows]
+            ids = []
+            for at in range(0, len(spans), CHUNKS_PER_BLOCK):
+                own = spans[at : at + CHUNKS_PER_BLOCK]
+                pieces.found(list({word for span in own for word in pieces.words_of(span)}))
+                ids += map(pieces.ids, own)
             yield frame[["row", "doc_id", "chunk"]].assign(ids=ids)
 
     return run

@@ -154,6 +154,8 @@ class PieceModel:
 
     def parts(self, word: str) -> list[str]:
         """Letters and the marks behind them apart, where every path cuts between them."""
+        if word.lstrip(MARK).isalpha():
+            return [word]
         runs = RUNS.findall(word)
         if len(runs) == 1 or any([a[-1] + b[0] in self.pairs for a, b in pairwise(runs)]):
             return [word]
@@ -164,9 +166,11 @@ class PieceModel:
         if len(self.words) >= MOST_WORDS:
             self.older_words, self.words = self.words, {}
         known, older = self.words, self.older_words
-        parts = [[word] if word in known else self.parts(word) for word in words]
+        out = list(map(known.get, words))
+        missing = [k for k, found in enumerate(out) if found is None]
+        parts = [self.parts(words[k]) for k in missing]
         new = []
-        for part in {part for own in parts for part in own if part not in known}:
+        for part in {part for own in parts for part in own}.difference(known):
             if part in older:
                 known[part] = older[part]
             else:
@@ -175,12 +179,13 @@ class PieceModel:
         for part in new:
             if part not in known:
                 known[part] = self.traced(part)
-        return [
-            known[own[0]]
-            if len(own) == 1
-            else (sum([known[part][0] for part in own]), b"".join([known[part][1] for part in own]))
-            for own in parts
-        ]
+        for k, own in zip(missing, parts, strict=True):
+            if len(own) == 1:
+                out[k] = known[own[0]]
+            else:
+                found = [known[part] for part in own]
+                out[k] = (sum([score for score, _ in found]), b"".join([ids for _, ids in found]))
+        return out
 
     def words_of(self, text: str) -> list[str]:
         return WORDS.findall(text) if self.marks_lead else [text] if text else []

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import pytest
+from pyspark.errors import PySparkException
+
 from tests.shop import by, raw
 from tidemark.operators import staging
 from tidemark.sources.category_names import category_names
@@ -39,6 +42,20 @@ def test_staging_accepts_an_all_text_load(spark):
     assert row.shipping_limit_at.isoformat() == "2020-01-02T03:04:05"
 
 
+@pytest.mark.parametrize(
+    ("price", "limit"),
+    [("1.5d", "2020-01-02"), ("2f", "2020-01-02"), ("1", "2017"), ("1", "2020-01-02T10:00:00+05:00")],
+)
+def test_staging_refuses_texts_that_the_loader_sets_aside(spark, price, limit):
+    text = spark.createDataFrame(
+        [("o", "1", "p", "s", limit, price, None)],
+        "order_id string, order_item_id string, product_id string, seller_id string, "
+        "shipping_limit_date string, price string, freight_value string",
+    )
+    with pytest.raises(PySparkException, match="bad value"):
+        staging.stg_order_items(text).collect()
+
+
 def test_zip_codes_stay_text(spark):
     rows = raw(spark, "customers", [{"customer_id": "c", "customer_zip_code_prefix": "01037"}])
     assert staging.stg_customers(rows).first().zip_code == "01037"

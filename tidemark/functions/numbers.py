@@ -13,10 +13,23 @@ NUMBER_TEXT = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
 
 
+def checked_text(df: DataFrame, name: str, pattern: str) -> Column:
+    """A column whose texts must match; others raise, as Spark casts some that the loader refuses.
+
+    Columns of other types come as they are.
+    """
+    value = F.col(name)
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return value
+    text = F.trim(value)
+    bad = F.raise_error(F.concat(F.lit(f"{name}: bad value: "), text)).cast("string")
+    return F.when(text.isNull() | text.rlike(pattern), text).otherwise(bad)
+
+
 def whole_number(df: DataFrame, name: str) -> Column:
     """Cast a column to int, rounding fractions half away from zero; bad text raises."""
     kind = df.schema[name].dataType
-    value = F.col(name)
+    value = checked_text(df, name, NUMBER_TEXT)
     if isinstance(kind, T.StringType):
         value = value.cast("double")
     if isinstance(kind, (T.StringType, T.DoubleType, T.FloatType, T.DecimalType)):

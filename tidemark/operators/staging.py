@@ -9,15 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import ratio, total, whole_number
+from tidemark.functions.numbers import (
+    NUMBER_TEXT,
+    TIMESTAMP_TEXT,
+    checked_text,
+    ratio,
+    total,
+    whole_number,
+)
 
 
-def _timestamp(name: str, alias: str) -> Column:
-    return F.col(name).cast("timestamp_ntz").alias(alias)
+def _timestamp(raw: DataFrame, name: str, alias: str) -> Column:
+    return checked_text(raw, name, TIMESTAMP_TEXT).cast("timestamp_ntz").alias(alias)
 
 
-def _double(name: str) -> Column:
-    return F.col(name).cast("double").alias(name)
+def _double(raw: DataFrame, name: str) -> Column:
+    return checked_text(raw, name, NUMBER_TEXT).cast("double").alias(name)
 
 
 def _place(prefix: str) -> list[Column]:
@@ -42,11 +49,11 @@ def stg_orders(raw: DataFrame) -> DataFrame:
         "order_id",
         "customer_id",
         "order_status",
-        _timestamp("order_purchase_timestamp", "purchased_at"),
-        _timestamp("order_approved_at", "approved_at"),
-        _timestamp("order_delivered_carrier_date", "shipped_at"),
-        _timestamp("order_delivered_customer_date", "delivered_at"),
-        _timestamp("order_estimated_delivery_date", "estimated_delivery_at"),
+        _timestamp(raw, "order_purchase_timestamp", "purchased_at"),
+        _timestamp(raw, "order_approved_at", "approved_at"),
+        _timestamp(raw, "order_delivered_carrier_date", "shipped_at"),
+        _timestamp(raw, "order_delivered_customer_date", "delivered_at"),
+        _timestamp(raw, "order_estimated_delivery_date", "estimated_delivery_at"),
     )
 
 
@@ -56,9 +63,9 @@ def stg_order_items(raw: DataFrame) -> DataFrame:
         whole_number(raw, "order_item_id").alias("order_item_id"),
         "product_id",
         "seller_id",
-        _timestamp("shipping_limit_date", "shipping_limit_at"),
-        _double("price"),
-        _double("freight_value"),
+        _timestamp(raw, "shipping_limit_date", "shipping_limit_at"),
+        _double(raw, "price"),
+        _double(raw, "freight_value"),
     )
 
 
@@ -68,7 +75,7 @@ def stg_order_payments(raw: DataFrame) -> DataFrame:
         whole_number(raw, "payment_sequential").alias("payment_sequential"),
         "payment_type",
         whole_number(raw, "payment_installments").alias("payment_installments"),
-        _double("payment_value"),
+        _double(raw, "payment_value"),
     )
 
 
@@ -79,8 +86,8 @@ def stg_order_reviews(raw: DataFrame) -> DataFrame:
         whole_number(raw, "review_score").alias("review_score"),
         "review_comment_title",
         "review_comment_message",
-        _timestamp("review_creation_date", "review_created_at"),
-        _timestamp("review_answer_timestamp", "review_answered_at"),
+        _timestamp(raw, "review_creation_date", "review_created_at"),
+        _timestamp(raw, "review_answer_timestamp", "review_answered_at"),
     )
 
 
@@ -113,8 +120,8 @@ def stg_geolocation(raw: DataFrame, exact: bool = False) -> DataFrame:
     Points are first summed per place name: text maxima need a sort-based aggregate, which then
     sees a few rows per zip code instead of every point.
     """
-    latitude = F.col("geolocation_lat").cast("double")
-    longitude = F.col("geolocation_lng").cast("double")
+    latitude = checked_text(raw, "geolocation_lat", NUMBER_TEXT).cast("double")
+    longitude = checked_text(raw, "geolocation_lng", NUMBER_TEXT).cast("double")
     named = raw.groupBy(
         F.col("geolocation_zip_code_prefix").cast("string").alias("zip_code"),
         "geolocation_city",

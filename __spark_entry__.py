@@ -7,7 +7,7 @@ import importlib
 import os
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -84,8 +84,8 @@ def entry(spark: SparkSession) -> DataFrame:
     return analytics(spark, SMOKE_DIR).customer_360_rows()
 
 
-def _write_csv_files(models: Analytics, folder: str) -> None:
-    """The raw tables as CSV, with some rows spoiled by key: bad number, long or broken text."""
+def _write_csv_files(models: Analytics, folder: str, tables: Iterable[str]) -> None:
+    """Raw tables as CSV, with some rows spoiled by key: bad number, long or broken text."""
     raw = dict(models.raw)
     key = F.col("order_id").cast("long")
     raw["customers"] = raw["customers"].withColumn(
@@ -108,26 +108,32 @@ def _write_csv_files(models: Analytics, folder: str) -> None:
         "review_score",
         F.when(key % 79 == 0, "five").otherwise(F.col("review_score").cast("string")),
     ).withColumn("review_comment_message", F.concat(F.lit('said "ok",\nthen '), "order_id"))
-    for table, file_name in csv_load.CSV_FILES.items():
+    for table in tables:
         raw[table].write.mode("overwrite").option("header", True).option("escape", '"').option(
             "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"
-        ).csv(f"{folder}/{file_name}")
+        ).csv(f"{folder}/{csv_load.CSV_FILES[table]}")
 
 
-def csv_folder(models: Analytics) -> str:
-    """A folder with the raw tables as CSV files, written once per set of models."""
+def _scratch(models: Analytics, label: str) -> str:
+    """The name of a new folder among the application's intermediates."""
+    app = models.spark.sparkContext.applicationId
+    return f"{shared_dir(models.spark)}/tidemark/{app}/{label}-{uuid.uuid4().hex}"
+
+
+def csv_folder(models: Analytics, tables: Iterable[str] = tuple(csv_load.CSV_FILES)) -> str:
+    """A folder with raw tables as CSV files; each is written once per set of models, when asked for."""
     if not hasattr(models, "csv_folder"):
-        app = models.spark.sparkContext.applicationId
-        models.csv_folder = f"{shared_dir(models.spark)}/tidemark/{app}/csv-{uuid.uuid4().hex}"
-        _write_csv_files(models, models.csv_folder)
+        models.csv_folder, models.csv_tables = _scratch(models, "csv"), set()
+    missing = [table for table in tables if table not in models.csv_tables]
+    _write_csv_files(models, models.csv_folder, missing)
+    models.csv_tables.update(missing)
     return models.csv_folder
 
 
 def _loaded_table(models: Analytics, table: str) -> csv_load.LoadResult:
     """One table loaded from its CSV files."""
-    path = f"{csv_folder(models)}/{csv_load.CSV_FILES[table]}"
-    target = f"{csv_folder(models)}-{table}-{uuid.uuid4().hex}"
-    return csv_load.load_csv(models.spark, table, path, target)
+    path = f"{csv_folder(models, [table])}/{csv_load.CSV_FILES[table]}"
+    return csv_load.load_csv(models.spark, table, path, _scratch(models, f"csv-{table}"))
 
 
 def _write_lines(lines: DataFrame, header: str, folder: str) -> None:
@@ -138,7 +144,7 @@ def _write_lines(lines: DataFrame, header: str, folder: str) -> None:
 
 def _review_blocks(models: Analytics) -> DataFrame:
     """Reviews from files cut in small blocks; every 97th leaves a quote open in its title."""
-    spark, folder = models.spark, f"{csv_folder(models)}-blocks-{uuid.uuid4().hex}"
+    spark, folder = models.spark, _scratch(models, "csv-blocks")
     reviews = models.raw["order_reviews"]
     key = F.col("order_id").cast("long")
     text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -162,7 +168,7 @@ def _review_blocks(models: Analytics) -> DataFrame:
 
 def _mixed_headers(models: Analytics) -> csv_load.LoadResult:
     """Payments in two sets of files, the second with other columns in another order."""
-    folder = f"{csv_folder(models)}-mixed-{uuid.uuid4().hex}"
+    folder = _scratch(models, "csv-mixed")
     payments, key = models.raw["order_payments"], F.col("order_id").cast("long")
     orders = [payments.columns, [*payments.columns[::-1][:-1], "order_id", "batch"]]
     for odd, names in enumerate(orders):
@@ -173,7 +179,7 @@ def _mixed_headers(models: Analytics) -> csv_load.LoadResult:
 
 def _text_load(models: Analytics) -> csv_load.LoadResult:
     """Order items as text; lines of some orders have a field too many or one too few."""
-    folder = f"{csv_folder(models)}-text-{uuid.uuid4().hex}"
+    folder = _scratch(models, "csv-text")
     items, key = models.raw["order_items"], F.col("order_id").cast("long")
     fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in items.columns]
     line = F.concat_ws(
@@ -188,8 +194,8 @@ def _text_load(models: Analytics) -> csv_load.LoadResult:
 
 def _reloaded(models: Analytics) -> DataFrame:
     """Payments loaded twice into one place; the second load replaces the first."""
-    path = f"{csv_folder(models)}/{csv_load.CSV_FILES['order_payments']}"
-    target = f"{csv_folder(models)}-again-{uuid.uuid4().hex}"
+    path = f"{csv_folder(models, ['order_payments'])}/{csv_load.CSV_FILES['order_payments']}"
+    target = _scratch(models, "csv-again")
     for _ in range(2):
         loaded = csv_load.load_csv(models.spark, "order_payments", path, target)
     return loaded.rows
@@ -197,7 +203,7 @@ def _reloaded(models: Analytics) -> DataFrame:
 
 def _mart_roundtrip(models: Analytics) -> DataFrame:
     """The wide customer table written as a mart, rebuilt, and read again."""
-    folder = f"{csv_folder(models)}-marts-{uuid.uuid4().hex}"
+    folder = _scratch(models, "marts")
     for _ in range(2):
         write_mart(models.customer_360, folder, "customer_360")
     return read_mart(models.spark, folder, "customer_360")
@@ -205,7 +211,7 @@ def _mart_roundtrip(models: Analytics) -> DataFrame:
 
 def _replaced_after_failure(models: Analytics) -> DataFrame:
     """The wide customer table after a rebuild that fails on the way."""
-    folder = f"{csv_folder(models)}-failing-{uuid.uuid4().hex}"
+    folder = _scratch(models, "failing")
     wide = models.customer_360
     write_mart(wide, folder, "customer_360")
     late = F.col("customer_unique_id").cast("long") % 5 == 3

@@ -39,3 +39,37 @@ def test_a_mart_is_rebuilt_without_csv_files(spark, tmp_path, monkeypatch):
     assert entry._mart_roundtrip(models).count() == 5
     stored = os.listdir(tmp_path / "tidemark" / spark.sparkContext.applicationId)
     assert [name.split("-")[0] for name in stored] == ["marts"]
+
+
+def items_of(spark, rows):
+    return staging.stg_order_items(raw(spark, "order_items", rows))
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_item_aggregates_do_not_multiply_the_rows(spark):
+    rows = [item("1", "p1", "s1", 1.5), item("1", "p1", "s2", 2.0), item("1", "p2", "s2", None)]
+    rows += [item("1", None, "s2", 1.0), item("2", None, None, None), item(None, "p1", "s1"), item(None, "p2")]
+    for exact in (False, True):
+        agg = orders.order_items_agg(items_of(spark, rows), exact)
+        assert "Expand" not in plan_of(agg)
+        assert not re.search(r"keys=\[[^]]*(product|seller)_id", plan_of(agg.select("order_id", "item_count")))
+        assert {row[0]: tuple(row)[1:] for row in agg.collect()} == {
+            "1": (4, 2, 2, 4.5, 4.0), "2": (1, 0, 0, None, 1.0), None: (2, 2, 2, 20.0, 2.0),
+        }
+    assert orders.order_items_agg(items_of(spark, [])).collect() == []
+
+
+def test_the_order_summary_groups_items_by_order_only(spark):
+    tables = {name: [] for name in ("customers", "orders", "order_payments", "order_reviews")}
+    frames = {name: raw(spark, name, rows) for name, rows in tables.items()}
+    summary = customers.customer_order_summary(
+        staging.stg_customers(frames["customers"]),
+        staging.stg_orders(frames["orders"]),
+        items_of(spark, [item("1")]),
+        staging.stg_order_payments(frames["order_payments"]),
+        staging.stg_order_reviews(frames["order_reviews"]),
+    )
+    assert not re.search(r"keys=\[[^]]*(product|seller)_id", plan_of(summary))

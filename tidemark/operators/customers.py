@@ -51,7 +51,7 @@ def customer_order_summary(
     persons = customers.select("customer_id", "customer_unique_id", "city", "state")
     bought = delivered(orders).join(persons, "customer_id")
     return (
-        with_order_details(bought, items, payments, reviews, exact)
+        with_order_details(bought, items, payments, reviews, exact, only_count_items=True)
         .groupBy("customer_unique_id")
         .agg(
             F.min("city").alias("city"),

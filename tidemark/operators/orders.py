@@ -14,13 +14,29 @@ def delivered(orders: DataFrame) -> DataFrame:
 
 
 def order_items_agg(items: DataFrame, exact: bool = False) -> DataFrame:
-    return items.groupBy("order_id").agg(
+    """Items, distinct products and sellers, price and freight of every order.
+
+    Two distinct counts in one aggregate would triple the rows before they are reduced, so sellers are
+    counted apart and the two rows of an order put together. What a reader does not use is not computed.
+    """
+    measured = items.groupBy("order_id").agg(
         F.count("*").alias("item_count"),
         F.countDistinct("product_id").alias("unique_products"),
-        F.countDistinct("seller_id").alias("unique_sellers"),
         total(F.col("price"), exact).alias("total_price"),
         total(F.col("freight_value"), exact).alias("total_freight"),
     )
+    sellers = items.groupBy("order_id").agg(F.countDistinct("seller_id").alias("unique_sellers"))
+    names = ("item_count", "unique_products", "unique_sellers", "total_price", "total_freight")
+    return (
+        measured.unionByName(sellers, allowMissingColumns=True)
+        .groupBy("order_id")
+        .agg(*[F.max(name).alias(name) for name in names])
+    )
+
+
+def order_item_counts(items: DataFrame) -> DataFrame:
+    """The number of items of every order."""
+    return items.groupBy("order_id").agg(F.count("*").alias("item_count"))
 
 
 def order_payments_agg(payments: DataFrame, exact: bool = False) -> DataFrame:
@@ -44,6 +60,7 @@ def with_order_details(
     payments: DataFrame,
     reviews: DataFrame,
     exact: bool = False,
+    only_count_items: bool = False,
 ) -> DataFrame:
     """Add day differences and the item, payment and review aggregates to order rows.
 
@@ -51,11 +68,14 @@ def with_order_details(
     joined to one another on the partitioning that the aggregates already have. A computed key then
     hides it, so that both sides of the last join are plain shuffles: AQE splits the rows of a null or
     repeated ``order_id`` over tasks, which it cannot do where an aggregate needs them together.
-    A negative ``delivery_delta_days`` means late.
+    A negative ``delivery_delta_days`` means late. ``only_count_items`` leaves ``item_count`` as the
+    only item aggregate, which needs no grouping by product and seller.
     """
     known = F.col("order_id").isNotNull()
+    known_items = items.filter(known)
+    of_items = order_item_counts(known_items) if only_count_items else order_items_agg(known_items, exact)
     details = (
-        order_items_agg(items.filter(known), exact)
+        of_items
         .join(order_payments_agg(payments.filter(known), exact), "order_id", "full")
         .join(order_reviews_agg(reviews.filter(known), exact), "order_id", "full")
         .withColumn("order_id", F.concat("order_id", F.lit("")))

@@ -73,3 +73,9 @@ def test_the_order_summary_groups_items_by_order_only(spark):
         staging.stg_order_reviews(frames["order_reviews"]),
     )
     assert not re.search(r"keys=\[[^]]*(product|seller)_id", plan_of(summary))
+
+
+def test_small_parts_unless_the_owner_chose(spark):
+    session.apply_defaults(spark)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"

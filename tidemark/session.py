@@ -17,6 +17,10 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # What a task aggregates or sorts is many times larger in memory than stored: parts of this size
+    # keep it from spilling at a few hundred MB a core.
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
 
 # AQE merges small shuffle partitions but cannot split a large one under an aggregate, so the

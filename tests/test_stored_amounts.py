@@ -79,3 +79,13 @@ def test_small_parts_unless_the_owner_chose(spark):
     session.apply_defaults(spark)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
+
+
+def test_one_line_of_each_file_leaves_the_header_scan():
+    batches = [
+        pa.RecordBatch.from_pydict({"file": files, "line": lines})
+        for files, lines in ((["f", "f", "g"], ["a,b", "1,2", "c"]), (["g", "h"], ["3", "d"]), ([], []))
+    ]
+    batches[2] = batches[0].slice(0, 0)
+    found = [row for batch in csv_load._first_lines(iter(batches)) for row in batch.to_pylist()]
+    assert [tuple(row.values()) for row in found] == [("f", "a,b"), ("g", "c"), ("h", "d")]

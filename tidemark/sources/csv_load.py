@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,15 +190,28 @@ def _store(
     return LoadResult(table, spark.read.schema(loaded_schema(schema)).parquet(path))
 
 
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that a task reads of each file."""
+    known: set[str] = set()
+    for batch in batches:
+        files = batch.column("file")
+        fresh = [file for file in pc.unique(files).to_pylist() if file not in known]
+        known.update(fresh)
+        yield batch.take(pa.array([pc.index(files, file).as_py() for file in fresh], pa.int64()))
+
+
 def headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """The column names of every file at a path, from its first line; one short row a file."""
+    """The column names of every file at a path, from its first line; one short row a file.
+
+    One task reads the first block of a file, line by line in order, and keeps a single line of it.
+    """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
-        "value",
+        F.col("value").alias("line"),
     )
-    first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    begins = lines.filter(F.col("block") == 0).select("file", "line")
+    first = begins.mapInArrow(_first_lines, "file string, line string")
     return {
         row["file"]: [name.strip() for name in next(csv.reader([row["line"]], skipinitialspace=True))]
         for row in first.filter(F.trim("line") != "").orderBy("file").collect()

@@ -160,10 +160,11 @@ def _review_blocks(models: Analytics) -> DataFrame:
     for name, size in sizes.items():
         spark.conf.set(name, size)
     try:
-        return csv_load.load_csv(spark, "order_reviews", folder, f"{folder}-loaded").rows
+        records = csv_load.read_text_columns(spark, "order_reviews", folder)
     finally:
         for name, size in before.items():
             spark.conf.set(name, size)
+    return csv_load.store_lines(records, "order_reviews", f"{folder}-loaded").rows
 
 
 def _mixed_headers(models: Analytics) -> csv_load.LoadResult:

@@ -89,3 +89,29 @@ def test_one_line_of_each_file_leaves_the_header_scan():
     batches[2] = batches[0].slice(0, 0)
     found = [row for batch in csv_load._first_lines(iter(batches)) for row in batch.to_pylist()]
     assert [tuple(row.values()) for row in found] == [("f", "a,b"), ("g", "c"), ("h", "d")]
+
+
+def test_many_small_blocks_share_tasks(spark, tmp_path, monkeypatch):
+    text = "\n".join(["a,b", *[f'{k},"x\ny"' for k in range(900)]])
+    (tmp_path / "r.csv").write_text(text)
+    tasks = []
+
+    def counted(df, label):
+        tasks.append(df.rdd.getNumPartitions())
+        return session.stage(df, label)
+
+    monkeypatch.setattr(csv_records, "stage", counted)
+    monkeypatch.setattr(csv_records, "TASKS_PER_CORE", 1)
+    sizes = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name) for name in sizes}
+    for name, size in sizes.items():
+        spark.conf.set(name, size)
+    try:
+        assert spark.read.text(str(tmp_path / "r.csv")).rdd.getNumPartitions() > 20
+        records = csv_records.read_records(spark, str(tmp_path / "r.csv"), 2, 5000)
+        texts = sorted(row.text for row in records.filter("not broken").collect())
+    finally:
+        for name, size in before.items():
+            spark.conf.set(name, size)
+    assert texts == sorted(f'{k},"x\ny"' for k in range(900))
+    assert tasks == [spark.sparkContext.defaultParallelism]

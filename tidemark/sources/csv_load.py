@@ -160,6 +160,11 @@ def load_csv(spark: SparkSession, table: str, path: str, target: str) -> LoadRes
     goes on. The CSV is parsed and written once, partitioned by ``rejected``: readers of the
     good rows never open the files of the others.
     """
+    return store_lines(read_text_columns(spark, table, path), table, target)
+
+
+def store_lines(lines: DataFrame, table: str, target: str) -> LoadResult:
+    """Check, type and store the text columns of one table, as ``load_csv`` does."""
     columns = RAW_TABLES[table]
     names = [column.name for column in columns]
     reason = F.coalesce(
@@ -167,7 +172,7 @@ def load_csv(spark: SparkSession, table: str, path: str, target: str) -> LoadRes
         *[_problem(column) for column in columns],
     )
     typed = [F.when(F.col("reason").isNull(), _typed(column)).alias(column.name) for column in columns]
-    lines = read_text_columns(spark, table, path).withColumn("reason", reason)
+    lines = lines.withColumn("reason", reason)
     return _store(lines, table, names, typed, raw_schema(table), f"{target}/{table}")
 
 

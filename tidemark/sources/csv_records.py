@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from tidemark.session import stage
 
 FINISHED, HEAD, TAIL, BLOCK = range(4)
+# Small blocks share tasks, block after block: tasks for each core at most.
+TASKS_PER_CORE = 16
 CUT = "path string, block long, part int, at long, text string, broken boolean"
 BLANKS = " \t\r"
 
@@ -136,21 +139,27 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=["path", "block", "part", "at", "text", "broken"])
 
 
+def _run_ends(paths: pa.Array, blocks: pa.Array) -> list[int]:
+    """The ends of the stretches of lines of one block."""
+    if not len(paths):
+        return []
+    codes, starts = paths.dictionary_encode().indices.to_numpy(), blocks.to_numpy()
+    changes = (codes[1:] != codes[:-1]) | (starts[1:] != starts[:-1])
+    return [*(np.flatnonzero(changes) + 1).tolist(), len(codes)]
+
+
 def _cut(n_columns: int, most_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = None
         for batch in batches:
-            paths, blocks, lines = (batch.column(k).to_pylist() for k in range(3))
+            paths, blocks, lines = batch.column("path"), batch.column("block"), batch.column("value")
             rows, a = [], 0
-            while a < len(lines):
-                key = paths[a], blocks[a]
+            for b in _run_ends(paths, blocks):
+                key = paths[a].as_py(), blocks[a].as_py()
                 if block is None or (block.path, block.block) != key:
                     rows += block.end() if block else ()
                     block = _Block(*key, n_columns, most_chars)
-                b = a + 1
-                while b < len(lines) and (paths[b], blocks[b]) == key:
-                    b += 1
-                rows += block.add(lines[a:b])
+                rows += block.add(lines[a:b].to_pylist())
                 a = b
             yield _batch(rows)
         if block:
@@ -182,6 +191,7 @@ def read_records(spark: SparkSession, path: str, n_columns: int, most_chars: int
         F.col("_metadata.file_block_start").alias("block"),
         "value",
     )
+    lines = lines.coalesce(TASKS_PER_CORE * max(1, spark.sparkContext.defaultParallelism))
     cut = stage(lines.mapInArrow(_cut(n_columns, most_chars), CUT), "csv-records")
     # pieces are numbered by the blocks with a start before them; there is one row a block
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

@@ -243,14 +243,15 @@ def _rejected_rows(models: Analytics) -> DataFrame:
 
 
 def _check_summary(models: Analytics) -> DataFrame:
-    """All checks but those of the fitted model, over derived models stored first."""
+    """All checks but those of the fitted model; checked columns of derived models are stored first."""
     ready = {}
     for name in MODELS:
         if name in ("churn_prediction", "churn_segment_summary"):
             continue
         model = getattr(models, name)
         lazy = not name.startswith("stg_") and name not in ("customer_order_summary", "customer_360")
-        ready[name] = stage(model, f"checked-{name}") if lazy else model
+        columns = quality.checked_columns(name)
+        ready[name] = stage(model.select(*columns), f"checked-{name}") if lazy else model
     summary = ready["customer_order_summary"]
     return quality.run_checks(ready).unionByName(
         quality.label_completeness(summary, ready["customer_churn_labels"])

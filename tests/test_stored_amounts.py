@@ -75,6 +75,11 @@ def test_the_order_summary_groups_items_by_order_only(spark):
     assert not re.search(r"keys=\[[^]]*(product|seller)_id", plan_of(summary))
 
 
+def test_checks_store_the_columns_they_read():
+    assert quality.checked_columns("order_enriched") == ["order_id", "customer_id"]
+    assert quality.checked_columns("stg_customers") == ["customer_id", "customer_unique_id"]
+
+
 def test_small_parts_unless_the_owner_chose(spark):
     session.apply_defaults(spark)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"

@@ -139,6 +139,13 @@ CHECKS = (
 )
 
 
+def checked_columns(model: str, checks: Sequence[Check] = CHECKS) -> list[str]:
+    """The columns of a model that its own checks or those of its children read."""
+    own = [check.column for check in checks if check.model == model]
+    asked = [check.parent[1] for check in checks if check.parent and check.parent[0] == model]
+    return list(dict.fromkeys(own + asked))
+
+
 def failing_rows(check: Check, models: dict[str, DataFrame]) -> DataFrame:
     """The rows one check returns; an empty frame means it passed."""
     df = models[check.model]

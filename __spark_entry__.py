@@ -47,6 +47,9 @@ corpus_pipeline = _optional("corpus_pipeline")
 # Features that tell persons with one order from others, as the label does.
 HOLD_THE_LABEL = ("total_orders", "frequency", "customer_tenure_days")
 
+# Gzipped files are read whole by one task each.
+CSV_ROWS_PER_FILE = 500_000
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 _open: dict[tuple[str, str, bool], Analytics] = {}
@@ -111,7 +114,9 @@ def _write_csv_files(models: Analytics, folder: str, tables: Iterable[str]) -> N
     for table in tables:
         raw[table].write.mode("overwrite").option("header", True).option("escape", '"').option(
             "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"
-        ).csv(f"{folder}/{csv_load.CSV_FILES[table]}")
+        ).option("compression", "gzip").option("maxRecordsPerFile", CSV_ROWS_PER_FILE).csv(
+            f"{folder}/{csv_load.CSV_FILES[table]}"
+        )
 
 
 def _scratch(models: Analytics, label: str) -> str:

@@ -209,6 +209,73 @@ def test_codes_of_rare_phrases_only_add_phrases():
     assert found == expected
 
 
+def test_phrases_leave_python_once(spark, awkward_rows, tmp_path, monkeypatch):
+    """However many tasks hold a phrase, its counts are summed before it is spelled out."""
+    made = []
+    real = type(spark.range(1)).mapInArrow
+
+    def noted(frame, *given):
+        made.append(real(frame, *given))
+        return made[-1]
+
+    docs = docs_of(spark, repetitive(awkward_rows), tmp_path / "d")
+    assert docs.rdd.getNumPartitions() == 3
+    monkeypatch.setattr(type(docs), "mapInArrow", noted)
+    _, frequent = phrases.phrase_counts(docs, least=3, shard_bytes=1000)
+    spelled = [f.filter("phrase like '% %'") for f in made if "phrase" in f.columns]
+    n_rows = sum(f.count() for f in spelled)
+    assert n_rows == sum(f.count() for f in frequent[1:]) > 200
+
+
+def test_codes_of_any_size_are_summed_exactly():
+    """Blocks of several tasks hold codes of one to eight bytes and counts beyond 32 bits."""
+    import pyarrow as pa
+
+    pick = np.random.default_rng(2)
+    codes = np.concatenate([np.arange(300), pick.integers(0, 1 << 60, 300), [(1 << 62) + 5]])
+    counts = np.append(pick.integers(1, 300, 600), 1 << 40)
+    halves = [(codes[a:b], counts[a:b]) for a, b in [(0, 400), (200, 601), (0, 150)]]
+    expected = Counter()
+    for half in halves:
+        for code, n in zip(*half, strict=True):
+            expected[int(code)] += int(n)
+    blocks = pa.Table.from_batches([phrases._blocks(halves[:2], 7), phrases._blocks(halves[2:], 7)])
+    found = {}
+    for segment in range(7):
+        rows = phrases._frequent_in(blocks.filter(pa.compute.equal(blocks["segment"], segment)), 100, 7)
+        (row,) = rows.to_pylist()
+        found |= zip(*(np.frombuffer(row[name], "<i8").tolist() for name in ("codes", "counts")), strict=True)
+    assert found == {code: n for code, n in expected.items() if n >= 100}
+
+
+def test_codes_spell_the_phrases_they_came_from():
+    """No two phrases of a length share a code, and codes of rare parts are none."""
+    import pyarrow as pa
+
+    texts = [("e\tn", b"a b a b c d, a b c"), ("fr", b"a b c a b c"), ("fr", b"b c a b c")]
+    rows = pa.table(
+        {
+            "row": pa.array(range(3), pa.int64()),
+            "lang": [lang for lang, _ in texts],
+            "text": pa.array([text for _, text in texts], pa.binary()),
+        }
+    )
+    (_, index), = phrases._indexes([phrases._shard_row(rows, 5)])
+    words = index.names.filter(pa.compute.not_equal(index.names, b"e\tn\td"))
+    likely = phrases.Likely(words, 4, [])
+    everything = index.single()
+    for length in range(2, 6):
+        everything = phrases._step(index, everything, length - 2)[0]
+        index.learn(likely)
+        codes = phrases.phrase_codes(index, everything[0], 4)
+        texts = index.spelled(everything[0]).to_pylist()
+        assert [c < 0 for c in codes] == [b"d" in t.split(b"\t")[-1].split() for t in texts]
+        held = codes >= 0
+        assert len(set(codes[held].tolist())) == held.sum() > 0
+        assert likely.spelled(codes[held], length).to_pylist() == [t for t, h in zip(texts, held, strict=True) if h]
+        likely.codes.append(np.sort(codes[held]))
+
+
 def test_transform_counts_patterns():
     pick = np.random.default_rng(3)
     sequence = np.append(pick.integers(0, 4, 500), 0).astype(np.int32)

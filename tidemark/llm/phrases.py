@@ -10,11 +10,12 @@ side is found by adding up the counts of the smaller words, as neighbours stand
 
 Phrases are enumerated by length, words being added on the right and on the left in turn, for all intervals
 of a shard at once, and only from phrases that may be frequent: a longer phrase is never more frequent than
-its parts, so none is lost. Words are counted exactly. Pairs and then triples are counted over all shards by
-their hashes, a few bytes each, which rules out nearly all rare ones; what is left, and the longer phrases
-made of it, is spelled out once and its counts are summed. The frequent words and hashes are broadcast while
-they have ``BROADCAST_BYTES`` or less each; beyond that each shard is sent, length by length, the frequent
-phrases among those that it has itself reported. Both ways give the same counts.
+its parts, so none is lost. The frequent words are numbered, and so are the frequent phrases of each length. A
+likely phrase has an exact code, of the number of the part that it extends and that of the added word; codes
+are counted length by length over all shards, a few bytes each, and the frequent ones are spelled out once,
+from their codes. The frequent words and codes are broadcast while they have ``BROADCAST_BYTES`` or less a
+length; beyond that each shard is sent, length by length, the frequent phrases among those that it has itself
+reported. Both ways give the same counts.
 
 ``collocations`` then cuts each phrase in two at the place of the lowest score
 floor(1000 f n / (f(first part) f(rest))), in decimals that hold the products, and drops phrases that lie in a
@@ -35,13 +36,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import give_back_memory
 from tidemark.llm.common import bounded_batches, bounded_bytes, row_id, stored, text_of
-from tidemark.llm.lm_scoring import segments_of
 from tidemark.llm.words import LOWER, counted, lists, words_of
 
 LEAST = 100
@@ -51,7 +50,7 @@ SHARD_BYTES = 4 << 20
 ROW_GROUP_BYTES = 8 << 20
 BROADCAST_BYTES = 64 << 20
 SEGMENT_WORDS = 1 << 20
-MERGED_ROWS = 1 << 20
+MERGED_CODES = 1 << 20
 MOST_LANGS = 10_000
 NO_LANG = "und"
 # Pieces end at these bytes; no byte of UTF-8 text is 0xff, which stands for them.
@@ -151,6 +150,44 @@ def _vocabulary(row: dict) -> tuple[pa.Array, pa.Array]:
     return pc.binary_join_element_wise(lang, words, pa.scalar(b"\t", pa.binary())), words
 
 
+def places(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where codes stand in an ordered list, -1 for those it lacks."""
+    at = np.searchsorted(codes, wanted)
+    return np.where(np.append(codes, -2)[at] == wanted, at, -1)
+
+
+def code_width(n_words: int, n_segments: int) -> int:
+    """At least the number of words, and 1 modulo the segments: a code's segment, its remainder, then depends
+    on the part and on the added word."""
+    return n_words + (1 - n_words) % n_segments
+
+
+@dataclass
+class Likely:
+    """What may be frequent: the frequent words, and by length from 2 the codes of the frequent phrases."""
+
+    words: pa.Array
+    n_segments: int
+    codes: list[np.ndarray]
+
+    def holds(self, index: ShardIndex, ids: np.ndarray) -> np.ndarray:
+        return places(self.codes[ids.shape[1] - 2], phrase_codes(index, ids, self.n_segments)) >= 0
+
+    def numbers_of(self, codes: np.ndarray, length: int) -> np.ndarray:
+        """The numbers of the words of phrases."""
+        if length == 1:
+            return codes[:, None]
+        part, added = np.divmod(codes, code_width(len(self.words), self.n_segments))
+        numbers = self.numbers_of(part if length == 2 else self.codes[length - 3][part], length - 1)
+        return np.hstack([numbers, added[:, None]] if length % 2 == 0 else [added[:, None], numbers])
+
+    def spelled(self, codes: np.ndarray, length: int) -> pa.Array:
+        """Phrases as lang, tab, words with single spaces between."""
+        first, *more = (self.words.take(pa.array(n)) for n in self.numbers_of(codes, length).T)
+        bare = [pa.array([w.rpartition(b"\t")[2] for w in words.to_pylist()], pa.binary()) for words in more]
+        return pc.binary_join_element_wise(first, *bare, pa.scalar(b" ", pa.binary()))
+
+
 class Side:
     """One transform: the words before each sorted rotation, and where a step to them leads."""
 
@@ -177,10 +214,10 @@ class ShardIndex:
         self.counts = np.concatenate([[len(forward) - counts.sum()], counts])
         self.forward, self.backward = Side(forward), Side(backward)
 
-    @functools.cached_property
-    def hashes(self) -> np.ndarray:
-        """A hash of each word with its lang."""
-        return np.array([xxhash.xxh64_intdigest(n) for n in self.names.to_pylist()], dtype=np.uint64)
+    def learn(self, likely: Likely) -> None:
+        """Look up the words of the shard among the frequent ones; -1 for the others."""
+        at = pc.fill_null(pc.index_in(self.names, value_set=likely.words), -1)
+        self.likely, self.numbers = likely, at.to_numpy(zero_copy_only=False).astype(np.int64)
 
     def single(self) -> tuple[np.ndarray, ...]:
         """The intervals of all words: (word ids, forward start, backward start, size)."""
@@ -253,23 +290,10 @@ def _step(index: ShardIndex, phrases: tuple[np.ndarray, ...], k: int) -> tuple[t
     return phrases, phrases[0][:, 1:] if right else phrases[0][:, :-1]
 
 
-@dataclass
-class Likely:
-    """What may be frequent: the frequent words, and by length from 2 the codes of phrases."""
-
-    words: pa.Array
-    n_segments: int
-    codes: list[np.ndarray]
-
-    def holds(self, index: ShardIndex, ids: np.ndarray) -> np.ndarray:
-        codes = self.codes[ids.shape[1] - 2]
-        wanted = phrase_codes(index, ids, self.n_segments)
-        return np.append(codes, -1)[np.searchsorted(codes, wanted)] == wanted
-
-
 def likely_phrases(index: ShardIndex, likely: Likely, words: int) -> list[tuple[np.ndarray, ...]]:
     """By length from 2, for up to ``words`` lengths: phrases that may be frequent, as may their parts."""
-    known = _known(index.names, likely.words)
+    index.learn(likely)
+    known = index.numbers >= 0
     single = index.single()
     phrases, found = _kept(single, known[single[0][:, 0]]), []
     for k in range(words):
@@ -285,47 +309,77 @@ def likely_phrases(index: ShardIndex, likely: Likely, words: int) -> list[tuple[
 
 
 def phrase_codes(index: ShardIndex, ids: np.ndarray, n_segments: int) -> np.ndarray:
-    """A number of each phrase, the same in all shards: its segment, then 32 bits of its hash."""
-    mixed = index.hashes[ids[:, 0]]
-    for column in ids.T[1:]:
-        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + index.hashes[column]
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    place = (mixed * np.uint64(n_segments)) >> np.uint64(32)
-    return (segments_of(mixed, n_segments) << 32) | place.astype(np.int64)
+    """A number of each phrase, the same in all shards and no other phrase's of its length; -1 where a word or
+    the part without the word that was added last is not frequent."""
+    length = ids.shape[1]
+    if length == 1:
+        return index.numbers[ids[:, 0]]
+    right = length % 2 == 0
+    part = phrase_codes(index, ids[:, :-1] if right else ids[:, 1:], n_segments)
+    if length > 2:
+        part = places(index.likely.codes[length - 3], part)
+    added = index.numbers[ids[:, -1 if right else 0]]
+    codes = part * code_width(len(index.likely.words), n_segments) + added
+    return np.where((part < 0) | (added < 0), -1, codes)
+
+
+BLOCKS = "segment long, size long, codes binary, counts binary"
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers in as few bytes as the largest needs."""
+    return values.astype(f"<u{np.min_scalar_type(int(values.max())).itemsize}").tobytes()
+
+
+def _unpacked(block: pa.Table, name: str) -> np.ndarray:
+    parts = zip(block.column(name), block.column("size").to_pylist(), strict=True)
+    return np.concatenate([np.frombuffer(b.as_buffer(), f"<u{len(b.as_buffer()) // n}") for b, n in parts])
+
+
+def _blocks(held: list[tuple[np.ndarray, np.ndarray]], n_segments: int) -> pa.RecordBatch:
+    """The codes and counts of several shards, added up, as one row a segment."""
+    codes, counts = (np.concatenate(part) for part in zip(*held, strict=True))
+    quotients = int(codes.max()) // n_segments + 1
+    keys, counts = counted(codes % n_segments * quotients + codes // n_segments, counts)
+    segment, codes = np.divmod(keys, quotients)
+    first = np.flatnonzero(np.diff(segment, prepend=-1))
+    ends = np.append(first[1:], len(codes))
+    blocks = [
+        [_packed(v[a:b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)] for v in (codes, counts)
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(segment[first]), pa.array(ends - first), *(pa.array(b, pa.binary()) for b in blocks)],
+        names=["segment", "size", "codes", "counts"],
+    )
 
 
-def _code_blocks(sent, least: int):
-    """The longest likely phrases of a shard as one row a segment: 32-bit hashes and counts, no higher
-    than ``least``."""
+def _code_blocks(sent):
+    """The longest likely phrases of the shards of a task, as codes with their counts added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         likely = sent.value
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for _, index in _indexes(batches):
             ids, _, _, count = likely_phrases(index, likely, len(likely.codes) + 1)[-1]
-            codes, count = counted(phrase_codes(index, ids, likely.n_segments), count)
-            count = np.minimum(count, least).astype("<u4")
-            first = np.flatnonzero(np.diff(codes >> 32, prepend=-1))
-            spans = list(zip(first.tolist(), [*first[1:].tolist(), len(codes)], strict=False))
-            blocks = [[v[a:b].tobytes() for a, b in spans] for v in (codes.astype("<u4"), count)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes[first] >> 32), *(pa.array(b, pa.binary()) for b in blocks)],
-                names=["segment", "hashes", "counts"],
-            )
+            if len(ids):
+                held.append((phrase_codes(index, ids, likely.n_segments), count))
+            if sum(len(codes) for codes, _ in held) >= MERGED_CODES:
+                yield _blocks(held, likely.n_segments)
+                held = []
+        if held:
+            yield _blocks(held, likely.n_segments)
         give_back_memory()
 
     return run
 
 
-def _frequent_in(block: pa.Table, least: int) -> pa.Table:
-    """The codes of a segment whose counts sum to ``least`` or more."""
-    hashes, count = (
-        np.concatenate([np.frombuffer(b.as_buffer(), "<u4") for b in block.column(name)])
-        for name in ("hashes", "counts")
-    )
-    hashes, count = counted(hashes, count.astype(np.int64))
+def _frequent_in(block: pa.Table, least: int, n_segments: int) -> pa.Table:
+    """The codes of a segment whose counts sum to ``least`` or more, with their counts."""
     segment = block.column("segment")[0].as_py()
-    codes = (segment << 32) | hashes[count >= least].astype("<i8")
-    return pa.table({"segment": [segment], "codes": [codes.tobytes()]})
+    codes, counts = (_unpacked(block, name).astype(np.int64) for name in ("codes", "counts"))
+    codes, counts = counted(codes, counts)
+    codes, counts = (v[counts >= least] for v in (codes * n_segments + segment, counts))
+    return pa.table({"codes": [codes.astype("<i8").tobytes()], "counts": [counts.astype("<i8").tobytes()]})
 
 
 def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, ShardIndex]]:
@@ -351,57 +405,33 @@ def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _report(row["shard"], _vocabulary(row)[0], np.frombuffer(row["counts"], "<i8"))
 
 
-def _likely_codes(shards: DataFrame, likely: Likely, least: int, most_bytes: int) -> np.ndarray | None:
-    """The codes of all phrases one word longer that have ``least`` occurrences; None if they are too many.
-
-    Most phrases are rare. Their hashes are counted in a few bytes each, so that only those whose hash is
-    frequent are spelled out and counted exactly; a phrase that shares the hash of another is one too
-    many, none is missing.
-    """
-    sent = shards.sparkSession.sparkContext.broadcast(likely)
-    blocks = shards.mapInArrow(_code_blocks(sent, least), "segment long, hashes binary, counts binary")
-    found = stored(
-        blocks.groupBy("segment").applyInArrow(
-            lambda block: _frequent_in(block, least), "segment long, codes binary"
+def _frequent_codes(shards: DataFrame, sent, n_segments: int, least: int) -> DataFrame:
+    """The codes of all phrases one word longer that have ``least`` occurrences, with their counts."""
+    blocks = shards.mapInArrow(_code_blocks(sent), BLOCKS).groupBy("segment")
+    return stored(
+        blocks.applyInArrow(
+            lambda block: _frequent_in(block, least, n_segments), "codes binary, counts binary"
         ),
         "phrase-codes",
     )
-    if found.agg(F.coalesce(F.sum(F.length("codes")), F.lit(0))).first()[0] > most_bytes:
-        return None
-    rows = found.orderBy("segment").toLocalIterator()
-    return np.frombuffer(b"".join(bytes(row["codes"]) for row in rows), "<i8")
 
 
-def _reports(shard: int, index: ShardIndex, found: list) -> list[pa.RecordBatch]:
-    return [_report(shard, index.spelled(ids), count) for ids, _, _, count in found]
-
-
-def _merged(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """Reports of several shards with their counts added up, under the number of the first."""
-    rows = pa.Table.from_batches(held)
-    sums = rows.group_by("phrase").aggregate([("n", "sum")]).combine_chunks()
-    phrases, counts = (
-        pa.concat_arrays(sums.column(name).chunks) for name in ("phrase", "n_sum")
-    )
-    return _report(rows.column("shard")[0].as_py(), phrases, counts)
+def _spelled(found: DataFrame, sent, length: int) -> DataFrame:
+    """Phrases of a length from their codes, once each, with their counts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                codes, counts = (np.frombuffer(row[name], "<i8") for name in ("codes", "counts"))
+                yield pa.RecordBatch.from_arrays(
+                    [sent.value.spelled(codes, length), pa.array(counts)], names=["phrase", "n"]
+                )
 
-def _reported(shards: DataFrame, likely: Likely, words: int) -> DataFrame:
-    """All likely phrases of two words and more, with the counts of a task added up."""
-    sent = shards.sparkSession.sparkContext.broadcast(likely)
+    return found.mapInArrow(run, "phrase binary, n long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for shard, index in _indexes(batches):
-            held += [r for r in _reports(shard, index, likely_phrases(index, sent.value, words)) if len(r)]
-            if sum(map(len, held)) >= MERGED_ROWS:
-                yield _merged(held)
-                held = []
-        if held:
-            yield _merged(held)
-        give_back_memory()
 
-    return shards.mapInArrow(run, REPORT)
+def _reports(shard: int, index: ShardIndex, found: list) -> list[pa.RecordBatch]:
+    return [_report(shard, index.spelled(ids), count) for ids, _, _, count in found]
 
 
 def _reported_by_own(
@@ -459,12 +489,10 @@ def phrase_counts(
     totals = words.groupBy(_lang(F.col("phrase")).alias("lang")).agg(F.sum("n").alias("n"))
     frequent = [stored(words.filter(F.col("n") >= least), "phrases-1")]
     n_words = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    likely = _likely(shards, frequent[0], least, longest, n_words, broadcast_bytes)
+    longer = _by_codes(shards, frequent[0], least, longest, n_words, broadcast_bytes)
+    if longer is not None:
+        return stored(totals, "phrase-totals"), frequent + longer
     n_words_in = F.size(F.split(_phrase(F.col("phrase")), " "))
-    if likely:
-        sums = stored(_frequent(_reported(shards, likely, longest - 1), least), "phrases")
-        frequent += [sums.filter(n_words_in == k) for k in range(2, longest + 1)]
-        return stored(totals, "phrase-totals"), frequent
     # what is left after three words is little: all longer phrases come from one pass
     reports = [own_words]
     for length, more in [(2, 1), (3, 1), (4, longest - 3)]:
@@ -477,20 +505,26 @@ def phrase_counts(
     return stored(totals, "phrase-totals"), frequent
 
 
-def _likely(
+def _by_codes(
     shards: DataFrame, words: DataFrame, least: int, longest: int, n_words: int, most_bytes: int
-) -> Likely | None:
-    """Frequent words and the codes of likely pairs and triples, if they may be broadcast."""
+) -> list[DataFrame] | None:
+    """By length from 2 the frequent phrases; None if words or codes are too many to be broadcast."""
     if _bytes(words) > most_bytes:
         return None
     known = words.select("phrase").toArrow().column("phrase").combine_chunks()
     likely = Likely(known, max(1, -(-n_words // SEGMENT_WORDS)), [])
-    for _ in range(2, min(longest, 3) + 1):
-        codes = _likely_codes(shards, likely, least, most_bytes)
-        if codes is None:
-            return None
-        likely.codes.append(codes)
-    return likely
+    levels = []
+    for length in range(2, longest + 1):
+        sent = shards.sparkSession.sparkContext.broadcast(likely)
+        found = _frequent_codes(shards, sent, likely.n_segments, least)
+        levels.append(stored(_spelled(found, sent, length), f"phrases-{length}"))
+        if length < longest:
+            if found.agg(F.coalesce(F.sum(F.length("codes")), F.lit(0))).first()[0] > most_bytes:
+                return None
+            rows = found.select("codes").toLocalIterator()
+            codes = np.frombuffer(b"".join(bytes(row["codes"]) for row in rows), "<i8")
+            likely.codes.append(np.sort(codes))
+    return levels
 
 
 def _frequent(reports: DataFrame, least: int) -> DataFrame:

@@ -345,6 +345,20 @@ def test_search_stops_early_without_losing_ties():
     assert sum(visited) < len(part.m) / 4
 
 
+def test_index_rows_and_row_groups_are_small(spark, tmp_path):
+    from pyarrow import parquet
+
+    rows = [(k, prose(k % 40, 2_000), "en") for k in range(1_500)]
+    index = lexical_search.build_index(docs_of(spark, rows, tmp_path / "d").coalesce(1))
+    files = [parquet.ParquetFile(f.removeprefix("file:")) for f in index.slices.inputFiles()]
+    groups = [f.metadata.row_group(k) for f in files for k in range(f.metadata.num_row_groups)]
+    assert sum(g.num_rows for g in groups) > 6
+    assert max(g.num_rows for g in groups) <= 4
+    sizes = [b.nbytes for f in files for b in f.iter_batches(1)]
+    assert max(sizes) < 4 << 20
+    assert index.slices.selectExpr("sum(size(doc_ids))").first()[0] == len(rows)
+
+
 def test_search_of_nothing(spark, empty, awkward):
     queries = spark.createDataFrame([(1, "the under")], "item_id long, text string")
     assert lexical_search.search(lexical_search.build_index(empty), queries).collect() == []

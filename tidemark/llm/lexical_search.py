@@ -3,7 +3,8 @@
 The length normaliser m of a document follows from its number of terms n: 75 + (25 n N) div L, where N
 documents hold L terms in all. Documents of equal m are a stratum. The index is a table with a row for each
 slice of documents (about ``SLICE_BYTES`` of text): its strata, its distinct terms, and for each term, in each
-stratum, the postings grouped by term frequency, highest first.
+stratum, the postings grouped by term frequency, highest first. Rows are large, so they are stored in row groups
+of a few rows, and Arrow batches are bounded by bytes: a task holds few slices at a time, however many it makes.
 
 In a stratum m is one number, so the impact of a term depends on tf alone: it is computed once for each
 (term, stratum, tf) and holds for all postings of that group. The first group of a term is its greatest impact
@@ -21,7 +22,7 @@ weight * ((10^9 tf) div (1000 tf + 12 m)), and repeats of a term in the query co
 Defined cases: a null or empty text has no terms, counts in no figure and is never found; a query without
 terms, or whose terms no document holds, has no rows; equal scores rank by doc_id, null doc_ids last;
 repeated documents are found each, repeated queries are answered each; an empty table gives no rows; other
-columns are ignored. One text is in memory whole, with about 60 bytes a term.
+columns are ignored. One text is in memory whole, with about 40 bytes a term.
 """
 
 from __future__ import annotations
@@ -36,12 +37,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, new_folder, row_id, stored, text_of
+from tidemark.llm.bpe import give_back_memory
+from tidemark.llm.common import bounded_batches, bounded_bytes, new_folder, row_id, stored, text_of
 from tidemark.llm.words import LOWER, Words, by_bytes, counted, lists, words_of
 
 TOP = 20
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
+# Parquet looks at the size of what it holds after 100 rows only, unless told otherwise.
+ROW_GROUPS = {
+    "parquet.block.row.count.limit": "4",
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "1",
+}
 LAST_ID = (1 << 63) - 1
 # Terms are runs of ASCII letters and digits and of all characters beyond ASCII.
 TERM_BYTES = bytes(
@@ -50,7 +59,7 @@ TERM_BYTES = bytes(
 
 INDEX = (
     "doc_ids array<long>, strata array<long>, terms array<binary>, df array<int>,"
-    " term_groups array<int>, group_stratum array<int>, group_tf array<long>,"
+    " term_groups array<int>, group_stratum array<int>, group_tf array<int>,"
     " group_start array<int>, postings array<int>"
 )
 
@@ -66,6 +75,7 @@ class SearchIndex:
 
 def _texts(docs: DataFrame, key: str) -> DataFrame:
     bounded_batches(docs.sparkSession)
+    bounded_bytes(docs.sparkSession, BATCH_BYTES)
     return docs.select(F.col(key).cast("long").alias("id"), text_of().cast("binary").alias("text"))
 
 
@@ -90,6 +100,7 @@ def _indexed(n_docs: int, n_terms: int):
             words = words_of(batch.column("text"), TERM_BYTES)
             if len(words.ids):
                 yield _index_row(batch.column("id"), words, n_docs, n_terms)
+        give_back_memory()
 
     return run
 
@@ -114,7 +125,7 @@ def _index_row(ids: pa.Array, words: Words, n_docs: int, n_terms: int) -> pa.Rec
         "df": pa.array(counts, pa.int32()),
         "term_groups": pa.array(np.searchsorted(term[first], np.arange(width + 1)), pa.int32()),
         "group_stratum": pa.array(level[first], pa.int32()),
-        "group_tf": pa.array(tf[first], pa.int64()),
+        "group_tf": pa.array(tf[first], pa.int32()),
         "group_start": pa.array(np.append(first, len(doc)), pa.int32()),
         "postings": pa.array(doc, pa.int32()),
     }
@@ -128,7 +139,7 @@ def build_index(docs: DataFrame) -> SearchIndex:
     sums = texts.select("text").mapInArrow(_sizes, "n long, l long").agg(F.sum("n"), F.sum("l")).first()
     n_docs, n_terms = (int(x or 0) for x in sums)
     slices = texts.mapInArrow(_indexed(n_docs, n_terms), INDEX)
-    return SearchIndex(stored(slices, "search-index"), n_docs, n_terms)
+    return SearchIndex(stored(slices, "search-index", **ROW_GROUPS), n_docs, n_terms)
 
 
 def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +200,7 @@ class Slice:
         self.unnamed = part["doc_ids"].is_null().to_numpy(zero_copy_only=False)
         self.m = part["strata"].to_numpy()
         groups = part["term_groups"].to_numpy()
-        self.stratum, self.tf = part["group_stratum"].to_numpy(), part["group_tf"].to_numpy()
+        self.stratum, self.tf = part["group_stratum"].to_numpy(), part["group_tf"].to_numpy().astype(np.int64)
         self.start, self.postings = part["group_start"].to_numpy(), part["postings"].to_numpy()
         at = pc.index_in(queries.terms, value_set=part["terms"])
         self.groups: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}

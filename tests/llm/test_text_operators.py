@@ -5,6 +5,7 @@ import re
 import struct
 import zlib
 from collections import Counter, defaultdict
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +31,7 @@ from tidemark.llm.common import stored
 from .conftest import groups_of, prose
 
 PIECES = sentence_pieces.model()
+PAIRS = {piece[k : k + 2] for piece in PIECES.pieces for k in range(len(piece) - 1)}
 MARK = sentence_pieces.MARK
 
 
@@ -147,6 +149,27 @@ def test_texts_of_a_batch_as_one_by_one(texts):
     assert PIECES.decode_all(blobs) == [text.replace(MARK, " ") for text in texts]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from(f"abthe in{MARK}é☃д.,\n\"("), max_size=60), max_size=20))
+def test_units_are_cut_where_no_piece_reaches(texts):
+    distinct, numbers, starts = PIECES.units(pa.array(texts, pa.string()))
+    assert len(set(distinct)) == len(distinct)
+    for text, a, b in zip(texts, starts, starts[1:], strict=False):
+        own = [distinct[k] for k in numbers[a:b]]
+        assert "".join(own) == text
+        assert not {one[-1] + other[0] for one, other in pairwise(own)} & PAIRS
+        score, _ = PIECES.forward(text, 0, len(text))
+        assert sum(PIECES.score(unit) for unit in own) == score[-1]
+
+
+def test_words_are_remembered_apart_from_the_marks_beside_them():
+    words = ["stone", "river", "été", "größe", "дом"]
+    texts = [mark.join(words) for mark in (f",{MARK}", f"!{MARK}", ".\n", "\n", "(")]
+    distinct, numbers, _ = PIECES.units(pa.array([MARK + text for text in texts]))
+    assert {unit.strip(MARK) for unit in distinct if unit.strip(MARK).isalpha()} == set(words)
+    assert len(distinct) <= 2 * len(words) + 5 < len(numbers)
+
+
 def test_giant_path_round_trips(awkward, awkward_rows, empty):
     encoded = sentence_pieces.encode(awkward, giant_chars=200, chunk_chars=64)
     got = sentence_pieces.decode(encoded).collect()

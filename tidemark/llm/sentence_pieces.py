@@ -16,9 +16,10 @@ row, found from the two ends of the chunk.
 Of equal totals the path with the longer last piece wins, then the longer piece before it, and so on. The
 places carry this rule over the borders, so the ids depend neither on ``GIANT_CHARS`` nor on the chunks.
 
-Other texts are segmented whole, word by word: a piece holds the space mark only in front, so words are
-independent. Arrow finds the distinct words of a part of the texts, and each is segmented once per worker:
-all new words of one length together, as columns of characters that walk down a table of the pieces.
+All texts are segmented unit by unit: two characters that no piece holds side by side are always cut apart, as
+are a letter and a full stop, or whatever stands before a space. A table of byte pairs tells these places of
+a part of the texts at once; Arrow finds the distinct units, and each is segmented once per worker: all new
+units of one length together, as columns of characters that walk down a table of the pieces.
 Documents are read once; ids of plain texts and the chunks of giant ones are stored with a row number.
 
 The model file is one of BPE type, whose scores are ranks and whose merges are no path of greatest score.
@@ -39,8 +40,7 @@ import re
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
-from itertools import pairwise
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -54,17 +54,19 @@ from tidemark.llm.common import bounded_batches, bounded_bytes, row_id, slices_o
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
+# A mark as one byte, which UTF-8 does not use.
+MARK_BYTE = b"\xff"
 GIANT_CHARS = 32_768
 CHUNK_CHARS = 8_192
 CHUNKS_PER_BLOCK = 64
 MOST_WORDS = 150_000
-# Texts whose words are not simply what stands between single spaces.
-IRREGULAR = f"^$|  |^ |{MARK}"
 DECODE_BYTES = 4 << 20
 UNKNOWN_PENALTY = 10.0
 ALPHABET = 128
 LONGEST_WORD = 48
 WORDS_AT_ONCE = 16_384
+# Fewer words of one length are traced one by one.
+FEW_WORDS = 16
 NEVER = -np.inf
 
 
@@ -105,8 +107,7 @@ class PieceModel:
         self.beginnings |= {p[0]: self.unknown for p in self.pieces}
         self.beginnings |= {p: score for p, (score, _) in self.pieces.items()}
         self.numbers = {p: number for p, (_, number) in self.pieces.items()}
-        # two characters that no piece holds side by side are always cut apart
-        self.pairs = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
+        self.joined = joined_bytes(self.pieces)
         self.table = PieceTable(self.pieces, self.unknown)
         self.words: dict[str, tuple[float, bytes]] = {}
         self.older_words: dict[str, tuple[float, bytes]] = {}
@@ -152,65 +153,69 @@ class PieceModel:
         ids.reverse()
         return score[len(text)], array("I", ids).tobytes()
 
-    def parts(self, word: str) -> list[str]:
-        """Letters and the marks behind them apart, where every path cuts between them."""
-        if word.lstrip(MARK).isalpha():
-            return [word]
-        runs = RUNS.findall(word)
-        if len(runs) == 1 or any([a[-1] + b[0] in self.pairs for a, b in pairwise(runs)]):
-            return [word]
-        return runs
-
-    def found(self, words: list[str]) -> list[tuple[float, bytes]]:
-        """Score and ids of words; two generations of remembered parts bound the memory."""
+    def units(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """What every path cuts apart: the distinct units, which of them follow one another, and how
+        many stand before each text. Texts are UTF-8 without nulls, marks may be ``MARK_BYTE``."""
+        texts = pc.replace_substring(texts.cast(pa.large_binary()), MARK.encode(), MARK_BYTE)
+        ends = np.zeros(1, np.int64)
+        if len(texts):
+            ends = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset :][: len(texts) + 1]
+        if ends[-1] == ends[0]:
+            return [], np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        cut = ~self.joined[data[:-1].astype(np.uint16) << 8 | data[1:]]
+        cut[ends[(ends > 0) & (ends < len(data))] - 1] = True
+        bounds = np.concatenate([[0], np.flatnonzero(cut) + 1, [len(data)]]).astype("<i8")
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(data)]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
+        distinct = pc.replace_substring(coded.dictionary, MARK_BYTE, MARK.encode()).cast(pa.large_string())
+        numbers = coded.indices.to_numpy(zero_copy_only=False)
+        return distinct.to_numpy(zero_copy_only=False).tolist(), numbers, np.searchsorted(bounds, ends)
+
+    def found(self, units: list[str]) -> list[tuple[float, bytes]]:
+        """Score and ids of distinct units; two generations of remembered units bound the memory."""
         if len(self.words) >= MOST_WORDS:
             self.older_words, self.words = self.words, {}
         known, older = self.words, self.older_words
-        out = list(map(known.get, words))
+        out = list(map(known.get, units))
         missing = [k for k, found in enumerate(out) if found is None]
-        parts = [self.parts(words[k]) for k in missing]
         new = []
-        for part in {part for own in parts for part in own}.difference(known):
-            if part in older:
-                known[part] = older[part]
+        for k in missing:
+            unit = units[k]
+            if unit in older:
+                known[unit] = older[unit]
             else:
-                new.append(part)
+                new.append(unit)
         known.update(self.table.traced(new))
-        for part in new:
-            if part not in known:
-                known[part] = self.traced(part)
-        for k, own in zip(missing, parts, strict=True):
-            if len(own) == 1:
-                out[k] = known[own[0]]
-            else:
-                found = [known[part] for part in own]
-                out[k] = (sum([score for score, _ in found]), b"".join([ids for _, ids in found]))
+        for unit in new:
+            if unit not in known:
+                known[unit] = self.traced(unit)
+        for k in missing:
+            out[k] = known[units[k]]
         return out
 
-    def words_of(self, text: str) -> list[str]:
-        return WORDS.findall(text) if self.marks_lead else [text] if text else []
-
     def ids(self, marked: str) -> bytes:
         """The ids of a text whose spaces are marks, as unsigned 32-bit bytes."""
-        return b"".join([ids for _, ids in self.found(self.words_of(marked))])
+        return self.ids_of_marked(pa.array([marked], pa.large_string()))[0]
 
     def score(self, marked: str) -> float:
         """The score of the best path over whole words."""
-        return sum([score for score, _ in self.found(self.words_of(marked))])
+        distinct, numbers, _ = self.units(pa.array([marked], pa.large_string()))
+        return float(np.array([score for score, _ in self.found(distinct)])[numbers].sum())
+
+    def ids_of_marked(self, texts: pa.Array) -> list[bytes]:
+        """The ids of texts without nulls whose spaces are marks."""
+        distinct, numbers, starts = self.units(texts)
+        placed = binary_array([ids for _, ids in self.found(distinct)]).take(pa.array(numbers))
+        return pieces_between(placed, starts)
 
     def ids_of_all(self, texts: pa.Array) -> list[bytes]:
         """The ids of texts without nulls, spaces not yet marked."""
-        odd = pc.match_substring_regex(texts, IRREGULAR if self.marks_lead else "(?s)^")
-        parts = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
-        coded = parts.flatten().dictionary_encode()
-        words = [MARK + part for part in coded.dictionary.to_pylist()]
-        placed = binary_array([ids for _, ids in self.found(words)]).take(coded.indices)
-        starts = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-        regular = iter(pieces_between(placed, starts))
-        return [
-            self.ids(marked(texts[k].as_py())) if is_odd else next(regular)
-            for k, is_odd in enumerate(odd.to_pylist())
-        ]
+        texts = texts.cast(pa.large_binary())
+        mark, nothing = (pa.scalar(c, pa.large_binary()) for c in (MARK_BYTE, b""))
+        marked = pc.binary_join_element_wise(mark, pc.replace_substring(texts, b" ", MARK_BYTE), nothing)
+        return self.ids_of_marked(pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, marked))
 
     def word_starts(self, text: str) -> list[int]:
         """Positions that every path must cut: the starts of words."""
@@ -291,7 +296,7 @@ class PieceTable:
     """The pieces as a table (beginning, character) -> beginning, walked by many words at a time.
 
     It knows the ``ALPHABET`` most common characters of the pieces and gives no result for words with
-    others, with unknown characters or of more than ``LONGEST_WORD``.
+    others, with unknown characters or of more than ``LONGEST_WORD``, nor for ``FEW_WORDS``.
     """
 
     def __init__(self, pieces: dict[str, tuple[float, int]], unknown: float):
@@ -322,7 +327,7 @@ class PieceTable:
         for word in words:
             by_length.setdefault(len(word), []).append(word)
         for n, alike in by_length.items():
-            if 0 < n <= LONGEST_WORD:
+            if 0 < n <= LONGEST_WORD and len(alike) >= FEW_WORDS:
                 for at in range(0, len(alike), WORDS_AT_ONCE):
                     yield from self._alike(alike[at : at + WORDS_AT_ONCE], n)
 
@@ -362,6 +367,20 @@ class PieceTable:
             yield words[k], (scores[k], blob[4 * (n * k + starts[k]) : 4 * n * (k + 1)])
 
 
+def joined_bytes(pieces: Iterable[str]) -> np.ndarray:
+    """For two bytes, as one number: whether a path may not always be cut between them.
+
+    That is, whether they are the last and the first of two characters that some piece holds side by side, or
+    may be of one character. Marks are ``MARK_BYTE`` here.
+    """
+    joined = np.zeros((256, 256), dtype=bool)
+    joined[:, 0x80:0xC0] = True
+    for pair in {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}:
+        one, other = (MARK_BYTE if c == MARK else c.encode() for c in pair)
+        joined[one[-1], other[0]] = True
+    return joined.reshape(-1)
+
+
 def marked(text: str) -> str:
     """A text as the pieces see it: a mark in front and in place of spaces."""
     return MARK + text.replace(" ", MARK) if text else ""
@@ -377,8 +396,6 @@ def pieces_between(blobs: pa.Array, starts: np.ndarray) -> list[bytes]:
     return [bytes(data[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-RUNS = re.compile(rf"{MARK}*\w+|{MARK}*[^\w{MARK}]+|{MARK}+")
 STARTS = re.compile(f"(?<=[^{MARK}]){MARK}")
 _models: dict[str, PieceModel] = {}
 
@@ -468,7 +485,7 @@ def _chunk_rows(
         for block in range(0, len(starts), CHUNKS_PER_BLOCK):
             found = []
             last = min(block + CHUNKS_PER_BLOCK, len(starts)) * chunk_chars
-            pieces.found(list(set(pieces.words_of(whole[starts[block] : last]))))
+            pieces.found(pieces.units(pa.array([whole[starts[block] : last]]))[0])
             for at in starts[block : block + CHUNKS_PER_BLOCK]:
                 size = min(chunk_chars, len(whole) - at)
                 shown = whole[at : at + size + pieces.reach]
@@ -522,12 +539,8 @@ def _trace_chunks(name: str):
         pieces = model(name)
         for frame in frames:
             rows = zip(frame["text"], frame["size"], frame["first"], frame["last"], strict=True)
-            spans = [text[a : size + b] for text, size, a, b in rows]
-            ids = []
-            for at in range(0, len(spans), CHUNKS_PER_BLOCK):
-                own = spans[at : at + CHUNKS_PER_BLOCK]
-                pieces.found(list({word for span in own for word in pieces.words_of(span)}))
-                ids += map(pieces.ids, own)
+            spans = pa.array([text[a : size + b] for text, size, a, b in rows], pa.large_string())
+            ids = [own for _, part in by_bytes(spans) for own in pieces.ids_of_marked(part)]
             yield frame[["row", "doc_id", "chunk"]].assign(ids=ids)
 
     return run

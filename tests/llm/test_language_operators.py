@@ -359,6 +359,28 @@ def test_index_rows_and_row_groups_are_small(spark, tmp_path):
     assert index.slices.selectExpr("sum(size(doc_ids))").first()[0] == len(rows)
 
 
+@pytest.mark.parametrize("held", [0, 1 << 20])
+def test_a_task_merges_the_answers_of_its_slices(monkeypatch, held):
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(lexical_search, "HELD_ROWS", held)
+    texts = pa.array([b"t " + b"u " * (k % 40) for k in range(400)], pa.binary())
+    ids = pa.array([None if k == 0 else 1_000 - k for k in range(400)], pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, texts], names=["id", "text"])
+    monkeypatch.setattr(lexical_search, "SLICE_BYTES", 900)
+    slices = list(lexical_search._indexed(400, 8_200)([batch]))
+    members = [(np.array([0]), np.array([1]))] * 2
+    queries = lexical_search.Queries(pa.array([b"t"], pa.binary()), np.array([700]), [3, 8], members)
+    out = list(lexical_search._searched(SimpleNamespace(value=queries), 11)(slices))
+    assert len(slices) > 5 and (len(out) == 1) == (held > 0)
+    got = sorted((r["row"], -r["score"], r["doc_id"] is None, r["doc_id"] or 0) for b in out for r in b.to_pylist())
+    for row in (3, 8):
+        best = [(none, doc_id) for at, _, none, doc_id in got if at == row]
+        assert best[:11] == [(False, 1_000 - k) for k in range(360, 0, -40)] + [(True, 0), best[10]]
+        assert held == 0 or len(best) == 11
+
+
 def test_search_of_nothing(spark, empty, awkward):
     queries = spark.createDataFrame([(1, "the under")], "item_id long, text string")
     assert lexical_search.search(lexical_search.build_index(empty), queries).collect() == []

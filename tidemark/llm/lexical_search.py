@@ -10,8 +10,8 @@ In a stratum m is one number, so the impact of a term depends on tf alone: it is
 (term, stratum, tf) and holds for all postings of that group. The first group of a term is its greatest impact
 in the stratum; the sum of those over a query's terms bounds every score there. Strata are visited by
 falling bound, in steps that double, until the bound falls below the k-th best score so far; equal bounds are
-visited too, as a smaller doc_id wins a tie. Each slice gives its k best documents a query, and the k best of
-all slices are kept.
+visited too, as a smaller doc_id wins a tie. Each slice gives its k best documents a query; a task merges those of its
+slices, and the k best of all are kept.
 
 Queries are taken in blocks of about ``BLOCK_BYTES`` of text, each broadcast to one pass over the index, so
 neither queries nor answers have to fit one machine.
@@ -22,7 +22,7 @@ weight * ((10^9 tf) div (1000 tf + 12 m)), and repeats of a term in the query co
 Defined cases: a null or empty text has no terms, counts in no figure and is never found; a query without
 terms, or whose terms no document holds, has no rows; equal scores rank by doc_id, null doc_ids last;
 repeated documents are found each, repeated queries are answered each; an empty table gives no rows; other
-columns are ignored. One text is in memory whole, with about 40 bytes a term.
+columns are ignored. One text is in memory whole, with about 60 bytes a term.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ TOP = 20
 SLICE_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
+# Answers that a task holds to merge them with those of its next slice.
+HELD_ROWS = 1 << 20
 # Parquet looks at the size of what it holds after 100 rows only, unless told otherwise.
 ROW_GROUPS = {
     "parquet.block.row.count.limit": "4",
@@ -259,8 +261,11 @@ class Slice:
 
 
 def _searched(sent, top: int):
+    """The best documents of each query in the slices of a task, merged slice by slice."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries: Queries = sent.value
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)]
         for batch in batches:
             for k in range(len(batch)):
                 part = Slice(batch, k, queries)
@@ -268,18 +273,31 @@ def _searched(sent, top: int):
                 rows = np.repeat(np.array(queries.rows, dtype=np.int64), [len(d) for d, _ in found])
                 docs = np.concatenate([d for d, _ in found]) if found else np.zeros(0, dtype=np.int64)
                 scores = np.concatenate([s for _, s in found]) if found else docs
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rows),
-                        pa.array(part.ids[docs], mask=part.unnamed[docs]),
-                        pa.array(scores, pa.int64()),
-                    ],
-                    names=["row", "doc_id", "score"],
-                )
+                new = rows, part.ids[docs], part.unnamed[docs], scores
+                held = _merged([np.concatenate(pair) for pair in zip(held, new, strict=True)], top)
+                if len(held[0]) > HELD_ROWS:
+                    yield _answers(*held)
+                    held = [column[:0] for column in held]
+        yield _answers(*held)
+        give_back_memory()
 
     return run
 
 
+def _merged(columns: list[np.ndarray], top: int) -> list[np.ndarray]:
+    """The ``top`` best of each query."""
+    rows, ids, unnamed, scores = columns
+    order = np.lexsort((ids, unnamed, -scores, rows))
+    rows = rows[order]
+    order = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < top]
+    return [column[order] for column in columns]
+
+
+def _answers(rows: np.ndarray, ids: np.ndarray, unnamed: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(rows), pa.array(ids, mask=unnamed), pa.array(scores)]
+    return pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "score"])
+
+
 def _block(index: SearchIndex, rows: pa.Table) -> Queries:
     """A block's terms with their weights in this index."""
     coded = rows.column("term").combine_chunks().dictionary_encode()

@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -30,6 +31,58 @@ def test_cached_ids_equal_the_library(text):
     assert found[2] == bpe.encoder().whole("it's <|endoftext|> " + text)
 
 
+KINDS = "abZ éßÿ×÷Жж日ª²19.,!-_'|/<>\n\n  \t\xa0\x00\x7f"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(KINDS), max_size=30), max_size=8))
+def test_parts_of_any_kind_equal_the_library(texts):
+    encoder = bpe.encoder()
+    for _ in range(2):
+        assert encoder.encode(pa.array(texts, pa.string())) == list(map(encoder.whole, texts))
+
+
+class Counted:
+    """An object of the library that counts the calls of its methods."""
+
+    def __init__(self, inner, calls):
+        self.inner, self.calls = inner, calls
+
+    def __getattr__(self, name):
+        self.calls[name] += 1
+        return getattr(self.inner, name)
+
+
+def test_new_words_are_encoded_many_at_a_call():
+    calls = Counter()
+    encoder = bpe.UnitEncoder(public_tokenizers.path(bpe.VOCABULARY))
+    words = [f"{a}{b}é{c}" for a in "bcdfghjk" for b in "aeiou" for c in "lmnprstvwxyz" * 3]
+    text = ", ".join(f"{word}{chr(97 + k % 26)}{k // 26}x" for k, word in enumerate(words))
+    expected = encoder.whole(text)
+    for name in ("tokenizer", "model", "bare"):
+        setattr(encoder, name, Counted(getattr(encoder, name, None), calls))
+    assert encoder.encode(pa.array([text])) == [expected]
+    assert sum(calls.values()) <= 20
+
+
+def test_remembered_parts_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_UNITS", 50)
+    encoder = bpe.UnitEncoder(public_tokenizers.path(bpe.VOCABULARY))
+    for k in range(40):
+        text = " ".join(f"w{'abcdefghij'[n % 10]}{'abcdefgh'[k % 8]}{'xyz'[n % 3]}" for n in range(30))
+        assert encoder.encode(pa.array([text])) == [encoder.whole(text)]
+        assert len(encoder.units) == len(encoder.ids) == len(encoder.used) <= 50 + 30
+
+
+def test_cuts_do_not_depend_on_blocks(monkeypatch):
+    text = "aé.×b1é2!ÿ÷Zßa" * 9
+    data = np.frombuffer(text.encode(), "u1")
+    expected = bpe.kind_changes(data).tolist()
+    for size in range(1, 9):
+        monkeypatch.setattr(bpe, "BLOCK_BYTES", size)
+        assert bpe.kind_changes(data).tolist() == expected
+
+
 def check_pieces(pieces, expected, size):
     """Every id of every document in exactly one piece; sequences without gaps, one not full."""
     documents = Counter()

@@ -55,7 +55,7 @@ def _encode_partition(vocabulary: str, end_id: int):
         encoder, end, before = bpe.encoder(vocabulary), np.uint32(end_id).tobytes(), 0
         for batch in batches:
             doc_ids = batch.column("doc_id")
-            for start, texts in bpe.by_bytes(batch.column("text")):
+            for start, texts in bpe.by_bytes(batch.column("text"), bpe.ENCODED_BYTES):
                 ids = [blob + end for blob in encoder.encode(texts)]
                 counts = np.array([len(blob) // 4 for blob in ids], dtype="<i8")
                 offsets = np.concatenate([[0], np.cumsum(counts)])

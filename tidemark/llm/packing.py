@@ -56,7 +56,7 @@ def _tokenize(vocabulary: str, end_id: int):
         # stored and shuffled in two bytes where all ids fit
         short = max(encoder.size - 1, end_id) < 1 << 16
         for batch in batches:
-            for first, texts in bpe.by_bytes(batch.column("text")):
+            for first, texts in bpe.by_bytes(batch.column("text"), bpe.ENCODED_BYTES):
                 ids = [blob + end for blob in encoder.encode(texts)]
                 counts = [len(blob) // 4 for blob in ids]
                 if short:

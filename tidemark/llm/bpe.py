@@ -130,14 +130,12 @@ class UnitEncoder:
 
     def _words(self, words: pa.Array) -> pa.Array:
         """The ids of words of one kind of character each, many in one call of the library."""
-        data, ends = _flat(words)
-        joined = np.full(len(data) + len(words), self.between or 0, dtype="u1")
-        joined[np.arange(len(data)) + np.repeat(np.arange(len(words)), np.diff(ends))] = data
-        shown = self.names[joined].tobytes().decode("utf-16-le")
-        cuts = (ends + np.arange(len(ends)))[::WORDS_A_CALL].tolist()
         ids = [np.zeros(0, "<u4")]
-        for a, b in zip(cuts, [*cuts[1:], len(shown)], strict=True):
-            encoded = self.bare.encode_batch_fast([shown[a:b]], add_special_tokens=False)
+        for k in range(0, len(words), WORDS_A_CALL):
+            some = words.slice(k, WORDS_A_CALL).to_numpy(zero_copy_only=False).tolist()
+            joined = np.frombuffer(bytes([self.between]).join([*some, b""]), "u1")
+            shown = self.names[joined].tobytes().decode("utf-16-le")
+            encoded = self.bare.encode_batch_fast([shown], add_special_tokens=False)
             ids.append(np.array(encoded[0].ids, dtype="<u4"))
         flat = np.concatenate(ids)
         after = np.flatnonzero(flat == self.between_id)

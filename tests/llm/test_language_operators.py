@@ -276,6 +276,71 @@ def test_codes_spell_the_phrases_they_came_from():
         likely.codes.append(np.sort(codes[held]))
 
 
+def test_shards_are_small_rows():
+    """A shard of the default size is a row of 2 MB or less, whatever a task reads: numbers take few bytes."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(range(300), pa.int64()),
+            pa.array(["en", "fr"] * 150),
+            pa.array([prose(k, 2000).encode() for k in range(300)], pa.binary()),
+        ],
+        names=["row", "lang", "text"],
+    )
+    assert pa.compute.sum(pa.compute.binary_length(batch["text"])).as_py() > 3 << 20
+    rows = list(phrases._sharded(5, phrases.SHARD_BYTES)(iter([batch])))
+    assert len(rows) > 2 and max(row.get_total_buffer_size() for row in rows) < 2 << 20
+    indexes = [index for _, index in phrases._indexes(rows)]
+    assert sum(int(index.counts[1:].sum()) for index in indexes) == 300 * 2000
+
+
+def test_readers_hold_few_shards(spark, awkward_rows, tmp_path, monkeypatch):
+    """Row groups have four shards at most and Arrow batches 4 MB, however many shards a task writes."""
+    from urllib.parse import urlparse
+
+    import pyarrow.parquet as pq
+
+    kept = {}
+    real = phrases.stored
+
+    def noted(frame, label, **options):
+        kept[label] = real(frame, label, **options)
+        return kept[label]
+
+    monkeypatch.setattr(phrases, "stored", noted)
+    docs = docs_of(spark, repetitive(awkward_rows), tmp_path / "d").coalesce(1)
+    phrases.phrase_counts(docs, least=3, shard_bytes=1000)
+    (file,) = kept["phrase-shards"].inputFiles()
+    held = pq.ParquetFile(urlparse(file).path).metadata
+    sizes = [held.row_group(k).num_rows for k in range(held.num_row_groups)]
+    assert held.num_rows > 8 and max(sizes) == 4
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+
+
+def test_shards_learned_together_as_one_by_one():
+    import pyarrow as pa
+
+    rows = [
+        pa.table({"row": pa.array([k], pa.int64()), "lang": ["en"], "text": pa.array([text], pa.binary())})
+        for k, text in enumerate([b"a b a c", b"", b"c d, a", b"x"])
+    ]
+    indexes = [index for _, index in phrases._indexes([phrases._shard_row(r, 5) for r in rows])]
+    likely = phrases.Likely(pa.array([b"en\ta", b"en\tc", b"en\tq"], pa.binary()), 3, [])
+    phrases.learn_all(indexes, likely)
+    together = [index.numbers.tolist() for index in indexes]
+    for index in indexes:
+        index.learn(likely)
+    assert together == [index.numbers.tolist() for index in indexes]
+    assert [sorted(n for n in numbers if n >= 0) for numbers in together] == [[0, 1], [], [0, 1], []]
+
+
+def test_places_of_codes():
+    codes = np.array([3, 5, 9])
+    assert phrases.places(codes, np.array([9, 3, 4, 10, -1, 5])).tolist() == [2, 0, -1, -1, -1, 1]
+    assert phrases.places(codes[:0], np.array([9, -1])).tolist() == [-1, -1]
+
+
 def test_transform_counts_patterns():
     pick = np.random.default_rng(3)
     sequence = np.append(pick.integers(0, 4, 500), 0).astype(np.int32)

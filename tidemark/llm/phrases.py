@@ -41,13 +41,19 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import give_back_memory
 from tidemark.llm.common import bounded_batches, bounded_bytes, row_id, stored, text_of
-from tidemark.llm.words import LOWER, counted, lists, words_of
+from tidemark.llm.words import LOWER, by_bytes, counted, lists, words_of
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-SHARD_BYTES = 4 << 20
-ROW_GROUP_BYTES = 8 << 20
+SHARD_BYTES = 1 << 20
+# A reader holds a whole row group, a column's page and an Arrow batch at once, beside the Python workers.
+BATCH_BYTES = 4 << 20
+ROW_GROUPS = {
+    "parquet.block.row.count.limit": "4",
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "1",
+}
 BROADCAST_BYTES = 64 << 20
 SEGMENT_WORDS = 1 << 20
 MERGED_CODES = 1 << 20
@@ -61,13 +67,23 @@ PIECE_BYTES = LOWER.translate(
     )
 )
 
-# Words stand in one binary with a space behind each; numbers are little-endian, of 4 or 8 bytes.
+# Words stand in one binary with a space behind each; numbers are little-endian, ``size`` of them in a transform.
 SHARD = (
     "shard long, langs array<binary>, lang_of binary, words binary, counts binary,"
-    " forward binary, backward binary"
+    " size long, forward binary, backward binary"
 )
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers in as few bytes as the largest needs."""
+    return values.astype(f"<u{np.min_scalar_type(int(values.max(initial=0))).itemsize}").tobytes()
+
+
+def _numbers(data: bytes | pa.Buffer, size: int) -> np.ndarray:
+    """So many packed numbers."""
+    return np.frombuffer(data, f"<u{max(1, len(data) // max(1, size))}")
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
     """Rows of consecutive batches until their texts have so many bytes."""
     held, size = [], 0
@@ -120,16 +136,17 @@ def _shard_row(rows: pa.Table, longest: int) -> pa.RecordBatch:
     sequence = np.insert(number[at], words.bounds[1:], 0).astype(np.int32)
     counts = np.bincount(sequence, minlength=int(real.sum()) + 1)[1:]
     columns = {
-        "lang_of": (keys[real] // width).astype("<i4"),
+        "lang_of": _packed(keys[real] // width),
         "words": b"".join(w + b" " for w in words.dictionary.take(pa.array(keys[real] % width)).to_pylist()),
-        "counts": counts.astype("<i8"),
-        "forward": transform(sequence, longest).astype("<i4"),
-        "backward": transform(sequence[::-1], longest).astype("<i4"),
+        "counts": _packed(counts),
+        "size": len(sequence),
+        "forward": _packed(transform(sequence, longest)),
+        "backward": _packed(transform(sequence[::-1], longest)),
     }
-    blobs = [pa.array([bytes(v)], pa.binary()) for v in columns.values()]
+    values = [pa.array([v], pa.int64() if isinstance(v, int) else pa.binary()) for v in columns.values()]
     known = langs.dictionary.cast(pa.binary())
     return pa.RecordBatch.from_arrays(
-        [rows.column("row").chunk(0)[:1], lists(known, np.array([len(known)])), *blobs],
+        [rows.column("row").chunk(0)[:1], lists(known, np.array([len(known)])), *values],
         names=["shard", "langs", *columns],
     )
 
@@ -146,14 +163,16 @@ def _sharded(longest: int, shard_bytes: int):
 def _vocabulary(row: dict) -> tuple[pa.Array, pa.Array]:
     """The words of a shard with their lang (lang, tab, word) and without."""
     words = pa.array(row["words"].split(b" ")[:-1], pa.binary())
-    lang = pa.array(row["langs"], pa.binary()).take(pa.array(np.frombuffer(row["lang_of"], "<i4")))
+    lang = pa.array(row["langs"], pa.binary()).take(pa.array(_numbers(row["lang_of"], len(words))))
     return pc.binary_join_element_wise(lang, words, pa.scalar(b"\t", pa.binary())), words
 
 
 def places(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Where codes stand in an ordered list, -1 for those it lacks."""
+    if not len(codes):
+        return np.full(len(wanted), -1)
     at = np.searchsorted(codes, wanted)
-    return np.where(np.append(codes, -2)[at] == wanted, at, -1)
+    return np.where(codes[np.minimum(at, len(codes) - 1)] == wanted, at, -1)
 
 
 def code_width(n_words: int, n_segments: int) -> int:
@@ -205,19 +224,20 @@ class Side:
 class ShardIndex:
     """The FM-index of a shard, extended on both sides."""
 
+    likely: Likely | None = None
+
     def __init__(self, row: dict):
         # word 0 is the mark between pieces
         mark = pa.array([b""], pa.binary())
         self.names, self.words = (pa.concat_arrays([mark, a]) for a in _vocabulary(row))
-        counts = np.frombuffer(row["counts"], "<i8")
-        forward, backward = (np.frombuffer(row[side], "<i4") for side in ("forward", "backward"))
+        counts = _numbers(row["counts"], len(self.words) - 1).astype(np.int64)
+        forward, backward = (_numbers(row[side], row["size"]) for side in ("forward", "backward"))
         self.counts = np.concatenate([[len(forward) - counts.sum()], counts])
         self.forward, self.backward = Side(forward), Side(backward)
 
     def learn(self, likely: Likely) -> None:
         """Look up the words of the shard among the frequent ones; -1 for the others."""
-        at = pc.fill_null(pc.index_in(self.names, value_set=likely.words), -1)
-        self.likely, self.numbers = likely, at.to_numpy(zero_copy_only=False).astype(np.int64)
+        learn_all([self], likely)
 
     def single(self) -> tuple[np.ndarray, ...]:
         """The intervals of all words: (word ids, forward start, backward start, size)."""
@@ -258,6 +278,15 @@ class ShardIndex:
         return pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary()))
 
 
+def learn_all(indexes: list[ShardIndex], likely: Likely) -> None:
+    """``learn`` for several shards: the table of the frequent words is made once for all of them."""
+    at = pc.fill_null(pc.index_in(pa.concat_arrays([x.names for x in indexes]), value_set=likely.words), -1)
+    numbers = at.to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum([len(x.names) for x in indexes])
+    for index, own in zip(indexes, np.split(numbers, ends[:-1]), strict=True):
+        index.likely, index.numbers = likely, own
+
+
 def _kept(phrases: tuple[np.ndarray, ...], keep: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(part[keep] for part in phrases)
 
@@ -292,7 +321,8 @@ def _step(index: ShardIndex, phrases: tuple[np.ndarray, ...], k: int) -> tuple[t
 
 def likely_phrases(index: ShardIndex, likely: Likely, words: int) -> list[tuple[np.ndarray, ...]]:
     """By length from 2, for up to ``words`` lengths: phrases that may be frequent, as may their parts."""
-    index.learn(likely)
+    if index.likely is not likely:
+        index.learn(likely)
     known = index.numbers >= 0
     single = index.single()
     phrases, found = _kept(single, known[single[0][:, 0]]), []
@@ -326,14 +356,9 @@ def phrase_codes(index: ShardIndex, ids: np.ndarray, n_segments: int) -> np.ndar
 BLOCKS = "segment long, size long, codes binary, counts binary"
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Numbers in as few bytes as the largest needs."""
-    return values.astype(f"<u{np.min_scalar_type(int(values.max())).itemsize}").tobytes()
-
-
 def _unpacked(block: pa.Table, name: str) -> np.ndarray:
     parts = zip(block.column(name), block.column("size").to_pylist(), strict=True)
-    return np.concatenate([np.frombuffer(b.as_buffer(), f"<u{len(b.as_buffer()) // n}") for b, n in parts])
+    return np.concatenate([_numbers(b.as_buffer(), n) for b, n in parts])
 
 
 def _blocks(held: list[tuple[np.ndarray, np.ndarray]], n_segments: int) -> pa.RecordBatch:
@@ -359,15 +384,18 @@ def _code_blocks(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         likely = sent.value
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for _, index in _indexes(batches):
-            ids, _, _, count = likely_phrases(index, likely, len(likely.codes) + 1)[-1]
-            if len(ids):
-                held.append((phrase_codes(index, ids, likely.n_segments), count))
-            if sum(len(codes) for codes, _ in held) >= MERGED_CODES:
-                yield _blocks(held, likely.n_segments)
-                held = []
+        for batch in batches:
+            indexes = [index for _, index in _indexes([batch])]
+            learn_all(indexes, likely)
+            for index in indexes:
+                ids, _, _, count = likely_phrases(index, likely, len(likely.codes) + 1)[-1]
+                if len(ids):
+                    held.append((phrase_codes(index, ids, likely.n_segments), count))
+                if sum(len(codes) for codes, _ in held) >= MERGED_CODES:
+                    yield from by_bytes([_blocks(held, likely.n_segments)], "codes", BATCH_BYTES // 4)
+                    held = []
         if held:
-            yield _blocks(held, likely.n_segments)
+            yield from by_bytes([_blocks(held, likely.n_segments)], "codes", BATCH_BYTES // 4)
         give_back_memory()
 
     return run
@@ -402,7 +430,8 @@ def _report(shard: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch
 def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            yield _report(row["shard"], _vocabulary(row)[0], np.frombuffer(row["counts"], "<i8"))
+            names = _vocabulary(row)[0]
+            yield _report(row["shard"], names, _numbers(row["counts"], len(names)))
 
 
 def _frequent_codes(shards: DataFrame, sent, n_segments: int, least: int) -> DataFrame:
@@ -480,10 +509,8 @@ def phrase_counts(
         text_of().cast("binary").alias("text"),
     )
     bounded_batches(docs.sparkSession)
-    bounded_bytes(docs.sparkSession)
-    # small row groups, as a reader holds one whole
-    groups = {"parquet.block.size": str(ROW_GROUP_BYTES)}
-    shards = stored(rows.mapInArrow(_sharded(longest, shard_bytes), SHARD), "phrase-shards", **groups)
+    bounded_bytes(docs.sparkSession, BATCH_BYTES)
+    shards = stored(rows.mapInArrow(_sharded(longest, shard_bytes), SHARD), "phrase-shards", **ROW_GROUPS)
     own_words = shards.select("shard", "langs", "lang_of", "words", "counts").mapInArrow(_own_words, REPORT)
     words = stored(_summed(own_words), "phrase-words")
     totals = words.groupBy(_lang(F.col("phrase")).alias("lang")).agg(F.sum("n").alias("n"))
